@@ -4,6 +4,8 @@ from dealerlake.operators.checks import (
     count_violations,
     duplicate_keys,
     key_violations,
+    length_counts,
+    null_counts,
     violation_counts,
 )
 from dealerlake.operators.merge import dedupe_first_last, drop_loaded_on, upsert
@@ -16,6 +18,8 @@ __all__ = [
     "drop_loaded_on",
     "duplicate_keys",
     "key_violations",
+    "length_counts",
+    "null_counts",
     "upsert",
     "violation_counts",
 ]

@@ -18,20 +18,23 @@ class LoadRejected(Exception):
     """A load broke a constraint; the target was left as it was."""
 
 
-def violation_counts(table: Table) -> list[Column]:
-    """One counting aggregate per constraint, all fit for a single pass over the rows.
+def null_counts(table: Table) -> list[Column]:
+    """One counting aggregate per required column, named ``<column> is null``."""
+    return [F.count_if(F.col(c).isNull()).alias(f"{c} is null") for c in table.required]
 
-    Named ``<column> is null`` and ``<column> longer than <n>``.
-    """
-    nulls = [F.count_if(F.col(c).isNull()).alias(f"{c} is null") for c in table.required]
-    lengths = [
-        F.count_if(F.char_length(c) > limit).alias(f"{c} longer than {limit}") for c, limit in table.limits.items()
-    ]
-    return nulls + lengths
+
+def length_counts(table: Table) -> list[Column]:
+    """One counting aggregate per limited text column, named ``<column> longer than <n>``."""
+    return [F.count_if(F.char_length(c) > limit).alias(f"{c} longer than {limit}") for c, limit in table.limits.items()]
+
+
+def violation_counts(table: Table) -> list[Column]:
+    """All row constraints of a table, fit for a single pass over the rows."""
+    return null_counts(table) + length_counts(table)
 
 
 def count_violations(rows: DataFrame, counts: Sequence[Column]) -> DataFrame:
-    """``violation_counts`` as rows of (rule, violations), zero counts included."""
+    """Counting aggregates as rows of (rule, violations), zero counts included."""
     wide = rows.agg(*counts)
     return wide.unpivot([], [F.col(f"`{c}`") for c in wide.columns], "rule", "violations")
 
