@@ -1,6 +1,5 @@
 from dealerlake.operators.checks import (
     LoadRejected,
-    clashing_keys,
     count_violations,
     duplicate_keys,
     key_violations,
@@ -12,7 +11,6 @@ from dealerlake.operators.merge import dedupe_first_last, drop_loaded_on, upsert
 
 __all__ = [
     "LoadRejected",
-    "clashing_keys",
     "count_violations",
     "dedupe_first_last",
     "drop_loaded_on",

@@ -44,22 +44,18 @@ def duplicate_keys(rows: DataFrame, key: Sequence[str]) -> DataFrame:
     return rows.groupBy(*key).agg(F.count("*").alias("copies")).filter("copies > 1")
 
 
-def clashing_keys(existing: DataFrame, batch: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Keys of ``existing`` that the batch brings again.
-
-    The stored table is the streamed side and the batch, reduced to its keys, the
-    side Spark may broadcast: a day's batch small enough for that leaves the stored
-    table unshuffled, a larger one falls back to a merge join.
-    """
-    return existing.select(*key).join(batch.select(*key).distinct(), list(key), "left_semi")
+def key_violations(existing: DataFrame, batch: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Keys the batch repeats or ``existing`` already holds; empty when the batch may be appended.
 
+    ``copies`` counts the batch rows bringing the key, ``reason`` says which of the two it is.
+    NULL keys are left to the NOT NULL check.
 
-def key_violations(existing: DataFrame, batch: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Key columns with ``copies`` in the batch and ``reason``; empty when the batch may be appended."""
-    repeated = duplicate_keys(batch, key).withColumn("reason", F.lit("repeated in batch"))
-    stored = (
-        clashing_keys(existing, batch, key)
-        .withColumn("copies", F.lit(1).cast("bigint"))
-        .withColumn("reason", F.lit("already stored"))
-    )
+    Both parts start from the same counted keys, so the batch is read and shuffled once.
+    The stored table is the streamed side of the join and the counted keys the side Spark
+    may broadcast: a day's batch small enough for that leaves the stored table where it
+    is, a larger one gets a merge join.
+    """
+    counted = batch.dropna(subset=list(key)).groupBy(*key).agg(F.count("*").alias("copies"))
+    repeated = counted.filter("copies > 1").withColumn("reason", F.lit("repeated in batch"))
+    stored = existing.select(*key).join(counted, list(key)).withColumn("reason", F.lit("already stored"))
     return repeated.unionByName(stored)

@@ -34,7 +34,7 @@ def dedupe_first_last(rows: DataFrame, key: str, order: Column, first: Sequence[
         *[F.min_by(c, order).alias(c) for c in first],
         F.max_by(F.struct(*last), order).alias("latest"),
     )
-    return picked.select(*[F.col(f"latest.{c}").alias(c) if c in last else F.col(c) for c in rows.columns])
+    return picked.select(*[f"latest.{c}" if c in last else c for c in rows.columns])
 
 
 def upsert(target: DataFrame, source: DataFrame, key: str, insert_only: Sequence[str] = ()) -> DataFrame:
@@ -50,8 +50,8 @@ def upsert(target: DataFrame, source: DataFrame, key: str, insert_only: Sequence
     new = source.select(F.col(key).alias("new_key"), F.struct(*columns).alias("new"))
     merged = old.join(new, F.col("old_key") == F.col("new_key"), "full_outer")
 
-    def value(column: str) -> Column:
+    def value(column: str) -> str:
         winner, other = ("old", "new") if column in insert_only else ("new", "old")
-        return F.when(F.col(winner).isNotNull(), F.col(f"{winner}.{column}")).otherwise(F.col(f"{other}.{column}"))
+        return f"CASE WHEN {winner} IS NOT NULL THEN {winner}.{column} ELSE {other}.{column} END AS {column}"
 
-    return merged.select(*[value(c).alias(c) for c in columns])
+    return merged.selectExpr(*[value(c) for c in columns])

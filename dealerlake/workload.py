@@ -45,95 +45,91 @@ SALES_DAY = date(1998, 2, 6)
 SERVICE_DAY = date(2024, 1, 15)
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def _text(column) -> F.Column:
-    return column.cast("string")
+# Stated rather than inferred: inferring costs a job per table before the query even starts.
+_TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_partkey bigint, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string",
+}
 
 
-def _dotted(amount: F.Column) -> F.Column:
-    """350000000 -> 350.000.000"""
-    return F.replace(F.format_number(amount, 0), F.lit(","), F.lit("."))
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(_TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def staged_sales(spark: SparkSession, sf_dir: str, years_later: int = 0) -> DataFrame:
-    day = F.add_months(F.to_date("o_orderdate"), 12 * years_later)
-    return _table(spark, sf_dir, "orders").select(
-        _text(F.col("o_orderkey")).alias("vin"),
-        _text(F.col("o_custkey")).alias("customer_id"),
-        F.col("o_orderpriority").alias("model"),
-        _text(day).alias("invoice_date"),
-        _dotted(F.round(F.col("o_totalprice") * 1000).cast("bigint")).alias("price"),
-        _text(F.col("o_orderdate")).alias("created_at"),
+    return _table(spark, sf_dir, "orders").selectExpr(
+        "CAST(o_orderkey AS STRING) AS vin",
+        "CAST(o_custkey AS STRING) AS customer_id",
+        "o_orderpriority AS model",
+        f"CAST(add_months(o_orderdate, {12 * years_later}) AS STRING) AS invoice_date",
+        "replace(format_number(CAST(round(o_totalprice * 1000) AS BIGINT), 0), ',', '.') AS price",
+        "CAST(o_orderdate AS STRING) AS created_at",
     )
 
 
 def staged_after_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kinds = F.array(F.lit("BP"), F.lit("PM"), F.lit("GR"))
-    return _table(spark, sf_dir, "events").select(
-        _text(F.col("event_id")).alias("service_ticket"),
-        F.col("event_type").alias("vin"),
-        _text(F.col("user_id")).alias("customer_id"),
-        F.col("event_type").alias("model"),
-        _text(F.to_date("ts")).alias("service_date"),
-        F.get(kinds, (F.col("event_id") % 3).cast("int")).alias("service_type"),
-        _text(F.col("ts")).alias("created_at"),
+    return _table(spark, sf_dir, "events").selectExpr(
+        "CAST(event_id AS STRING) AS service_ticket",
+        "event_type AS vin",
+        "CAST(user_id AS STRING) AS customer_id",
+        "event_type AS model",
+        "CAST(CAST(ts AS DATE) AS STRING) AS service_date",
+        "CASE event_id % 3 WHEN 0 THEN 'BP' WHEN 1 THEN 'PM' ELSE 'GR' END AS service_type",
+        "CAST(ts AS STRING) AS created_at",
     )
 
 
-def staged_customers(spark: SparkSession, sf_dir: str, number: F.Column | None = None) -> DataFrame:
-    """Birth dates in turn: three spellings, none, and a day that does not exist."""
-    key = F.col("c_custkey")
-    born = F.date_add(F.lit(date(1950, 1, 1)), (key % 20000).cast("int"))
-    spelling = key % 5
-    dob = (
-        F.when(spelling == 0, _text(born))
-        .when(spelling == 1, F.date_format(born, "yyyy/MM/dd"))
-        .when(spelling == 2, F.date_format(born, "dd/MM/yyyy"))
-        .when(spelling == 3, F.lit("30/02/1990"))
-    )
-    created = F.lit(datetime(2025, 3, 1)) + F.make_dt_interval(secs=key * F.lit(1.0126).cast("decimal(8,6)"))
-    return _table(spark, sf_dir, "customer").select(
-        _text(key if number is None else number).alias("id"),
-        F.col("c_name").alias("name"),
-        dob.alias("dob"),
-        _text(created).alias("created_at"),
+def staged_customers(spark: SparkSession, sf_dir: str, number: str = "c_custkey") -> DataFrame:
+    """Customers numbered by the expression ``number``.
+
+    Birth dates in turn: three spellings, a day that does not exist, and none.
+    """
+    born = "date_add(DATE'1950-01-01', CAST(c_custkey % 20000 AS INT))"
+    return _table(spark, sf_dir, "customer").selectExpr(
+        f"CAST({number} AS STRING) AS id",
+        "c_name AS name",
+        f"""CASE c_custkey % 5 WHEN 0 THEN CAST({born} AS STRING)
+                               WHEN 1 THEN date_format({born}, 'yyyy/MM/dd')
+                               WHEN 2 THEN date_format({born}, 'dd/MM/yyyy')
+                               WHEN 3 THEN '30/02/1990' END AS dob""",
+        """CAST(TIMESTAMP_NTZ'2025-03-01 00:00:00'
+                + make_dt_interval(0, 0, 0, c_custkey * CAST(1.0126 AS DECIMAL(8, 6))) AS STRING) AS created_at""",
     )
 
 
-def addresses(spark: SparkSession, sf_dir: str, number: F.Column) -> DataFrame:
-    """One address line per customer row, under the given customer number."""
+def addresses(spark: SparkSession, sf_dir: str, number: str) -> DataFrame:
+    """One address line per customer row, for the customer numbered by the expression ``number``."""
     nation, region = _table(spark, sf_dir, "nation"), _table(spark, sf_dir, "region")
     return (
         _table(spark, sf_dir, "customer")
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-        .select(
-            F.concat(F.lit("A"), _text(F.col("c_custkey"))).alias("id"),
-            _text(number).alias("customer_id"),
-            F.concat(F.lit('"'), F.col("n_name"), F.lit('" \\ RT 1/RW 2, '), F.col("c_name")).alias("address"),
-            F.when(F.col("c_acctbal") >= 0, F.col("n_name")).alias("city"),
-            F.col("r_name").alias("province"),
-            F.lit("2026-03-01 14:24:40.0125").alias("created_at"),
+        .selectExpr(
+            "concat('A', c_custkey) AS id",
+            f"CAST({number} AS STRING) AS customer_id",
+            r"""concat('"', n_name, '" \\ RT 1/RW 2, ', c_name) AS address""",
+            "CASE WHEN c_acctbal >= 0 THEN n_name END AS city",
+            "r_name AS province",
+            "'2026-03-01 14:24:40.0125' AS created_at",
             "c_custkey",
-            "c_mktsegment",
         )
     )
 
 
 def _nothing(spark: SparkSession, table: S.Table) -> DataFrame:
-    return spark.createDataFrame([], table.struct)
-
+    """The table before its first load; Spark drops such a side from the plan."""
+    columns = [f"CAST(NULL AS {c.dtype.simpleString()}) AS {c.name}" for c in table.columns]
+    return spark.range(1).selectExpr(*columns).filter("false")
 
-def _ntz(value: datetime) -> F.Column:
-    return F.lit(value).cast("timestamp_ntz")
 
-
-def _loaded_at() -> F.Column:
-    """Stored rows of one market segment were loaded on the run date, all others a month before."""
-    return F.when(F.col("c_mktsegment") == "BUILDING", _ntz(LOAD_TS)).otherwise(_ntz(EARLIER_TS)).alias("load_timestamp")
+# Stored rows of one market segment were loaded on the run date, all others a month before.
+_LOADED_AT = f"""CASE c_mktsegment WHEN 'BUILDING' THEN TIMESTAMP_NTZ'{LOAD_TS}'
+                                   ELSE TIMESTAMP_NTZ'{EARLIER_TS}' END AS load_timestamp"""
 
 
 def _initial_sales(spark: SparkSession, sf_dir: str, years_later: int = 0) -> DataFrame:
@@ -150,18 +146,10 @@ def sales_mart_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def service_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    services = build_txf_after_sales(
-        staged_after_sales(spark, sf_dir), _nothing(spark, S.TXF_AFTER_SALES), RUN_DATE, True, LOAD_TS
-    )
-    customers = build_txf_customers(
-        staged_customers(spark, sf_dir, F.col("c_custkey") * 2), _nothing(spark, S.TXF_CUSTOMERS), RUN_DATE, LOAD_TS
-    )
-    places = build_txf_customer_address(
-        addresses(spark, sf_dir, F.col("c_custkey") * 3),
-        _nothing(spark, S.TXF_CUSTOMER_ADDRESS),
-        RUN_DATE,
-        LOAD_TS,
-    )
+    services = after_sales_initial(spark, sf_dir)
+    nobody, nowhere = _nothing(spark, S.TXF_CUSTOMERS), _nothing(spark, S.TXF_CUSTOMER_ADDRESS)
+    customers = build_txf_customers(staged_customers(spark, sf_dir, "c_custkey * 2"), nobody, RUN_DATE, LOAD_TS)
+    places = build_txf_customer_address(addresses(spark, sf_dir, "c_custkey * 3"), nowhere, RUN_DATE, LOAD_TS)
     return mart_cust_service_prio(services, customers, places)
 
 
@@ -173,9 +161,7 @@ def sales_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sales_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All sales stored under the day they were made; one day's load is run again."""
     staged = staged_sales(spark, sf_dir)
-    stored = typed_sales(staged, LOAD_TS).withColumn(
-        "load_timestamp", F.col("created_at") + F.make_dt_interval(hours=F.lit(8))
-    )
+    stored = typed_sales(staged, LOAD_TS).withColumn("load_timestamp", F.expr("created_at + INTERVAL '8' HOUR"))
     return build_txf_sales(staged, stored, SALES_DAY, False, datetime(1998, 2, 6, 9, 30))
 
 
@@ -206,52 +192,53 @@ def customers_birth_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customers_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = _table(spark, sf_dir, "customer").select(
-        _text(F.col("c_custkey")).alias("id"),
-        F.concat(F.lit("former "), F.col("c_name")).alias("name"),
-        F.lit(date(1970, 1, 1)).alias("dob"),
-        _ntz(datetime(2024, 1, 1)).alias("created_at"),
-        _loaded_at(),
+    """Stored: every number. Staged: every second one, up to twice as far."""
+    stored = _table(spark, sf_dir, "customer").selectExpr(
+        "CAST(c_custkey AS STRING) AS id",
+        "concat('former ', c_name) AS name",
+        "DATE'1970-01-01' AS dob",
+        "TIMESTAMP_NTZ'2024-01-01 00:00:00' AS created_at",
+        _LOADED_AT,
     )
-    staged = staged_customers(spark, sf_dir, F.col("c_custkey") * 2)
-    return build_txf_customers(staged, stored, RUN_DATE, LOAD_TS)
+    return build_txf_customers(staged_customers(spark, sf_dir, "c_custkey * 2"), stored, RUN_DATE, LOAD_TS)
 
 
 def _stored_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "customer").select(
-        F.concat(F.lit("S"), _text(F.col("c_custkey"))).alias("id"),
-        _text(F.col("c_custkey") * 2).alias("customer_id"),
-        F.col("c_name").alias("address"),
-        F.lit("Bekasi").alias("city"),
-        F.lit("Jawa Barat").alias("province"),
-        _ntz(datetime(2024, 1, 1)).alias("created_at"),
-        _loaded_at(),
+    return _table(spark, sf_dir, "customer").selectExpr(
+        "concat('S', c_custkey) AS id",
+        "CAST(c_custkey * 2 AS STRING) AS customer_id",
+        "c_name AS address",
+        "'Bekasi' AS city",
+        "'Jawa Barat' AS province",
+        "TIMESTAMP_NTZ'2024-01-01 00:00:00' AS created_at",
+        _LOADED_AT,
     )
 
 
 def address_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staged = addresses(spark, sf_dir, F.col("c_custkey") * 3)
+    """Stored: every second customer number. Staged: every third."""
+    staged = addresses(spark, sf_dir, "c_custkey * 3")
     return build_txf_customer_address(staged, _stored_addresses(spark, sf_dir), RUN_DATE, LOAD_TS)
 
 
 def csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A daily file with several lines for many customers, applied to stored addresses."""
     folder = scratch_dir(spark, "csv-ingest")
-    lines = addresses(spark, sf_dir, F.col("c_custkey") + F.col("c_nationkey")).orderBy("c_custkey")
-    write_address_file(lines, folder, RUN_DATE)
-    stored = _stored_addresses(spark, sf_dir).withColumn("created_at", _text(F.col("created_at")))
-    stored = stored.withColumn("load_timestamp", F.col("load_timestamp").cast("timestamp"))
+    write_address_file(addresses(spark, sf_dir, "c_custkey + c_nationkey").orderBy("c_custkey"), folder, RUN_DATE)
+    stored = _stored_addresses(spark, sf_dir).withColumns(
+        {"created_at": F.expr("CAST(created_at AS STRING)"), "load_timestamp": F.expr("CAST(load_timestamp AS TIMESTAMP)")}
+    )
     merged = build_stg_customer_address(read_address_file(spark, folder, RUN_DATE), stored, LOAD_TS)
     return merged.withColumn("load_timestamp", F.col("load_timestamp").cast("timestamp_ntz"))
 
 
 def first_and_last_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _table(spark, sf_dir, "orders").select(
-        _text(F.col("o_custkey")).alias("customer_id"),
-        _text(F.col("o_orderkey")).alias("id"),
-        F.col("o_orderpriority").alias("model"),
-        F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("status"),
-        F.struct("o_orderdate", "o_orderkey").alias("position"),
+    rows = _table(spark, sf_dir, "orders").selectExpr(
+        "CAST(o_custkey AS STRING) AS customer_id",
+        "CAST(o_orderkey AS STRING) AS id",
+        "o_orderpriority AS model",
+        "nullif(o_orderstatus, 'P') AS status",
+        "struct(o_orderdate, o_orderkey) AS position",
     )
     return dedupe_first_last(rows, "customer_id", F.col("position"), first=["id"]).drop("position")
 
@@ -263,34 +250,34 @@ def millis(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sales_key_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders keyed by customer and day repeat some keys, and meet line items keyed by part and day."""
-    batch = _table(spark, sf_dir, "orders").select(
-        _text(F.col("o_custkey")).alias("vin"), F.to_date("o_orderdate").alias("invoice_date")
+    batch = _table(spark, sf_dir, "orders").selectExpr(
+        "CAST(o_custkey AS STRING) AS vin", "CAST(o_orderdate AS DATE) AS invoice_date"
     )
-    stored = _table(spark, sf_dir, "lineitem").select(
-        _text(F.col("l_partkey")).alias("vin"), F.to_date("l_shipdate").alias("invoice_date")
+    stored = _table(spark, sf_dir, "lineitem").selectExpr(
+        "CAST(l_partkey AS STRING) AS vin", "CAST(l_shipdate AS DATE) AS invoice_date"
     )
     return key_violations(stored, batch, S.TXF_SALES.key)
 
 
 def sales_null_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     sales = typed_sales(staged_sales(spark, sf_dir), LOAD_TS)
-    holed = sales.withColumn("vin", F.when(F.col("model") != "2-HIGH", F.col("vin"))).withColumn(
-        "invoice_date", F.when(F.col("price") >= 50_000_000, F.col("invoice_date"))
+    holed = sales.selectExpr(
+        "CASE WHEN model <> '2-HIGH' THEN vin END AS vin",
+        "CASE WHEN price >= 50000000 THEN invoice_date END AS invoice_date",
     )
     return count_violations(holed, null_counts(S.TXF_SALES))
 
 
 def service_length_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    services = staged_after_sales(spark, sf_dir)
-    wordy = services.withColumn("service_ticket", F.concat_ws("-", F.lit("T"), "service_ticket", "vin")).withColumn(
-        "service_type", F.col("vin")
+    wordy = staged_after_sales(spark, sf_dir).withColumns(
+        {"service_ticket": F.expr("concat_ws('-', 'T', service_ticket, vin)"), "service_type": F.col("vin")}
     )
     return count_violations(wordy, length_counts(S.TXF_AFTER_SALES))
 
 
 def load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows read, rows left after deduplication and birth dates given up, for staged customers."""
-    staged = staged_customers(spark, sf_dir, F.col("c_custkey") + F.col("c_nationkey"))
+    staged = staged_customers(spark, sf_dir, "c_custkey + c_nationkey")
     dob = F.col("dob")
     read = staged.agg(
         F.count("*").alias("rows read"),

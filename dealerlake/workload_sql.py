@@ -165,7 +165,10 @@ def oracle_sql() -> dict[str, str]:
             SELECT vin, invoice_date, count(*) AS copies, 'repeated in batch' AS reason
             FROM batch GROUP BY vin, invoice_date HAVING count(*) > 1
             UNION ALL
-            SELECT s.vin, s.invoice_date, 1, 'already stored' FROM stored s
+            SELECT s.vin, s.invoice_date,
+                   (SELECT count(*) FROM batch b WHERE b.vin = s.vin AND b.invoice_date = s.invoice_date),
+                   'already stored'
+            FROM stored s
             WHERE EXISTS (SELECT 1 FROM batch b WHERE b.vin = s.vin AND b.invoice_date = s.invoice_date)""",
         "not_null_violations": f"""
             WITH {_SALES}
