@@ -55,7 +55,9 @@ def key_violations(existing: DataFrame, batch: DataFrame, key: Sequence[str]) ->
     may broadcast: a day's batch small enough for that leaves the stored table where it
     is, a larger one gets a merge join.
     """
-    counted = batch.dropna(subset=list(key)).groupBy(*key).agg(F.count("*").alias("copies"))
+    for column in key:
+        batch = batch.filter(F.col(column).isNotNull())
+    counted = batch.groupBy(*key).agg(F.count("*").alias("copies"))
     repeated = counted.filter("copies > 1").withColumn("reason", F.lit("repeated in batch"))
     stored = existing.select(*key).join(counted, list(key)).withColumn("reason", F.lit("already stored"))
     return repeated.unionByName(stored)

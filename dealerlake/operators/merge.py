@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dealerlake.schemas import LOAD_DATE
@@ -23,18 +23,20 @@ def drop_loaded_on(target: DataFrame, run_date: date) -> DataFrame:
     return target.filter(~loaded.eqNullSafe(F.lit(run_date)))
 
 
-def dedupe_first_last(rows: DataFrame, key: str, order: Column, first: Sequence[str] = ()) -> DataFrame:
+def dedupe_first_last(rows: DataFrame, key: str, order: str, first: Sequence[str] = ()) -> DataFrame:
     """One row per key: ``first`` columns from its earliest row, all others from its latest.
 
-    This is an aggregate, not a window: map tasks already reduce a key to one row,
-    so a key holding most of the input costs no more than any other.
+    The ``order`` column ranks the rows of a key and is left out of the result. This is
+    an aggregate, not a window: map tasks already reduce a key to one row, so a key
+    holding most of the input costs no more than any other.
     """
-    last = [c for c in rows.columns if c != key and c not in first]
+    columns = [c for c in rows.columns if c != order]
+    last = [c for c in columns if c != key and c not in first]
     picked = rows.groupBy(key).agg(
         *[F.min_by(c, order).alias(c) for c in first],
         F.max_by(F.struct(*last), order).alias("latest"),
     )
-    return picked.select(*[f"latest.{c}" if c in last else c for c in rows.columns])
+    return picked.select(*[f"latest.{c}" if c in last else c for c in columns])
 
 
 def upsert(target: DataFrame, source: DataFrame, key: str, insert_only: Sequence[str] = ()) -> DataFrame:

@@ -19,7 +19,7 @@ def build_stg_customer_address(lines: DataFrame, target: DataFrame, load_ts: dat
     Of several lines for one customer the first supplies the id of a new row and the
     last everything else; a customer already staged keeps its id.
     """
-    rows = dedupe_first_last(lines.select(*FIELDS, LINE_ORDER), "customer_id", F.col(LINE_ORDER), first=["id"])
+    rows = dedupe_first_last(lines.select(*FIELDS, LINE_ORDER), "customer_id", LINE_ORDER, first=["id"])
     stamped = rows.withColumn("load_timestamp", F.lit(load_ts).cast("timestamp"))
     return upsert(
         target.select(*STG_CUSTOMER_ADDRESS.names), stamped, key="customer_id", insert_only=["id"]
@@ -39,7 +39,7 @@ def build_txf_customers(staged: DataFrame, target: DataFrame, run_date: date, lo
         parse_birth_date(F.col("dob")).alias("dob"),
         to_millis(F.col("created_at")).alias("created_at"),
     )
-    rows = dedupe_first_last(typed, "id", F.struct("created_at", "name", "dob"))
+    rows = dedupe_first_last(typed.withColumn("rank", F.struct("created_at", "name", "dob")), "id", "rank")
     stamped = rows.withColumn("load_timestamp", F.lit(load_ts).cast(NTZ))
     return upsert(drop_loaded_on(target, run_date).select(*TXF_CUSTOMERS.names), stamped, key="id")
 

@@ -240,7 +240,7 @@ def first_and_last_order(spark: SparkSession, sf_dir: str) -> DataFrame:
         "nullif(o_orderstatus, 'P') AS status",
         "struct(o_orderdate, o_orderkey) AS position",
     )
-    return dedupe_first_last(rows, "customer_id", F.col("position"), first=["id"]).drop("position")
+    return dedupe_first_last(rows, "customer_id", "position", first=["id"])
 
 
 def millis(spark: SparkSession, sf_dir: str) -> DataFrame:
