@@ -37,6 +37,15 @@ def price_class(price: Column) -> Column:
     return band
 
 
+def outside_price_classes(price: Column) -> Column:
+    """True exactly where ``price_class`` is NULL, as plain comparisons a Parquet scan can use to skip data."""
+    uncovered = price.isNull() | (price < PRICE_RANGES[0][1])
+    starts = [low for _, low, _ in PRICE_RANGES[1:]]
+    for (_, _, high), next_low in zip(PRICE_RANGES, starts):
+        uncovered |= (price > high) & (price < next_low)
+    return uncovered
+
+
 def service_priority(count: Column) -> Column:
     low, high = MEDIUM_SERVICE_COUNTS
     return F.when(count > high, "HIGH").when(count >= low, "MED").otherwise("LOW")

@@ -6,6 +6,8 @@ code generation and never starts a Python worker.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -49,3 +51,12 @@ def to_millis(moment: Column) -> Column:
     ts = moment.cast("timestamp_ntz")
     seconds = F.extract(F.lit("SECOND"), ts)
     return ts + F.make_dt_interval(secs=F.round(seconds, 3) - seconds)
+
+
+def moment(value: datetime) -> Column:
+    """A constant zone-less timestamp.
+
+    Passed on as text: Spark would read a bare ``datetime`` literal in the time zone of
+    the machine that runs the driver.
+    """
+    return F.lit(value.replace(tzinfo=None).isoformat(" ")).cast("timestamp_ntz")

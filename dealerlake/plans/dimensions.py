@@ -7,9 +7,9 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dealerlake.functions import parse_birth_date, to_millis
+from dealerlake.functions import moment, parse_birth_date, to_millis
 from dealerlake.operators import dedupe_first_last, drop_loaded_on, upsert
-from dealerlake.schemas import STG_CUSTOMER_ADDRESS, TXF_CUSTOMER_ADDRESS, TXF_CUSTOMERS, NTZ
+from dealerlake.schemas import STG_CUSTOMER_ADDRESS, TXF_CUSTOMER_ADDRESS, TXF_CUSTOMERS
 from dealerlake.sources.address_files import FIELDS, LINE_ORDER
 
 
@@ -20,10 +20,8 @@ def build_stg_customer_address(lines: DataFrame, target: DataFrame, load_ts: dat
     last everything else; a customer already staged keeps its id.
     """
     rows = dedupe_first_last(lines.select(*FIELDS, LINE_ORDER), "customer_id", LINE_ORDER, first=["id"])
-    stamped = rows.withColumn("load_timestamp", F.lit(load_ts).cast("timestamp"))
-    return upsert(
-        target.select(*STG_CUSTOMER_ADDRESS.names), stamped, key="customer_id", insert_only=["id"]
-    )
+    stamped = rows.withColumn("load_timestamp", moment(load_ts).cast("timestamp"))
+    return upsert(target.select(*STG_CUSTOMER_ADDRESS.names), stamped, key="customer_id", insert_only=["id"])
 
 
 def build_txf_customers(staged: DataFrame, target: DataFrame, run_date: date, load_ts: datetime) -> DataFrame:
@@ -40,7 +38,7 @@ def build_txf_customers(staged: DataFrame, target: DataFrame, run_date: date, lo
         to_millis(F.col("created_at")).alias("created_at"),
     )
     rows = dedupe_first_last(typed.withColumn("rank", F.struct("created_at", "name", "dob")), "id", "rank")
-    stamped = rows.withColumn("load_timestamp", F.lit(load_ts).cast(NTZ))
+    stamped = rows.withColumn("load_timestamp", moment(load_ts))
     return upsert(drop_loaded_on(target, run_date).select(*TXF_CUSTOMERS.names), stamped, key="id")
 
 
@@ -55,7 +53,7 @@ def build_txf_customer_address(
         "city",
         "province",
         to_millis(F.col("created_at")).alias("created_at"),
-        F.lit(load_ts).cast(NTZ).alias("load_timestamp"),
+        moment(load_ts).alias("load_timestamp"),
     )
     kept = drop_loaded_on(target, run_date).select(*TXF_CUSTOMER_ADDRESS.names)
     return upsert(kept, stamped, key="customer_id", insert_only=["id"])

@@ -7,9 +7,9 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dealerlake.functions import parse_price, to_millis
+from dealerlake.functions import moment, parse_price, to_millis
 from dealerlake.operators import drop_loaded_on
-from dealerlake.schemas import NTZ, TXF_AFTER_SALES, TXF_SALES, Table
+from dealerlake.schemas import TXF_AFTER_SALES, TXF_SALES, Table
 from dealerlake.sources.staging import created_on
 
 
@@ -22,7 +22,7 @@ def typed_sales(staged: DataFrame, load_ts: datetime) -> DataFrame:
         F.col("invoice_date").cast("date").alias("invoice_date"),
         parse_price(F.col("price")).alias("price"),
         to_millis(F.col("created_at")).alias("created_at"),
-        F.lit(load_ts).cast(NTZ).alias("load_timestamp"),
+        moment(load_ts).alias("load_timestamp"),
     )
 
 
@@ -36,7 +36,7 @@ def typed_after_sales(staged: DataFrame, load_ts: datetime) -> DataFrame:
         F.col("service_date").cast("date").alias("service_date"),
         "service_type",
         to_millis(F.col("created_at")).alias("created_at"),
-        F.lit(load_ts).cast(NTZ).alias("load_timestamp"),
+        moment(load_ts).alias("load_timestamp"),
     )
 
 

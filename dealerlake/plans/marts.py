@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dealerlake.functions import price_class, service_priority
+from dealerlake.functions import outside_price_classes, price_class, service_priority
 
 
 def mart_sales(sales: DataFrame) -> DataFrame:
@@ -27,7 +27,7 @@ def mart_sales(sales: DataFrame) -> DataFrame:
 
 def mart_sales_rejects(sales: DataFrame) -> DataFrame:
     """Sales without a price class, which keep the sales mart from being loaded."""
-    return sales.filter(price_class(F.col("price")).isNull())
+    return sales.filter(outside_price_classes(F.col("price")))
 
 
 def mart_cust_service_prio(after_sales: DataFrame, customers: DataFrame, addresses: DataFrame) -> DataFrame:

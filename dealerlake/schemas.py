@@ -26,6 +26,7 @@ def text(name: str, max_length: int | None = None, required: bool = False) -> Co
 class Table:
     """``columns`` is what readers see; ``layout`` columns only place the files.
 
+    Files are ``sorted_by`` the columns whose range a key check can skip files on.
     ``bucketed`` tables are hashed on their key into the number of buckets the
     warehouse was created with, so key joins between them need no shuffle.
     """
@@ -34,6 +35,7 @@ class Table:
     columns: tuple[Column, ...]
     key: tuple[str, ...] = ()
     layout: tuple[Column, ...] = ()
+    sorted_by: tuple[str, ...] = ()
     bucketed: bool = False
 
     @property
@@ -145,6 +147,7 @@ TXF_SALES = Table(
     ),
     key=("vin", "invoice_date"),
     layout=(LOAD_DATE, text("inv_bucket")),
+    sorted_by=("invoice_date",),
 )
 
 TXF_AFTER_SALES = Table(
@@ -161,6 +164,7 @@ TXF_AFTER_SALES = Table(
     ),
     key=("service_ticket",),
     layout=(LOAD_DATE,),
+    sorted_by=("service_ticket",),
 )
 
 MART_SALES = Table(

@@ -51,7 +51,7 @@ class TableStore:
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def create_tables(self) -> None:
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}")
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database} LOCATION '{self.root}'")
         for table in ALL_TABLES:
             columns = ", ".join(f"{c.name} {c.dtype.simpleString()}" for c in table.columns + table.layout)
             ddl = f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({columns}) USING parquet"
@@ -85,10 +85,13 @@ class TableStore:
         counts = [F.count(F.lit(1)).alias(ROWS), *violation_counts(table), *extra]
         if table.bucketed:
             # Saved under a name of its own, since only a table can be written in buckets.
+            # An upsert over as many shuffle partitions as buckets has every key in the task
+            # of its bucket already, though a full outer join does not declare that.
             buckets = self._buckets(table)
+            if buckets != int(self.spark.conf.get("spark.sql.shuffle.partitions")):
+                rows = rows.repartition(buckets, *table.key)
             (
-                rows.repartition(buckets, *table.key)
-                .observe(seen, *counts)
+                rows.observe(seen, *counts)
                 .write.bucketBy(buckets, *table.key)
                 .option("path", path)
                 .saveAsTable(self._run_table(table, run_id))
@@ -96,7 +99,7 @@ class TableStore:
         elif table.layout:
             # Even files whatever the input's split: a day thinly spread over staging does not
             # become thousands of crumbs, and a bucket holding most rows is cut up again.
-            even = rows.hint("rebalance", *inner).sortWithinPartitions(*inner, *table.key)
+            even = rows.hint("rebalance", *inner).sortWithinPartitions(*inner, *table.sorted_by)
             even.observe(seen, *counts).write.partitionBy(*inner).parquet(path)
         else:
             rows.observe(seen, *counts).write.parquet(path)

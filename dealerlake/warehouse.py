@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from dealerlake.functions.bands import INVOICE_BUCKET_NAMES, invoice_bucket
-from dealerlake.functions.clean import parse_birth_date
+from dealerlake.functions.clean import moment, parse_birth_date
 from dealerlake.operators import LoadRejected, duplicate_keys, key_violations
 from dealerlake.plans import (
     build_stg_customer_address,
@@ -28,7 +28,6 @@ from dealerlake.schemas import (
     LOAD_DATE,
     MART_CUST_SERVICE_PRIO,
     MART_SALES,
-    NTZ,
     STG_AFTER_SALES,
     STG_CUSTOMER_ADDRESS,
     STG_CUSTOMERS,
@@ -41,7 +40,6 @@ from dealerlake.schemas import (
 )
 from dealerlake.session import configure
 from dealerlake.sinks import TableStore
-from dealerlake.sinks.tables import Run
 from dealerlake.sources import append_staging, created_on, read_address_file
 from dealerlake.sources.address_files import MALFORMED
 
@@ -139,7 +137,7 @@ class Warehouse:
 
     def _refresh(self, table: Table, rows: DataFrame, load_ts: datetime | None) -> LoadReport:
         stamp = load_ts or datetime.now(UTC).replace(tzinfo=None)
-        run = self.store.write_run(table, rows.withColumn("load_timestamp", F.lit(stamp).cast(NTZ)))
+        run = self.store.write_run(table, rows.withColumn("load_timestamp", moment(stamp)))
         self.store.require_valid(run)
         self.store.replace_table(run)
         return LoadReport(table.name, run.rows, run.rows)

@@ -37,6 +37,7 @@ from dealerlake.plans import (
 )
 from dealerlake.session import configure, scratch_dir
 from dealerlake.sources import read_address_file, write_address_file
+from dealerlake.warehouse import Warehouse
 
 LOAD_TS = datetime(2025, 9, 1, 8, 0)
 EARLIER_TS = datetime(2025, 8, 1, 8, 0)
@@ -153,6 +154,21 @@ def service_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mart_cust_service_prio(services, customers, places)
 
 
+def service_mart_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same mart by way of the daily flows: staged, loaded, checked and published as tables."""
+    folder = scratch_dir(spark, "warehouse")
+    warehouse = Warehouse(spark, folder, database=f"dwh_{folder.rsplit('-', 1)[1]}")
+    warehouse.append_staging(S.STG_CUSTOMERS, staged_customers(spark, sf_dir, "c_custkey * 2"))
+    warehouse.append_staging(S.STG_AFTER_SALES, staged_after_sales(spark, sf_dir))
+    write_address_file(addresses(spark, sf_dir, "c_custkey * 3"), f"{folder}/incoming", RUN_DATE)
+    warehouse.ingest_stg_customer_address(f"{folder}/incoming", RUN_DATE)
+    warehouse.load_txf_customers(RUN_DATE)
+    warehouse.load_txf_customer_address(RUN_DATE)
+    warehouse.load_txf_after_sales(RUN_DATE, initial_load=True)
+    warehouse.load_mart_cust_service_prio()
+    return warehouse.table(S.MART_CUST_SERVICE_PRIO).drop("load_timestamp")
+
+
 def sales_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = _nothing(spark, S.TXF_SALES)
     return build_txf_sales(staged_sales(spark, sf_dir), target, SALES_DAY, False, LOAD_TS)
@@ -292,6 +308,7 @@ _QUERIES = {
     "mart_sales": sales_mart,
     "mart_sales_rejects": sales_mart_rejects,
     "mart_cust_service_prio": service_mart,
+    "mart_cust_service_prio_loaded": service_mart_loaded,
     "txf_sales_initial": _initial_sales,
     "txf_sales_incremental": sales_incremental,
     "txf_sales_rerun": sales_rerun,

@@ -77,6 +77,16 @@ stored AS (
 
 _LOADED = "TIMESTAMP '2025-09-01 08:00:00' AS load_timestamp"
 
+_SERVICE_MART = f"""
+WITH {_SERVICES}, {_ADDRESSES}
+SELECT CAST(year(s.service_date) AS INTEGER) AS periode, s.vin, c.c_name AS customer_name, a.address,
+       CAST(count(*) AS INTEGER) AS count_service,
+       CASE WHEN count(*) > 10 THEN 'HIGH' WHEN count(*) >= 5 THEN 'MED' ELSE 'LOW' END AS priority
+FROM services s
+JOIN customer c ON s.customer_id = CAST(c.c_custkey * 2 AS VARCHAR)
+LEFT JOIN addresses a ON s.customer_id = CAST(a.c_custkey * 3 AS VARCHAR)
+GROUP BY year(s.service_date), s.vin, s.customer_id, c.c_name, a.address"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -87,15 +97,8 @@ def oracle_sql() -> dict[str, str]:
         "mart_sales_rejects": f"""
             WITH {_SALES}
             SELECT vin, customer_id, model, invoice_date, price, created_at FROM classed WHERE class IS NULL""",
-        "mart_cust_service_prio": f"""
-            WITH {_SERVICES}, {_ADDRESSES}
-            SELECT CAST(year(s.service_date) AS INTEGER) AS periode, s.vin, c.c_name AS customer_name, a.address,
-                   CAST(count(*) AS INTEGER) AS count_service,
-                   CASE WHEN count(*) > 10 THEN 'HIGH' WHEN count(*) >= 5 THEN 'MED' ELSE 'LOW' END AS priority
-            FROM services s
-            JOIN customer c ON s.customer_id = CAST(c.c_custkey * 2 AS VARCHAR)
-            LEFT JOIN addresses a ON s.customer_id = CAST(a.c_custkey * 3 AS VARCHAR)
-            GROUP BY year(s.service_date), s.vin, s.customer_id, c.c_name, a.address""",
+        "mart_cust_service_prio": _SERVICE_MART,
+        "mart_cust_service_prio_loaded": _SERVICE_MART,
         "txf_sales_initial": f"WITH {_SALES} SELECT *, {_LOADED} FROM sales",
         "txf_sales_incremental": f"""
             WITH {_SALES} SELECT *, {_LOADED} FROM sales WHERE created_at >= TIMESTAMP '1998-02-06'

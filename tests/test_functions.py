@@ -1,5 +1,6 @@
 """Column expressions, at every branch and edge."""
 
+import time
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -8,6 +9,8 @@ from pyspark.sql import functions as F
 
 from dealerlake.functions import (
     invoice_bucket,
+    moment,
+    outside_price_classes,
     parse_birth_date,
     parse_price,
     price_class,
@@ -80,6 +83,17 @@ def test_millis_ignore_the_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def test_constant_moments_ignore_the_machine_zone(spark, monkeypatch):
+    monkeypatch.setenv("TZ", "Asia/Jakarta")
+    time.tzset()
+    try:
+        text = spark.range(1).select(moment(datetime(2025, 9, 1, 8, 0, 0, 5)).cast("string").alias("t")).first().t
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+    assert text == "2025-09-01 08:00:00.000005"
+
+
 def test_price_classes(spark):
     cases = {
         "99999999": None,
@@ -94,6 +108,7 @@ def test_price_classes(spark):
     }
     values = [None if v is None else Decimal(v) for v in cases]
     assert apply(spark, price_class, values, "decimal(38,5)") == list(cases.values())
+    assert apply(spark, outside_price_classes, values, "decimal(38,5)") == [c is None for c in cases.values()]
 
 
 def test_service_priorities(spark):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from dealerlake import schemas as S
 from dealerlake.operators import dedupe_first_last, duplicate_keys, key_violations
-from dealerlake.plans import build_txf_customer_address, build_txf_customers, mart_cust_service_prio, mart_sales
+from dealerlake.plans import build_txf_customer_address, build_txf_customers, mart_cust_service_prio, mart_sales, mart_sales_rejects
 from dealerlake.sources import created_on
 from dealerlake.warehouse import Warehouse
 
@@ -86,6 +86,27 @@ def test_upsert_does_not_shuffle_its_target(warehouse, settings):
     assert "FullOuter" in plan(merged)
 
 
+def test_each_bucket_of_a_loaded_table_is_one_file(warehouse):
+    files = [path.rsplit("/", 1)[1] for path in warehouse.store.read(S.TXF_CUSTOMERS).inputFiles()]
+    buckets = [re.search(r"_(\d{5})\.c000", name).group(1) for name in files]
+    assert sorted(buckets) == [f"{n:05d}" for n in range(8)]
+
+
+def test_a_run_is_written_without_a_shuffle_of_its_own(spark, warehouse, settings):
+    """The upsert's own shuffle leaves each key where its bucket is written."""
+    settings(autoBroadcastJoinThreshold="-1")
+    staged, target = warehouse.store.read(S.STG_CUSTOMERS), warehouse.store.read(S.TXF_CUSTOMERS)
+    run = warehouse.store.write_run(S.TXF_CUSTOMERS, build_txf_customers(staged, target, DAY, TS))
+    try:
+        files = warehouse.store.read_run(run).inputFiles()
+        assert len(files) == 8
+        ids = "CAST(regexp_extract(input_file_name(), '_([0-9]{5})[.]c000', 1) AS INT)"
+        wrong = spark.read.parquet(run.path).where(f"pmod(hash(id), 8) <> {ids}")
+        assert wrong.count() == 0
+    finally:
+        warehouse.store.discard(run)
+
+
 def test_address_upsert_needs_no_shuffle_at_all(warehouse, settings):
     settings(autoBroadcastJoinThreshold="-1")
     staged, target = warehouse.store.read(S.STG_CUSTOMER_ADDRESS), warehouse.store.read(S.TXF_CUSTOMER_ADDRESS)
@@ -124,6 +145,11 @@ def test_marts_read_only_the_columns_they_need(warehouse):
     assert "HashAggregate" in text and "partial_sum" in text
 
 
+def test_rejected_sales_are_found_by_skipping_row_groups(warehouse):
+    text = plan(mart_sales_rejects(warehouse.store.read(S.TXF_SALES)))
+    assert "LessThan(price,100000000.00000)" in text.split("PushedFilters")[1]
+
+
 def test_first_last_reduces_before_the_shuffle(spark):
     rows = spark.range(1000).selectExpr("'hot' AS k", "id AS a", "id AS b", "id AS at")
     one = dedupe_first_last(rows, "k", "at", first=["a"])
