@@ -25,7 +25,6 @@ INVOICE_BUCKETS = (
     ("p2025", date(2026, 1, 1)),
 )
 LAST_INVOICE_BUCKET = "pmax"
-INVOICE_BUCKET_NAMES = tuple(name for name, _ in INVOICE_BUCKETS) + (LAST_INVOICE_BUCKET,)
 
 
 def price_class(price: Column) -> Column:

@@ -7,6 +7,8 @@ result becomes visible.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,14 +20,26 @@ class LoadRejected(Exception):
     """A load broke a constraint; the target was left as it was."""
 
 
+def _nulls(table: Table) -> dict[str, Column]:
+    return {f"{c} is null": F.col(c).isNull() for c in table.required}
+
+
+def _too_long(table: Table) -> dict[str, Column]:
+    return {f"{c} longer than {limit}": F.char_length(c) > limit for c, limit in table.limits.items()}
+
+
+def _counted(rules: dict[str, Column]) -> list[Column]:
+    return [F.count_if(broken).alias(rule) for rule, broken in rules.items()]
+
+
 def null_counts(table: Table) -> list[Column]:
     """One counting aggregate per required column, named ``<column> is null``."""
-    return [F.count_if(F.col(c).isNull()).alias(f"{c} is null") for c in table.required]
+    return _counted(_nulls(table))
 
 
 def length_counts(table: Table) -> list[Column]:
     """One counting aggregate per limited text column, named ``<column> longer than <n>``."""
-    return [F.count_if(F.char_length(c) > limit).alias(f"{c} longer than {limit}") for c, limit in table.limits.items()]
+    return _counted(_too_long(table))
 
 
 def violation_counts(table: Table) -> list[Column]:
@@ -33,6 +47,11 @@ def violation_counts(table: Table) -> list[Column]:
     return null_counts(table) + length_counts(table)
 
 
+def broken_row(table: Table) -> Column:
+    """True where a row breaks any constraint, else false or NULL."""
+    return reduce(or_, (_nulls(table) | _too_long(table)).values())
+
+
 def count_violations(rows: DataFrame, counts: Sequence[Column]) -> DataFrame:
     """Counting aggregates as rows of (rule, violations), zero counts included."""
     wide = rows.agg(*counts)

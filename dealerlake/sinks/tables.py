@@ -13,13 +13,14 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dealerlake.operators import LoadRejected, violation_counts
+from dealerlake.operators import LoadRejected, broken_row, count_violations, counting, violation_counts
+from dealerlake.operators.counting import ROWS
 from dealerlake.schemas import ALL_TABLES, LOAD_DATE, Table
 
-ROWS = "rows"
+BROKEN = "broken rows"
 
 
 @dataclass(frozen=True)
@@ -76,13 +77,12 @@ class TableStore:
         return self.spark.read.schema(table.struct).parquet(self._described(table)["Location"])
 
     def write_run(self, table: Table, rows: DataFrame, extra: Sequence[Column] = ()) -> Run:
-        """Write ``rows`` to a fresh folder, counting rows, broken constraints and ``extra`` on the way."""
+        """Write ``rows`` to a fresh folder, counting rows, broken rows and ``extra`` on the way."""
         run_id = uuid.uuid4().hex
         path = f"{self.root}/{table.name}/runs/{run_id}"
-        seen = Observation()
         inner = [c.name for c in table.layout if c != LOAD_DATE]
         rows = rows.select(*table.names, *inner)
-        counts = [F.count(F.lit(1)).alias(ROWS), *violation_counts(table), *extra]
+        flags = {BROKEN: broken_row(table)}
         if table.bucketed:
             # Saved under a name of its own, since only a table can be written in buckets.
             # An upsert over as many shuffle partitions as buckets has every key in the task
@@ -90,19 +90,17 @@ class TableStore:
             buckets = self._buckets(table)
             if buckets != int(self.spark.conf.get("spark.sql.shuffle.partitions")):
                 rows = rows.repartition(buckets, *table.key)
-            (
-                rows.observe(seen, *counts)
-                .write.bucketBy(buckets, *table.key)
-                .option("path", path)
-                .saveAsTable(self._run_table(table, run_id))
-            )
+            counted, seen = counting(rows, flags, *extra)
+            writer = counted.write.bucketBy(buckets, *table.key).option("path", path)
+            writer.saveAsTable(self._run_table(table, run_id))
         elif table.layout:
             # Even files whatever the input's split: a day thinly spread over staging does not
             # become thousands of crumbs, and a bucket holding most rows is cut up again.
-            even = rows.hint("rebalance", *inner).sortWithinPartitions(*inner, *table.sorted_by)
-            even.observe(seen, *counts).write.partitionBy(*inner).parquet(path)
+            counted, seen = counting(rows.hint("rebalance", *inner), flags, *extra)
+            counted.sortWithinPartitions(*inner, *table.sorted_by).write.partitionBy(*inner).parquet(path)
         else:
-            rows.observe(seen, *counts).write.parquet(path)
+            counted, seen = counting(rows, flags, *extra)
+            counted.write.parquet(path)
         return Run(table, run_id, path, seen.get)
 
     def read_run(self, run: Run) -> DataFrame:
@@ -115,10 +113,10 @@ class TableStore:
         return self.spark.read.schema(schema).parquet(run.path)
 
     def require_valid(self, run: Run) -> None:
-        rules = [c for c in run.counted if " is null" in c or " longer than " in c]
-        broken = {rule: run.counted[rule] for rule in rules if run.counted[rule]}
-        if broken:
-            raise LoadRejected(f"{run.table.name}: {broken}")
+        """Raise if any row breaks a constraint, naming the rules. Only then the run is read again."""
+        if run.counted[BROKEN]:
+            counts = count_violations(self.read_run(run), violation_counts(run.table)).filter("violations > 0")
+            raise LoadRejected(f"{run.table.name}: {dict(map(tuple, counts.collect()))}")
 
     def discard(self, run: Run) -> None:
         """Forget the run's own table entry. Files stay: in place if published, else for inspection."""

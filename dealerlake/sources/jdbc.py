@@ -1,8 +1,8 @@
 """Tables kept in a relational database, through Spark's own JDBC source.
 
 The driver jar comes with the cluster (``spark.jars`` or ``spark.jars.packages``).
-An unreachable database raises as soon as the frame is built, because Spark asks
-it for the table's schema.
+An unreachable database raises ``ConnectionError`` as soon as the frame is built,
+because Spark asks it for the table's schema.
 """
 
 from __future__ import annotations
@@ -38,7 +38,10 @@ def read_jdbc_table(
             upperBound=str(bounds[1]),
             numPartitions=str(partitions),
         )
-    return reader.options(**options).load()
+    try:
+        return reader.options(**options).load()
+    except Exception as error:
+        raise ConnectionError(f"cannot read {table} from {url}") from error
 
 
 def write_jdbc_table(

@@ -12,9 +12,10 @@ from datetime import UTC, date, datetime
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from dealerlake.functions.bands import INVOICE_BUCKET_NAMES, invoice_bucket
+from dealerlake.functions.bands import invoice_bucket
 from dealerlake.functions.clean import moment, parse_birth_date
-from dealerlake.operators import LoadRejected, duplicate_keys, key_violations
+from dealerlake.operators import LoadRejected, counting, drop_loaded_on, duplicate_keys, key_violations
+from dealerlake.operators.counting import ROWS
 from dealerlake.plans import (
     build_stg_customer_address,
     build_txf_customer_address,
@@ -25,7 +26,6 @@ from dealerlake.plans import (
     typed_sales,
 )
 from dealerlake.schemas import (
-    LOAD_DATE,
     MART_CUST_SERVICE_PRIO,
     MART_SALES,
     STG_AFTER_SALES,
@@ -70,26 +70,22 @@ class Warehouse:
         self, base_path: str, run_date: date, load_ts: datetime | None = None
     ) -> LoadReport:
         """Apply the day's address file to staging. Any malformed line rejects the file."""
-        lines, read = _counting(
-            read_address_file(self.spark, base_path, run_date),
-            F.count_if(F.col(MALFORMED).isNotNull()).alias("malformed lines"),
-        )
+        lines = read_address_file(self.spark, base_path, run_date)
+        lines, read = counting(lines, {"malformed lines": F.col(MALFORMED).isNotNull()})
         target = self.store.read(STG_CUSTOMER_ADDRESS)
         rows = build_stg_customer_address(lines, target, load_ts or _stamp(run_date))
         return self._replace(STG_CUSTOMER_ADDRESS, rows, read, fatal=("malformed lines",))
 
     def load_txf_customers(self, run_date: date, load_ts: datetime | None = None) -> LoadReport:
         dob = F.col("dob")
-        staged, read = _counting(
-            self.store.read(STG_CUSTOMERS),
-            F.count_if(dob.isNotNull() & parse_birth_date(dob).isNull()).alias("unreadable birth dates"),
-        )
+        unreadable = dob.isNotNull() & parse_birth_date(dob).isNull()
+        staged, read = counting(self.store.read(STG_CUSTOMERS), {"unreadable birth dates": unreadable})
         target = self.store.read(TXF_CUSTOMERS)
         rows = build_txf_customers(staged, target, run_date, load_ts or _stamp(run_date))
         return self._replace(TXF_CUSTOMERS, rows, read)
 
     def load_txf_customer_address(self, run_date: date, load_ts: datetime | None = None) -> LoadReport:
-        staged, read = _counting(self.store.read(STG_CUSTOMER_ADDRESS))
+        staged, read = counting(self.store.read(STG_CUSTOMER_ADDRESS), {})
         target = self.store.read(TXF_CUSTOMER_ADDRESS)
         rows = build_txf_customer_address(staged, target, run_date, load_ts or _stamp(run_date))
         return self._replace(TXF_CUSTOMER_ADDRESS, rows, read)
@@ -125,7 +121,7 @@ class Warehouse:
         try:
             self.store.require_valid(run)
             notes = dict(read.get)
-            rows_read = notes.pop("rows")
+            rows_read = notes.pop(ROWS)
             broken = {name: notes[name] for name in fatal if notes[name]}
             if broken:
                 raise LoadRejected(f"{table.name}: {broken}")
@@ -156,22 +152,22 @@ class Warehouse:
         staged = self.store.read(staging)
         rows = typed(staged if initial_load else created_on(staged, run_date), load_ts)
 
+        counts = [*_range(table)]
         split = table is TXF_SALES
-        counts = _key_range(table)
         if split:
             rows = rows.withColumn("inv_bucket", invoice_bucket(F.col("invoice_date")))
-            counts += [F.count_if(F.col("inv_bucket") == b).alias(b) for b in INVOICE_BUCKET_NAMES]
+            counts.append(F.collect_set("inv_bucket").alias("buckets"))  # five at most
         run = self.store.write_run(table, rows, counts)
         self.store.require_valid(run)
-        buckets = [b for b in INVOICE_BUCKET_NAMES if run.counted[b]] if split else None
+        buckets = run.counted["buckets"] if split else None
 
         if run.rows:
             existing = self.store.read(table)
             if not initial_load:
-                existing = existing.filter(F.col(LOAD_DATE.name) != F.lit(run_date))
+                existing = drop_loaded_on(existing, run_date)
             if split:
                 existing = existing.filter(F.col("inv_bucket").isin(buckets))
-            for column in table.key:
+            for column in table.sorted_by:
                 low, high = run.counted[f"first {column}"], run.counted[f"last {column}"]
                 existing = existing.filter(F.col(column).between(F.lit(low), F.lit(high)))
             _require_none(table, key_violations(existing, self.store.read_run(run), table.key))
@@ -185,16 +181,10 @@ def _stamp(run_date: date) -> datetime:
     return datetime.combine(run_date, datetime.now(UTC).time())
 
 
-def _counting(rows: DataFrame, *extra: Column) -> tuple[DataFrame, Observation]:
-    """Rows that count themselves while the load reads them, so no pass is spent on the report."""
-    seen = Observation()
-    return rows.observe(seen, F.count(F.lit(1)).alias("rows"), *extra), seen
-
-
-def _key_range(table: Table) -> list[Column]:
-    """Smallest and largest key values, to skip stored files that cannot hold a clash."""
-    lows = [F.min(c).alias(f"first {c}") for c in table.key]
-    return lows + [F.max(c).alias(f"last {c}") for c in table.key]
+def _range(table: Table) -> list[Column]:
+    """Smallest and largest values of the key column the files are sorted by, to skip files in the key check."""
+    lows = [F.min(c).alias(f"first {c}") for c in table.sorted_by]
+    return lows + [F.max(c).alias(f"last {c}") for c in table.sorted_by]
 
 
 def _require_none(table: Table, violations: DataFrame) -> None:
