@@ -165,6 +165,7 @@ TXF_AFTER_SALES = Table(
     key=("service_ticket",),
     layout=(LOAD_DATE,),
     sorted_by=("service_ticket",),
+    bucketed=True,
 )
 
 MART_SALES = Table(

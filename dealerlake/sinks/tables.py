@@ -76,7 +76,13 @@ class TableStore:
         """
         return self.spark.read.schema(table.struct).parquet(self._described(table)["Location"])
 
-    def write_run(self, table: Table, rows: DataFrame, extra: Sequence[Column] = ()) -> Run:
+    def bucket_count(self, table: Table) -> int:
+        """Bucket count the table was created with, which its files must keep."""
+        return int(self._described(table)["Num Buckets"])
+
+    def write_run(
+        self, table: Table, rows: DataFrame, extra: Sequence[Column] = (), from_upsert: bool = False
+    ) -> Run:
         """Write ``rows`` to a fresh folder, counting rows, broken rows and ``extra`` on the way."""
         run_id = uuid.uuid4().hex
         path = f"{self.root}/{table.name}/runs/{run_id}"
@@ -87,11 +93,13 @@ class TableStore:
             # Saved under a name of its own, since only a table can be written in buckets.
             # An upsert over as many shuffle partitions as buckets has every key in the task
             # of its bucket already, though a full outer join does not declare that.
-            buckets = self._buckets(table)
-            if buckets != int(self.spark.conf.get("spark.sql.shuffle.partitions")):
+            buckets = self.bucket_count(table)
+            if not from_upsert or buckets != int(self.spark.conf.get("spark.sql.shuffle.partitions")):
                 rows = rows.repartition(buckets, *table.key)
             counted, seen = counting(rows, flags, *extra)
             writer = counted.write.bucketBy(buckets, *table.key).option("path", path)
+            if table.sorted_by:
+                writer = writer.sortBy(*table.sorted_by)
             writer.saveAsTable(self._run_table(table, run_id))
         elif table.layout:
             # Even files whatever the input's split: a day thinly spread over staging does not
@@ -177,9 +185,5 @@ class TableStore:
     def _run_table(self, table: Table, run_id: str) -> str:
         return f"{self.name(table)}__{run_id}"
 
-    def _buckets(self, table: Table) -> int:
-        """Bucket count the table was created with, which its files must keep."""
-        return int(self._described(table)["Num Buckets"])
-
     def _described(self, table: Table) -> dict[str, str]:
         return {r.col_name: r.data_type for r in self.spark.sql(f"DESCRIBE EXTENDED {self.name(table)}").collect()}

@@ -43,6 +43,9 @@ from dealerlake.sinks import TableStore
 from dealerlake.sources import append_staging, created_on, read_address_file
 from dealerlake.sources.address_files import MALFORMED
 
+# Keys of a batch one task may hold in memory while stored keys stream past.
+HASHED_KEYS = 2_000_000
+
 
 @dataclass(frozen=True)
 class LoadReport:
@@ -117,7 +120,7 @@ class Warehouse:
     def _replace(
         self, table: Table, rows: DataFrame, read: Observation, fatal: tuple[str, ...] = ()
     ) -> LoadReport:
-        run = self.store.write_run(table, rows)
+        run = self.store.write_run(table, rows, from_upsert=True)
         try:
             self.store.require_valid(run)
             notes = dict(read.get)
@@ -158,21 +161,24 @@ class Warehouse:
             rows = rows.withColumn("inv_bucket", invoice_bucket(F.col("invoice_date")))
             counts.append(F.collect_set("inv_bucket").alias("buckets"))  # five at most
         run = self.store.write_run(table, rows, counts)
-        self.store.require_valid(run)
-        buckets = run.counted["buckets"] if split else None
-
-        if run.rows:
-            existing = self.store.read(table)
-            if not initial_load:
-                existing = drop_loaded_on(existing, run_date)
-            if split:
-                existing = existing.filter(F.col("inv_bucket").isin(buckets))
-            for column in table.sorted_by:
-                low, high = run.counted[f"first {column}"], run.counted[f"last {column}"]
-                existing = existing.filter(F.col(column).between(F.lit(low), F.lit(high)))
-            _require_none(table, key_violations(existing, self.store.read_run(run), table.key))
-        publish = self.store.append_load if initial_load else self.store.replace_load
-        publish(run, load_ts.date(), buckets)
+        try:
+            self.store.require_valid(run)
+            buckets = run.counted["buckets"] if split else None
+            if run.rows:
+                existing = self.store.read(table)
+                if not initial_load:
+                    existing = drop_loaded_on(existing, run_date)
+                if split:
+                    existing = existing.filter(F.col("inv_bucket").isin(buckets))
+                for column in table.sorted_by:
+                    low, high = run.counted[f"first {column}"], run.counted[f"last {column}"]
+                    existing = existing.filter(F.col(column).between(F.lit(low), F.lit(high)))
+                fits = table.bucketed and run.rows <= HASHED_KEYS * self.store.bucket_count(table)
+                _require_none(table, key_violations(existing, self.store.read_run(run), table.key, hash_batch=fits))
+            publish = self.store.append_load if initial_load else self.store.replace_load
+            publish(run, load_ts.date(), buckets)
+        finally:
+            self.store.discard(run)
         return LoadReport(table.name, run.rows, run.rows)
 
 

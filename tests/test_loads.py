@@ -184,6 +184,24 @@ def test_service_load_leaves_sales_alone_and_can_be_repeated(wh):
     assert loaded(wh) == {"a": DAY}
 
 
+def test_second_initial_service_load_keeps_the_first(wh, tmp_path):
+    ticket = ("T1", "a", "6", "VELOS", str(DAY), "PM", f"{DAY} 10:00:00")
+    stage(wh, S.STG_AFTER_SALES, ticket)
+    wh.load_txf_after_sales(DAY, initial_load=True)
+    with pytest.raises(LoadRejected, match="already stored"):
+        wh.load_txf_after_sales(NEXT, initial_load=True)
+    other = str(tmp_path / "other")
+    rest = [(f"T{i}", *ticket[1:]) for i in range(2, 40)]
+    wh.spark.createDataFrame(rest, S.STG_AFTER_SALES.struct).write.parquet(other)
+    wh.spark.sql(
+        f"ALTER TABLE {wh.store.name(S.STG_AFTER_SALES)} PARTITION (created_date=DATE'{DAY}') SET LOCATION '{other}'"
+    )
+    wh.load_txf_after_sales(DAY, initial_load=True)
+    assert len(loaded(wh, S.TXF_AFTER_SALES)) == 39
+    tickets = wh.table(S.TXF_AFTER_SALES).groupBy("service_ticket").count()
+    assert tickets.count() == 39
+
+
 def test_service_constraints(wh):
     ticket = ("T1", "a", "6", "VELOS", str(DAY), "PM", f"{DAY} 10:00:00")
     stage(wh, S.STG_AFTER_SALES, ticket, ticket)
@@ -348,6 +366,6 @@ def test_creating_tables_again_keeps_them_and_their_bucket_count(wh):
     wh.load_txf_customers(DAY)
     again = Warehouse(wh.spark, wh.store.root, wh.store.database, buckets=7)
     again.load_txf_customers(NEXT)
-    assert again.store._buckets(S.TXF_CUSTOMERS) == 4
+    assert again.store.bucket_count(S.TXF_CUSTOMERS) == 4
     assert len(loaded(again, S.TXF_CUSTOMERS)) == 50
     assert again.table(S.TXF_CUSTOMERS).groupBy("id").count().count() == 50

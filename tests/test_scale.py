@@ -8,7 +8,14 @@ from pyspark.sql import functions as F
 
 from dealerlake import schemas as S
 from dealerlake.operators import dedupe_first_last, duplicate_keys, key_violations
-from dealerlake.plans import build_txf_customer_address, build_txf_customers, mart_cust_service_prio, mart_sales, mart_sales_rejects
+from dealerlake.plans import (
+    build_txf_customer_address,
+    build_txf_customers,
+    mart_cust_service_prio,
+    mart_sales,
+    mart_sales_rejects,
+    typed_after_sales,
+)
 from dealerlake.sources import created_on
 from dealerlake.warehouse import Warehouse
 
@@ -62,6 +69,17 @@ def warehouse(spark, tmp_path_factory):
         "IF(id < 600, '2025-08-01 10:00:00', '2025-08-02 10:00:00') created_at",
     )
     wh.append_staging(S.STG_SALES, sales)
+    services = spark.range(1000).selectExpr(
+        "concat('T', id) service_ticket",
+        "'V' vin",
+        "CAST(id AS STRING) customer_id",
+        "'VELOS' model",
+        "'2025-08-01' service_date",
+        "'PM' service_type",
+        "IF(id < 600, '2025-08-01 10:00:00', '2025-08-02 10:00:00') created_at",
+    )
+    wh.append_staging(S.STG_AFTER_SALES, services)
+    wh.load_txf_after_sales(date(2025, 8, 1))
     wh.load_txf_customers(date(2025, 8, 1))
     wh.load_txf_sales(date(2025, 8, 1))
     return wh
@@ -131,6 +149,28 @@ def test_key_check_shuffles_the_batch_once_and_the_stored_table_never(spark, war
     assert "BroadcastHashJoin" in final
 
 
+@pytest.mark.parametrize("hash_batch, join", [(True, "ShuffledHashJoin"), (False, "SortMergeJoin")])
+def test_service_key_check_shuffles_nothing(spark, warehouse, settings, hash_batch, join):
+    """Stored tickets and the run sit in the same buckets; a batch known to fit spares the sort as well."""
+    settings(autoBroadcastJoinThreshold="-1")
+    staged = warehouse.store.read(S.STG_AFTER_SALES).filter("service_ticket < 'T5'")
+    run = warehouse.store.write_run(S.TXF_AFTER_SALES, typed_after_sales(staged, TS))
+    try:
+        stored, batch = warehouse.store.read(S.TXF_AFTER_SALES), warehouse.store.read_run(run)
+        found = key_violations(stored, batch, S.TXF_AFTER_SALES.key, hash_batch)
+        assert shuffles(found) == 0
+        assert join in plan(found)
+        assert found.count() == stored.filter("service_ticket < 'T5'").count() > 0
+    finally:
+        warehouse.store.discard(run)
+
+
+def test_service_mart_splits_service_files_by_size_not_by_bucket(warehouse):
+    services = warehouse.store.read(S.TXF_AFTER_SALES)
+    text = plan(services.groupBy("vin", "customer_id").count())
+    assert "Bucketed: false" in text
+
+
 def test_stored_keys_are_pruned_to_the_run(warehouse):
     """Catalog partitions outside the date and bucket filters of a key check are not listed."""
     stored = warehouse.store.read(S.TXF_SALES).filter((F.col("load_date") != F.lit(DAY)) & (F.col("inv_bucket") == "p2025"))
