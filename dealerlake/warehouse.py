@@ -160,6 +160,11 @@ class Warehouse:
         if split:
             rows = rows.withColumn("inv_bucket", invoice_bucket(F.col("invoice_date")))
             counts.append(F.collect_set("inv_bucket").alias("buckets"))  # five at most
+        if table.bucketed:
+            # Ahead of the write, which gathers equal keys in one task: a ticket, or none at
+            # all, filling much of the batch is found here by a pre-aggregated count.
+            repeated = duplicate_keys(rows, table.key).withColumn("reason", F.lit("repeated in batch"))
+            _require_none(table, repeated)
         run = self.store.write_run(table, rows, counts)
         try:
             self.store.require_valid(run)

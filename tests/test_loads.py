@@ -3,6 +3,7 @@
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 from itertools import count
+from pathlib import Path
 
 import pytest
 
@@ -210,6 +211,21 @@ def test_service_constraints(wh):
     stage(wh, S.STG_AFTER_SALES, ("T" * 11, *ticket[1:6], f"{NEXT} 10:00:00"))
     with pytest.raises(LoadRejected, match="service_ticket longer than 10"):
         wh.load_txf_after_sales(NEXT)
+    later = NEXT + timedelta(days=1)
+    stage(wh, S.STG_AFTER_SALES, (None, *ticket[1:6], f"{later} 10:00:00"))
+    with pytest.raises(LoadRejected, match="service_ticket is null"):
+        wh.load_txf_after_sales(later)
+    assert wh.table(S.TXF_AFTER_SALES).count() == 0
+
+
+def test_many_services_on_one_ticket_or_none_are_refused_before_anything_is_written(wh):
+    rows = [("hot", "v", "6", "VELOS", str(DAY), "PM", f"{DAY} 10:00:00")] * 50
+    rows += [(None, "v", "6", "VELOS", str(NEXT), "PM", f"{NEXT} 10:00:00")] * 50
+    stage(wh, S.STG_AFTER_SALES, *rows)
+    for day in (DAY, NEXT):
+        with pytest.raises(LoadRejected, match="repeated in batch"):
+            wh.load_txf_after_sales(day)
+    assert not Path(wh.store.root, "txf_after_sales", "runs").exists()
 
 
 # --- dimensions ------------------------------------------------------------------------------
