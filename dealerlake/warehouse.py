@@ -49,7 +49,11 @@ HASHED_KEYS = 2_000_000
 
 @dataclass(frozen=True)
 class LoadReport:
-    """What a load did: source rows read, rows in the written result, and further counts."""
+    """What a load did: source rows read, rows in the written result, and further counts.
+
+    Source rows are counted ahead of a shuffle, so a task Spark had to run again may have
+    counted its rows twice. Rows written are counted by the writing tasks and exact.
+    """
 
     table: str
     rows_read: int
@@ -146,6 +150,8 @@ class Warehouse:
     ) -> LoadReport:
         """Append everything staged, or make the rows created on ``run_date`` that day's load.
 
+        Constraints are checked on the written run before it becomes part of the fact.
+
         A daily load is stamped on its run date, so running a day again replaces exactly
         its own rows. An initial load belongs under a date that no daily load uses.
         """
