@@ -157,7 +157,8 @@ def service_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
 def service_mart_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same mart by way of the daily flows: staged, loaded, checked and published as tables."""
     folder = scratch_dir(spark, "warehouse")
-    warehouse = Warehouse(spark, folder, database=f"dwh_{folder.rsplit('-', 1)[1]}")
+    buckets = spark.sparkContext.defaultParallelism  # one per core, so it grows with the cluster
+    warehouse = Warehouse(spark, folder, database=f"dwh_{folder.rsplit('-', 1)[1]}", buckets=buckets)
     warehouse.append_staging(S.STG_CUSTOMERS, staged_customers(spark, sf_dir, "c_custkey * 2"))
     warehouse.append_staging(S.STG_AFTER_SALES, staged_after_sales(spark, sf_dir))
     write_address_file(addresses(spark, sf_dir, "c_custkey * 3"), f"{folder}/incoming", RUN_DATE)

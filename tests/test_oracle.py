@@ -47,3 +47,14 @@ def test_entry(spark):
     rows = contract.entry(spark).collect()
     assert [r.periode for r in rows] == sorted(r.periode for r in rows)
     assert {r["class"] for r in rows} == {None, "LOW", "MEDIUM", "HIGH"}
+
+
+def test_mart_total_is_the_sum_of_its_sales(spark):
+    mart = QUERIES["mart_sales"](spark, SF_DIR).agg({"total": "sum"}).first()[0]
+    assert mart == QUERIES["txf_sales_initial"](spark, SF_DIR).agg({"price": "sum"}).first()[0]
+
+
+def test_services_of_known_customers_are_all_counted(spark):
+    mart = QUERIES["mart_cust_service_prio"](spark, SF_DIR).agg({"count_service": "sum"}).first()[0]
+    services = QUERIES["txf_after_sales_initial"](spark, SF_DIR)
+    assert mart == services.filter("CAST(customer_id AS INT) % 2 = 0").count()
