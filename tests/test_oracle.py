@@ -9,10 +9,11 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 import __spark_entry__ as contract  # noqa: E402
+from dealerlake import workload, workload_sql  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.01"
-QUERIES = contract.queries()
-ORACLE = contract.oracle_sql()
+QUERIES = workload.queries()
+ORACLE = workload_sql.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -28,7 +29,7 @@ def as_rows(columns, rows):
     return sorted([repr(tuple(row[i] for i in order)) for row in rows])
 
 
-def test_every_query_has_an_oracle():
+def test_every_warehouse_query_has_an_oracle():
     assert QUERIES.keys() == ORACLE.keys()
 
 
