@@ -224,8 +224,9 @@ def remove_contamination(docs: DataFrame, benchmark: DataFrame, limits: Limits =
 
     Columns stay as they are; ``n_chars``, if there, follows the text. A NULL text stays NULL.
     """
-    schema = docs.schema
-    names = docs.columns
+    sizes_at = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
+    names = ["text" if name == "text" else f"c{place}" for place, name in enumerate(docs.columns)]  # none can clash
+    size_name = None if sizes_at is None else names[sizes_at]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -235,7 +236,7 @@ def remove_contamination(docs: DataFrame, benchmark: DataFrame, limits: Limits =
             keep = [True] * len(edges)
             if hit:
                 texts = columns["text"].to_pylist()
-                sizes = columns["n_chars"].to_pylist() if "n_chars" in names else None
+                sizes = columns[size_name].to_pylist() if size_name else None
                 for row in hit:
                     ranges = list(zip(edges[row][::2], edges[row][1::2], strict=True))
                     covered = sum(b - a for a, b in ranges)
@@ -246,8 +247,8 @@ def remove_contamination(docs: DataFrame, benchmark: DataFrame, limits: Limits =
                         sizes[row] = len(texts[row])
                 columns["text"] = pa.array(texts, columns["text"].type)
                 if sizes:
-                    columns["n_chars"] = pa.array(sizes, columns["n_chars"].type)
+                    columns[size_name] = pa.array(sizes, columns[size_name].type)
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=names).filter(pa.array(keep))
 
-    found = _with_hits(docs, benchmark, limits)
-    return found.mapInArrow(cut, schema)
+    renamed = docs.toDF(*names)
+    return _with_hits(renamed, benchmark, limits).mapInArrow(cut, renamed.schema).toDF(*docs.columns)

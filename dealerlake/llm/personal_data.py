@@ -88,6 +88,10 @@ Write {contact:info@shop.example.com} today.
 My mail is {contact:j-doe@example} thanks.
 Call {contact:+1 555 010 2233} after nine.
 Call {contact:(030) 1234 5678} now.
+Or call {contact:040-7654321} today.
+Ask her or call {contact:0171-555123}.
+The number to call {contact:0221-998877}.
+Mail him or call {contact:0711-123987}.
 Tel. {contact:030-1234567} in the morning.
 phone: {contact:555-0102} or come by.
 Tel: {contact:+49 30 901820} please.
@@ -117,7 +121,7 @@ Wher. Wher. Wher. Wher. Wher. Th Th Th Th Th is is.
 THE HOUSE IS OPEN!! COME IN!! ALL OF YOU!!
 alpha | beta | gamma | delta | one | two
 word%%% other### more*** again&&& last$$$
-Contact us for more. Call the office. Mail it soon.
+Contact us for more. Call the office. Mail it soon. They call it.
 Version 2.1.3 was out. Use port 8080 or 443.
 Home - News - Shop - Login - Help. Copyright 2020.
 Licensed under the terms. No warranty of any kind.

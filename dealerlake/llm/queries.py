@@ -90,18 +90,18 @@ WITH doc_words AS (
   SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark
 ), starts AS (
-  SELECT item_id, words, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS at FROM item_words WHERE len(words) > 0
+  SELECT item_id, words, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS pos FROM item_words WHERE len(words) > 0
 ), item_windows AS (
-  SELECT DISTINCT item_id, words[at:at + 9] AS run FROM starts
+  SELECT DISTINCT item_id, words[pos:pos + 9] AS run FROM starts
 ), sizes AS (
   SELECT DISTINCT len(run) AS size FROM item_windows
 ), runs AS (
-  SELECT doc_id, words, size, unnest(range(1, len(words) - size + 2)) AS at FROM doc_words, sizes
+  SELECT doc_id, words, size, unnest(range(1, len(words) - size + 2)) AS pos FROM doc_words, sizes
 ), found AS (
-  SELECT doc_id, at, size, item_id FROM runs JOIN item_windows ON run = words[at:at + size - 1]
+  SELECT doc_id, pos, size, item_id FROM runs JOIN item_windows ON run = words[pos:pos + size - 1]
 ), hit AS (
   SELECT doc_id, count(DISTINCT place) AS n_hit
-  FROM (SELECT doc_id, unnest(range(at, at + size)) AS place FROM (SELECT DISTINCT doc_id, at, size FROM found)) GROUP BY doc_id
+  FROM (SELECT doc_id, unnest(range(pos, pos + size)) AS place FROM (SELECT DISTINCT doc_id, pos, size FROM found)) GROUP BY doc_id
 ), held AS (
   SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
   FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY doc_id

@@ -204,7 +204,7 @@ def read_records(spark: SparkSession, folder: str) -> DataFrame:
 
 def reassemble(records: DataFrame) -> DataFrame:
     """Segmented records as whole ones; ``whole`` says that no segment is missing and the length is as declared."""
-    head = F.filter("parts", lambda p: p["segment"] == 1)[0]
+    head = F.get(F.filter("parts", lambda p: p["segment"] == 1), 0)
     joined = F.aggregate("parts", F.lit(b""), lambda held, p: F.concat(held, p["block"]))
     numbered = F.forall(F.transform("parts", lambda p, i: p["segment"] == i + 1), lambda ok: ok)
     return (
