@@ -1,9 +1,9 @@
 """N-gram Jaccard join as a blocked sparse product of the document by n-gram incidence matrix.
 
 The overlap of two documents is the sum over n-grams of the product of their entries. It is not
-formed for all pairs. Columns are dealt by hash into k blocks, where k is one more than the number
-of n-grams in which two linked documents of a size group can differ: linked documents then have at
-least one whole block in common. Pairs without a common block are below the size-derived bound and
+formed for all pairs. Columns are dealt by hash into blocks, more of them than the number of n-grams
+in which two linked documents of a size group can differ: linked documents then have whole blocks in
+common. Pairs without a common block are below the size-derived bound and
 never formed. Documents joined by common blocks form clusters; the rows of a cluster are dealt into
 tiles, and for each pair of tiles the product accumulates the overlap counts of their rows. Pairs
 whose overlap is below the bound from their sizes are discarded, and of the rest only enough edges
@@ -14,12 +14,13 @@ Equal sets are one class first and take part once.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dealerlake.llm.common import byte_slices, record_batch, stored
@@ -47,9 +48,28 @@ class Similarity:
             firsts.append(max(firsts[-1] + 1, firsts[-1] * 13 // 10))
         return firsts
 
-    def blocks(self, group_end: int) -> int:
-        """Column blocks for sets of fewer than ``group_end``: the largest difference of linked sets, plus one."""
-        return 2 * (group_end - 1) * (100 - self.percent) // (100 + self.percent) + 1
+    @staticmethod
+    def crowded(differ: int) -> int:
+        """How many of its keys, the ones most shared, a set can do without."""
+        return -(-differ // 12)
+
+    def blocks(self, first: int, end: int) -> tuple[int, int]:
+        """Column blocks for sets of a size group, and how many of them may be empty.
+
+        Linked sets differ in at most d n-grams, so of d + 1 + e blocks they have at least 1 + e in
+        common. At most e of these are empty unless both sets have more than e empty blocks. e is set
+        so that few sets of the group's smallest size have more; sets that do give keys for empty blocks too.
+        """
+        differ = 2 * (end - 1) * (100 - self.percent) // (100 + self.percent)
+        if differ == 0:
+            return 1, 0
+        least = first * self.percent / 100
+        for spare in range(differ + 3):
+            count = differ + 1 + spare + 2 * self.crowded(differ)
+            empty = count * (1 - 1 / count) ** least
+            if empty + 2.5 * math.sqrt(empty) <= spare:
+                return count, spare
+        return differ + 1 + 2 * self.crowded(differ), 0  # sets so small that spare blocks do not help
 
 
 class BlockKeys:
@@ -58,9 +78,11 @@ class BlockKeys:
     def __init__(self, similarity: Similarity):
         self.similarity = similarity
         self.firsts = [1, 2]
+        self.known: dict[int, tuple[int, int]] = {}
 
-    def of(self, shingles: np.ndarray) -> np.ndarray:
-        n, sim = len(shingles), self.similarity
+    def groups_of(self, n: int) -> list[int]:
+        """Size groups a set of ``n`` takes part in: its own, and those above that hold sets it can link with."""
+        sim = self.similarity
         if n >= self.firsts[-2]:
             self.firsts = sim.size_groups(2 * n)
         group = int(np.searchsorted(self.firsts, n, side="right")) - 1
@@ -70,16 +92,29 @@ class BlockKeys:
             groups.append(groups[-1] + 1)
             if groups[-1] + 2 >= len(self.firsts):
                 self.firsts = sim.size_groups(2 * self.firsts[-1])
+        return groups
+
+    def spared(self, n: int) -> int:
+        """The fewest keys that a set of ``n`` can do without in any of its groups."""
+        differ = [2 * (self.firsts[g + 1] - 1) * (100 - self.similarity.percent) // (100 + self.similarity.percent) for g in self.groups_of(n)]
+        return min((self.similarity.crowded(d) for d in differ if d), default=0)
+
+    def of(self, shingles: np.ndarray) -> np.ndarray:
+        sim, groups = self.similarity, self.groups_of(len(shingles))
         dealt, held = mixed(shingles, 1), mixed(shingles, 2)
         keys = []
         for g in groups:
-            k = sim.blocks(self.firsts[g + 1])
-            if k == 1:  # only equal sets link, and those are one class already
+            if g not in self.known:
+                self.known[g] = sim.blocks(self.firsts[g], self.firsts[g + 1])
+            count, spare = self.known[g]
+            if count == 1:  # only equal sets link, and those are one class already
                 continue
-            block = (dealt % U(k)).astype(np.int64)
-            content = np.zeros(k, U)
+            block = (dealt % U(count)).astype(np.int64)
+            content = np.zeros(count, U)
             np.add.at(content, block, held)
-            keys.append(mixed(content + mixed(np.arange(k, dtype=U) + (U(g) << U(40)), 3)))
+            key = mixed(content + mixed(np.arange(count, dtype=U) + (U(g) << U(40)), 3))
+            filled = np.bincount(block, minlength=count) > 0
+            keys.append(key if count - filled.sum() > spare else key[filled])
         return np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64)
 
 
@@ -101,18 +136,21 @@ def _signatures(docs: DataFrame, similarity: Similarity) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(sign, "doc_id long, n long, s1 long, s2 long, keys binary")
 
 
-def _exploded(classes: DataFrame) -> DataFrame:
-    """(key, rep) of every block of every class."""
-    schema = pa.schema([("key", pa.int64()), ("rep", pa.int64())])
+def _exploded(classes: DataFrame, similarity: Similarity) -> DataFrame:
+    """(key, rep, spared) of every block of every class; ``spared``: how many of its keys it can do without."""
+    schema = pa.schema([("key", pa.int64()), ("rep", pa.int64()), ("spared", pa.int32())])
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sizes = BlockKeys(similarity)
         for batch in batches:
             reps = batch.column("rep").to_numpy()
             keys = [np.frombuffer(k.as_py(), np.int64) for k in batch.column("keys")]
             if keys:
-                yield record_batch(schema, [np.concatenate(keys), np.repeat(reps, [len(k) for k in keys])])
+                counts = [len(k) for k in keys]
+                spared = [sizes.spared(n) for n in batch.column("n").to_pylist()]
+                yield record_batch(schema, [np.concatenate(keys), np.repeat(reps, counts), np.repeat(spared, counts).astype(np.int32)])
 
-    return classes.select("rep", "keys").mapInArrow(explode, "key long, rep long")
+    return classes.select("rep", "keys", "n").mapInArrow(explode, "key long, rep long, spared int")
 
 
 def tile_links(rows: list[tuple[int, int, np.ndarray]], same: bool, similarity: Similarity) -> list[tuple[int, int]]:
@@ -169,23 +207,24 @@ LINKS = pa.schema([("x", pa.int64()), ("y", pa.int64())])
 
 def _product(tiles: DataFrame, similarity: Similarity) -> DataFrame:
     """Links within each pair of tiles. A task sees its tile pairs one after the other."""
-    keys = ("cluster", "low", "high")
+    keys = ("low", "high", "cluster", "size_group")
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[int, int, np.ndarray]] = []
         now = None
 
         def done() -> pa.RecordBatch:
-            return record_batch(LINKS, list(zip(*tile_links(held, now[1] == now[2], similarity), strict=True)) or [[], []])
+            return record_batch(LINKS, list(zip(*tile_links(held, now[0] == now[1], similarity), strict=True)) or [[], []])
 
         for batch in batches:
             heads = list(zip(*(batch.column(k).to_pylist() for k in keys), strict=True))
-            for head, tile, doc, data in zip(heads, *(batch.column(c).to_pylist() for c in ("tile", "rep", "shingles")), strict=True):
+            texts = batch.column("text")
+            for head, tile, doc, text in zip(heads, *(batch.column(c).to_pylist() for c in ("tile", "rep")), texts, strict=True):
                 if head != now:
                     if len(held) > 1:
                         yield done()
                     held, now = [], head
-                held.append((int(tile != head[1]), doc, np.frombuffer(data, U)))
+                held.append((int(tile != head[0]), doc, shingle_sets([(text.as_py() or "").encode()], similarity.words)[0]))
         if len(held) > 1:
             yield done()
 
@@ -193,11 +232,14 @@ def _product(tiles: DataFrame, similarity: Similarity) -> DataFrame:
     return dealt.mapInArrow(multiply, "x long, y long")
 
 
+def _bit(name: str) -> Column:
+    return F.pmod(F.xxhash64(name), F.lit(FILTER_BITS)) + 1
+
+
 def _bitmap(ids: DataFrame) -> dict[int, bytes]:
     """Bits of hashed ids, by bucket of 32,768 bits. Its size does not depend on the number of ids."""
-    bit = F.pmod(F.xxhash64("rep"), F.lit(FILTER_BITS))
     rows = (
-        ids.select(bit.alias("bit"))
+        ids.select(_bit("rep").alias("bit"))
         .groupBy(F.bitmap_bucket_number("bit").alias("bucket"))
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
         .collect()
@@ -205,27 +247,25 @@ def _bitmap(ids: DataFrame) -> dict[int, bytes]:
     return {r.bucket: bytes(r.bits) for r in rows}
 
 
-def _sets_of(docs: DataFrame, members: DataFrame, similarity: Similarity) -> DataFrame:
-    """(doc_id, shingles) of the documents whose id may be among ``members``: certainly of all that are."""
+def _texts_of(docs: DataFrame, members: DataFrame, similarity: Similarity) -> DataFrame:
+    """(doc_id, text, size_groups) of the documents whose id may be among ``members``: certainly of all that are."""
     bits = np.zeros(FILTER_BITS // 8, np.uint8)
     for bucket, part in _bitmap(members).items():
-        first = (bucket - 1) * 4096  # buckets count from 1; bit 0 of bucket 0 does not occur
-        bits[max(0, first) : first + 4096] |= np.frombuffer(part, np.uint8)
+        first = (bucket - 1) * 4096  # buckets count from 1
+        bits[first : first + 4096] |= np.frombuffer(part, np.uint8)
     shared = docs.sparkSession.sparkContext.broadcast(bits)  # 2 MB whatever the input
-    schema = pa.schema([("doc_id", pa.int64()), ("shingles", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("size_groups", pa.list_(pa.int32()))])
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sizes = BlockKeys(similarity)
         for batch in batches:
-            bit = batch.column("bit").to_numpy()
-            batch = batch.filter(pa.array(shared.value[bit >> 3] >> (bit & 7).astype(np.uint8) & 1 == 1))
-            for first, texts in byte_slices(batch.column("text")):
-                sets = shingle_sets(texts, similarity.words)
-                yield record_batch(schema, [batch.column("doc_id").slice(first, len(texts)), [s.tobytes() for s in sets]])
+            bit = batch.column("bit").to_numpy() - 1
+            kept = batch.filter(pa.array(shared.value[bit >> 3] >> (bit & 7).astype(np.uint8) & 1 == 1))
+            groups = [sizes.groups_of(len(x)) for _, part in byte_slices(kept.column("text")) for x in shingle_sets(part, similarity.words)]
+            yield record_batch(schema, [kept.column("doc_id"), kept.column("text"), groups])
 
-    bit = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
-    kept = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", "text", (bit - 1 + FILTER_BITS).alias("bit"))
-    kept = kept.withColumn("bit", F.col("bit") % FILTER_BITS)
-    return kept.mapInArrow(read, "doc_id long, shingles binary")
+    read = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", "text", _bit("doc_id").alias("bit"))
+    return read.mapInArrow(sift, "doc_id long, text string, size_groups array<int>")
 
 
 def groups(docs: DataFrame, similarity: Similarity = Similarity()) -> DataFrame:
@@ -239,20 +279,26 @@ def groups(docs: DataFrame, similarity: Similarity = Similarity()) -> DataFrame:
     signed = stored(_signatures(docs, similarity), "signatures")
     filled = signed.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
     sets = filled.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep"), F.first("keys").alias("keys"))
-    keys = _exploded(sets).repartition("key")
-    heads = keys.groupBy("key").agg(F.min("rep").alias("head"), F.count("*").alias("members")).filter("members > 1")
-    near = keys.join(heads.drop("members"), "key").filter("rep != head").select("rep", "head").distinct()
+    keys = _exploded(sets, similarity).repartition("key")
+    heads = keys.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1")
+    # Linked sets share more keys than both can do without, so each leaves out those most shared:
+    # common passages then do not chain unlike documents together.
+    crowd = Window.partitionBy("rep").orderBy(F.desc("members"), "key")
+    shared = keys.join(heads.select("key", "members"), "key").withColumn("place", F.row_number().over(crowd))
+    shared = stored(shared.filter(F.col("place") > F.col("spared")).select("key", "rep"), "keys")
+    heads = shared.groupBy("key").agg(F.min("rep").alias("head"))
+    near = shared.join(heads, "key").filter("rep != head").select("rep", "head").distinct()
     clustered = components(near).select(F.col("a").alias("rep"), F.col("b").alias("cluster"))
     members = stored(clustered.union(clustered.select(F.col("cluster").alias("rep"), "cluster").distinct()), "clusters")
 
     sizes = members.groupBy("cluster").agg(F.ceil(F.count("*") / similarity.tile).alias("tiles"))
     placed = members.join(sizes, "cluster").withColumn("tile", F.pmod(F.xxhash64("rep"), F.col("tiles")))
-    sets_read = _sets_of(docs, members, similarity)
+    texts = _texts_of(docs, members, similarity)
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1))
     tiles = (
-        sets_read.join(placed, sets_read["doc_id"] == placed["rep"])
-        .select("cluster", "rep", "tile", "shingles", other.alias("other"))
-        .select("cluster", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"), "tile", "rep", "shingles")
+        texts.join(placed, texts["doc_id"] == placed["rep"])
+        .select("cluster", "rep", "tile", "text", "size_groups", other.alias("other"))
+        .select(F.explode("size_groups").alias("size_group"), "cluster", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"), "tile", "rep", "text")
     )
     linked = components(_product(tiles, similarity))
 
