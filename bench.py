@@ -1,4 +1,4 @@
-"""Times every registered query once warmed up and prints one JSON line.
+"""Times every warehouse query once warmed up and prints one JSON line.
 
 BENCH_SF_DIR names the table folder, BENCH_CPUS the local cores.
 """
@@ -11,7 +11,7 @@ import time
 
 from pyspark.sql import SparkSession
 
-from __spark_entry__ import queries
+from dealerlake.workload import queries
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 
 
 def resolve_run_date(scheduled: str, requested: str | None = None) -> date:
     """The requested day if one was given, else the scheduled one.
 
-    Only the leading ``YYYY-MM-DD`` counts, so a full timestamp is accepted too.
+    An ISO date, or a full ISO timestamp of which the date counts. Anything else is a ValueError.
     """
-    return date.fromisoformat((requested or scheduled)[:10])
+    given = requested or scheduled
+    return date.fromisoformat(given) if len(given) == 10 else datetime.fromisoformat(given).date()
