@@ -118,39 +118,40 @@ class BlockKeys:
         return np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64)
 
 
-SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("keys", pa.binary())])
+SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64())])
 
 
 def _signatures(docs: DataFrame, similarity: Similarity) -> DataFrame:
-    """Per row: size of its set, 128 bits that stand for the set, its block keys."""
+    """Per row: size of its set, and 128 bits that stand for the set."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys = BlockKeys(similarity)
         for batch in batches:
             for first, texts in byte_slices(batch.column("text")):
                 sets = shingle_sets(texts, similarity.words)
                 sizes = np.array([len(s) for s in sets], np.int64)
                 sums = [np.array([mixed(s, salt).sum(dtype=U) for s in sets], U).view(np.int64) for salt in (4, 5)]
-                yield record_batch(SETS, [batch.column("doc_id").slice(first, len(texts)), sizes, *sums, [keys.of(s).tobytes() for s in sets]])
+                yield record_batch(SETS, [batch.column("doc_id").slice(first, len(texts)), sizes, *sums])
 
-    return docs.select("doc_id", "text").mapInArrow(sign, "doc_id long, n long, s1 long, s2 long, keys binary")
+    return docs.select("doc_id", "text").mapInArrow(sign, "doc_id long, n long, s1 long, s2 long")
 
 
-def _exploded(classes: DataFrame, similarity: Similarity) -> DataFrame:
-    """(key, rep, spared) of every block of every class; ``spared``: how many of its keys it can do without."""
+def _keys(docs: DataFrame, similarity: Similarity) -> DataFrame:
+    """(key, rep, spared) of every block of every row's set; ``spared``: how many of its keys it can do without."""
     schema = pa.schema([("key", pa.int64()), ("rep", pa.int64()), ("spared", pa.int32())])
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sizes = BlockKeys(similarity)
+        keys = BlockKeys(similarity)
         for batch in batches:
-            reps = batch.column("rep").to_numpy()
-            keys = [np.frombuffer(k.as_py(), np.int64) for k in batch.column("keys")]
-            if keys:
-                counts = [len(k) for k in keys]
-                spared = [sizes.spared(n) for n in batch.column("n").to_pylist()]
-                yield record_batch(schema, [np.concatenate(keys), np.repeat(reps, counts), np.repeat(spared, counts).astype(np.int32)])
+            ids = batch.column("doc_id").to_numpy()
+            for first, texts in byte_slices(batch.column("text")):
+                filled = [(doc, s) for doc, s in zip(ids[first : first + len(texts)], shingle_sets(texts, similarity.words), strict=True) if len(s)]
+                if filled:
+                    found = [keys.of(s) for _, s in filled]
+                    counts = [len(k) for k in found]
+                    spared = np.array([keys.spared(len(s)) for _, s in filled], np.int32)
+                    yield record_batch(schema, [np.concatenate(found), np.repeat([doc for doc, _ in filled], counts), np.repeat(spared, counts)])
 
-    return classes.select("rep", "keys", "n").mapInArrow(explode, "key long, rep long, spared int")
+    return docs.select("doc_id", "text").mapInArrow(explode, "key long, rep long, spared int")
 
 
 def tile_links(rows: list[tuple[int, int, np.ndarray]], same: bool, similarity: Similarity) -> list[tuple[int, int]]:
@@ -278,9 +279,17 @@ def groups(docs: DataFrame, similarity: Similarity = Similarity()) -> DataFrame:
     """
     signed = stored(_signatures(docs, similarity), "signatures")
     filled = signed.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
-    sets = filled.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep"), F.first("keys").alias("keys"))
-    keys = _exploded(sets, similarity).repartition("key")
-    heads = keys.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1")
+    sets = filled.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep"))
+    class_ids = sets.select(F.col("n").alias("cn"), F.col("s1").alias("c1"), F.col("s2").alias("c2"), "rep")
+    same_set = (F.col("n") == F.col("cn")) & (F.col("s1") == F.col("c1")) & (F.col("s2") == F.col("c2"))
+    classed = stored(signed.join(class_ids, same_set, "left").select("doc_id", "n", "rep"), "classes")
+    # A document whose rows all stand for another one's set adds nothing.
+    copies = classed.groupBy("doc_id").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).filter("least = most AND least != doc_id")
+    copies = stored(copies.select(F.col("doc_id").alias("copy")), "copies")  # stored: Spark then knows its size
+    distinct = docs.select("doc_id", "text").filter(F.col("doc_id").isNotNull()).join(copies, F.col("doc_id") == F.col("copy"), "left_anti")
+    # Counting all columns of the rows lets both readers of the keys share one shuffle.
+    keys = _keys(distinct, similarity).repartition("key")
+    heads = keys.groupBy("key").agg(F.count(F.when(F.col("spared") >= 0, F.col("rep"))).alias("members")).filter("members > 1")
     # Linked sets share more keys than both can do without, so each leaves out those most shared:
     # common passages then do not chain unlike documents together.
     crowd = Window.partitionBy("rep").orderBy(F.desc("members"), "key")
@@ -302,11 +311,7 @@ def groups(docs: DataFrame, similarity: Similarity = Similarity()) -> DataFrame:
     )
     linked = components(_product(tiles, similarity))
 
-    class_ids = sets.select(F.col("n").alias("cn"), F.col("s1").alias("c1"), F.col("s2").alias("c2"), "rep")
-    filled_in = signed.select("doc_id", "n", "s1", "s2").join(
-        class_ids, (F.col("n") == F.col("cn")) & (F.col("s1") == F.col("c1")) & (F.col("s2") == F.col("c2")), "left"
-    )
-    found = filled_in.join(linked, F.col("rep") == F.col("a"), "left")
+    found = classed.join(linked, F.col("rep") == F.col("a"), "left")
     own = F.when(F.col("n") > 0, F.coalesce("b", "rep")).otherwise(F.col("doc_id"))
     out = found.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), own).alias("component_id"))
     return out
