@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 
 from dealerlake.session import scratch_dir
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19  # numpy works on some 50 times as much at once
+BATCH_ROWS = "1000"  # texts handed to Python at once; Spark's own 10,000 rows of long texts weigh on an executor twice
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table. Sets the session's Arrow batch to ``BATCH_ROWS`` rows."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -37,6 +37,7 @@ class Similarity:
     words: int = 5
     percent: int = 80
     tile: int = 256  # documents of a cluster multiplied at once
+    entries: int = 500_000  # n-grams of such documents: of longer ones fewer make a tile
 
     def linked(self, overlap, a, b):
         return (100 + self.percent) * overlap >= self.percent * (a + b)
@@ -300,7 +301,9 @@ def groups(docs: DataFrame, similarity: Similarity = Similarity()) -> DataFrame:
     clustered = components(near).select(F.col("a").alias("rep"), F.col("b").alias("cluster"))
     members = stored(clustered.union(clustered.select(F.col("cluster").alias("rep"), "cluster").distinct()), "clusters")
 
-    sizes = members.groupBy("cluster").agg(F.ceil(F.count("*") / similarity.tile).alias("tiles"))
+    lengths = classed.groupBy(F.col("doc_id").alias("rep")).agg(F.max("n").alias("n"))
+    tiles_of = F.greatest(F.count("*") / similarity.tile, F.sum("n") / similarity.entries)
+    sizes = members.join(lengths, "rep").groupBy("cluster").agg(F.ceil(tiles_of).alias("tiles"))
     placed = members.join(sizes, "cluster").withColumn("tile", F.pmod(F.xxhash64("rep"), F.col("tiles")))
     texts = _texts_of(docs, members, similarity)
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1))
