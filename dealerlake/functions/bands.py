@@ -7,12 +7,12 @@ from datetime import date
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Inclusive price ranges per class, and the open top class.
+# Inclusive price ranges per class; the open top class lies above the last of them.
 PRICE_RANGES = (
     ("LOW", 100_000_000, 250_000_000),
     ("MEDIUM", 250_000_001, 400_000_000),
 )
-TOP_PRICE_CLASS = ("HIGH", 400_000_000)
+TOP_PRICE_CLASS = "HIGH"
 
 # Yearly service counts; above the range is HIGH, below it is LOW.
 MEDIUM_SERVICE_COUNTS = (5, 10)
@@ -29,11 +29,11 @@ LAST_INVOICE_BUCKET = "pmax"
 
 def price_class(price: Column) -> Column:
     """LOW / MEDIUM / HIGH; NULL below the lowest range and in the gap between two ranges."""
-    name, floor = TOP_PRICE_CLASS
-    band = F.when(price > floor, name)
-    for name, low, high in PRICE_RANGES:
+    (name, low, high), *others = PRICE_RANGES
+    band = F.when(price.between(low, high), name)
+    for name, low, high in others:
         band = band.when(price.between(low, high), name)
-    return band
+    return band.when(price > high, TOP_PRICE_CLASS)
 
 
 def outside_price_classes(price: Column) -> Column:

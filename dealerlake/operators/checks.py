@@ -63,9 +63,7 @@ def duplicate_keys(rows: DataFrame, key: Sequence[str]) -> DataFrame:
     return rows.groupBy(*key).agg(F.count("*").alias("copies")).filter("copies > 1")
 
 
-def key_violations(
-    existing: DataFrame, batch: DataFrame, key: Sequence[str], hash_batch: bool = False
-) -> DataFrame:
+def key_violations(existing: DataFrame, batch: DataFrame, key: Sequence[str]) -> DataFrame:
     """Keys the batch repeats or ``existing`` already holds; empty when the batch may be appended.
 
     ``copies`` counts the batch rows bringing the key, ``reason`` says which of the two it is.
@@ -74,13 +72,11 @@ def key_violations(
     Both parts start from the same counted keys, so the batch is shuffled once. The stored
     table is the streamed side of the join and the counted keys the side Spark may
     broadcast: a day's batch small enough for that leaves the stored table where it is, a
-    larger one gets a merge join. ``hash_batch`` asks for hashing the batch's part of each
-    partition instead, which spares sorting the stored keys; only for a batch known to fit.
+    larger one gets a merge join.
     """
     for column in key:
         batch = batch.filter(F.col(column).isNotNull())
     counted = batch.groupBy(*key).agg(F.count("*").alias("copies"))
     repeated = counted.filter("copies > 1").withColumn("reason", F.lit("repeated in batch"))
-    probe = counted.hint("shuffle_hash") if hash_batch else counted
-    stored = existing.select(*key).join(probe, list(key)).withColumn("reason", F.lit("already stored"))
+    stored = existing.select(*key).join(counted, list(key)).withColumn("reason", F.lit("already stored"))
     return repeated.unionByName(stored)

@@ -142,25 +142,30 @@ class TableStore:
         stored = self._stored_specs(run.table, load_date)
         for spec in stored - specs.keys():
             self.spark.sql(f"ALTER TABLE {self.name(run.table)} DROP IF EXISTS PARTITION ({spec})")
-        for spec, location in specs.items():
-            self._place(run.table, spec, location, exists=spec in stored)
+        for spec in stored & specs.keys():
+            self.spark.sql(f"ALTER TABLE {self.name(run.table)} PARTITION ({spec}) SET LOCATION '{specs[spec]}'")
+        self._add(run.table, {spec: location for spec, location in specs.items() if spec not in stored})
 
     def append_load(self, run: Run, load_date: date, buckets: Sequence[str] | None) -> None:
-        """Add the run under ``load_date``; its files are copied only where that partition exists already."""
+        """Add the run under ``load_date``; its files are copied only where that partition exists already.
+
+        Onto a date without rows all ranges appear in one statement: a load cut short shows all of them or none.
+        """
         stored = self._stored_specs(run.table, load_date)
-        for spec, location in self._specs(run, load_date, buckets).items():
-            if spec not in stored:
-                self._place(run.table, spec, location, exists=False)
-                continue
+        specs = self._specs(run, load_date, buckets)
+        self._add(run.table, {spec: location for spec, location in specs.items() if spec not in stored})
+        for spec in stored & specs.keys():
+            location = specs[spec]
             rows = self.spark.read.schema(run.table.struct).parquet(location)
             values = dict(part.split("=", 1) for part in spec.split(", "))
             for column in run.table.layout:
                 rows = rows.withColumn(column.name, F.expr(values[column.name]).cast(column.dtype))
             rows.write.insertInto(self.name(run.table))
 
-    def _place(self, table: Table, spec: str, location: str, exists: bool) -> None:
-        action = f"PARTITION ({spec}) SET LOCATION" if exists else f"ADD PARTITION ({spec}) LOCATION"
-        self.spark.sql(f"ALTER TABLE {self.name(table)} {action} '{location}'")
+    def _add(self, table: Table, places: dict[str, str]) -> None:
+        if places:
+            added = " ".join(f"PARTITION ({spec}) LOCATION '{location}'" for spec, location in places.items())
+            self.spark.sql(f"ALTER TABLE {self.name(table)} ADD {added}")
 
     def _specs(self, run: Run, load_date: date, buckets: Sequence[str] | None) -> dict[str, str]:
         """Partition spec -> folder. ``buckets`` are the non-empty inner folders, None where there are none."""

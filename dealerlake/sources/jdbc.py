@@ -20,18 +20,22 @@ def read_jdbc_table(
     *,
     split_column: str | None = None,
     bounds: tuple[object, object] | None = None,
-    partitions: int = 1,
+    partitions: int | None = None,
+    small: bool = False,
     **options: str,
 ) -> DataFrame:
-    """Read ``table``; with ``split_column`` and its ``bounds`` in ``partitions`` parallel ranges.
+    """Read ``table`` by ``split_column``, its ``bounds`` and a number of ``partitions``, or ``small`` ones whole.
 
-    Bounds only place the range borders, rows outside them are still read. Without a
-    split column the whole table comes through one connection: fit for small tables only.
+    Bounds only place the range borders, rows outside them are still read. A ``small``
+    table comes through one connection and one task. MySQL heeds the fetch size only with
+    ``useCursorFetch=true`` in the URL; without it a task buffers its whole range.
     """
     reader = spark.read.format("jdbc").options(url=url, dbtable=table, fetchsize=BATCH_ROWS)
+    if split_column is None and not small:
+        raise ValueError(f"{table}: give split_column, bounds and partitions, or say that it is small")
     if split_column is not None:
-        if bounds is None:
-            raise ValueError("split_column needs bounds")
+        if bounds is None or partitions is None:
+            raise ValueError("split_column needs bounds and partitions")
         reader = reader.options(
             partitionColumn=split_column,
             lowerBound=str(bounds[0]),
@@ -49,17 +53,19 @@ def write_jdbc_table(
     url: str,
     table: str,
     *,
+    connections: int,
     mode: str = "append",
-    connections: int = 16,
     **options: str,
 ) -> None:
     """Write to ``table``. ``overwrite`` empties it and keeps its definition.
 
-    ``connections`` bounds how many tasks write at once, so a wide job does not
-    swamp the database.
+    ``connections`` bounds how many tasks write at once. The rows are shuffled to that many
+    tasks, so that what computes them keeps its own parallelism. MySQL sends batches as
+    such only with ``rewriteBatchedStatements=true`` in the URL.
     """
     (
-        rows.write.format("jdbc")
+        rows.repartition(connections)
+        .write.format("jdbc")
         .mode(mode)
         .options(url=url, dbtable=table, batchsize=BATCH_ROWS, truncate="true", numPartitions=str(connections))
         .options(**options)

@@ -43,9 +43,6 @@ from dealerlake.sinks import TableStore
 from dealerlake.sources import append_staging, created_on, read_address_file
 from dealerlake.sources.address_files import MALFORMED
 
-# Keys of a batch one task may hold in memory while stored keys stream past.
-HASHED_KEYS = 2_000_000
-
 
 @dataclass(frozen=True)
 class LoadReport:
@@ -111,15 +108,17 @@ class Warehouse:
 
     def load_mart_sales(self, load_ts: datetime | None = None) -> LoadReport:
         """Rebuild the sales mart. Sales outside every price class reject it; the old mart stays."""
-        return self._refresh(MART_SALES, mart_sales(self.store.read(TXF_SALES)), load_ts)
+        sales, read = counting(self.store.read(TXF_SALES), {})
+        return self._refresh(MART_SALES, mart_sales(sales), read, load_ts)
 
     def load_mart_cust_service_prio(self, load_ts: datetime | None = None) -> LoadReport:
+        services, read = counting(self.store.read(TXF_AFTER_SALES), {})
         rows = mart_cust_service_prio(
-            self.store.read(TXF_AFTER_SALES),
+            services,
             self.store.read_unbucketed(TXF_CUSTOMERS),
             self.store.read_unbucketed(TXF_CUSTOMER_ADDRESS),
         )
-        return self._refresh(MART_CUST_SERVICE_PRIO, rows, load_ts)
+        return self._refresh(MART_CUST_SERVICE_PRIO, rows, read, load_ts)
 
     def _replace(
         self, table: Table, rows: DataFrame, read: Observation, fatal: tuple[str, ...] = ()
@@ -132,18 +131,19 @@ class Warehouse:
             broken = {name: notes[name] for name in fatal if notes[name]}
             if broken:
                 raise LoadRejected(f"{table.name}: {broken}")
-            _require_none(table, duplicate_keys(self.store.read_run(run), table.key))
+            repeated = duplicate_keys(self.store.read_run(run), table.key)
+            _require_none(table, repeated.withColumn("reason", F.lit("repeated in result")))
             self.store.replace_table(run)
         finally:
             self.store.discard(run)
         return LoadReport(table.name, rows_read, run.rows, notes)
 
-    def _refresh(self, table: Table, rows: DataFrame, load_ts: datetime | None) -> LoadReport:
+    def _refresh(self, table: Table, rows: DataFrame, read: Observation, load_ts: datetime | None) -> LoadReport:
         stamp = load_ts or datetime.now(UTC).replace(tzinfo=None)
         run = self.store.write_run(table, rows.withColumn("load_timestamp", moment(stamp)))
         self.store.require_valid(run)
         self.store.replace_table(run)
-        return LoadReport(table.name, run.rows, run.rows)
+        return LoadReport(table.name, read.get[ROWS], run.rows)
 
     def _load_fact(
         self, table: Table, staging: Table, typed, run_date: date, initial_load: bool, load_ts: datetime | None
@@ -184,8 +184,7 @@ class Warehouse:
                 for column in table.sorted_by:
                     low, high = run.counted[f"first {column}"], run.counted[f"last {column}"]
                     existing = existing.filter(F.col(column).between(F.lit(low), F.lit(high)))
-                fits = table.bucketed and run.rows <= HASHED_KEYS * self.store.bucket_count(table)
-                _require_none(table, key_violations(existing, self.store.read_run(run), table.key, hash_batch=fits))
+                _require_none(table, key_violations(existing, self.store.read_run(run), table.key))
             publish = self.store.append_load if initial_load else self.store.replace_load
             publish(run, load_ts.date(), buckets)
         finally:
@@ -205,6 +204,16 @@ def _range(table: Table) -> list[Column]:
 
 
 def _require_none(table: Table, violations: DataFrame) -> None:
-    found = violations.take(5)
+    """Raise if there is any violation, with the number of keys and rows of each reason and its smallest key.
+
+    One aggregate, whatever the number of partitions; ``violations`` itself lists every key.
+    """
+    found = (
+        violations.groupBy("reason")
+        .agg(F.count("*").alias("keys"), F.sum("copies").alias("rows"), F.min(F.struct(*table.key)).alias("least"))
+        .orderBy("reason")
+        .collect()
+    )
     if found:
-        raise LoadRejected(f"{table.name}: duplicate keys, such as {[tuple(row) for row in found]}")
+        told = [f"{r.keys} keys in {r.rows} rows {r.reason}, such as {tuple(r.least)}" for r in found]
+        raise LoadRejected(f"{table.name}: duplicate keys: {'; '.join(told)}")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+# Fixed values below: the price classes' limits, the date patterns and the service types.
 _SALES = """
 sales AS (
     SELECT CAST(o_orderkey AS VARCHAR) AS vin,

@@ -110,6 +110,11 @@ def test_jdbc_needs_bounds_to_split(spark):
         read_jdbc_table(spark, "jdbc:mysql://db/dwh", "stg_sales_raw", split_column="id", partitions=8)
 
 
+def test_jdbc_reads_no_table_through_one_task_unasked(spark):
+    with pytest.raises(ValueError, match="small"):
+        read_jdbc_table(spark, "jdbc:mysql://db/dwh", "stg_sales_raw")
+
+
 def test_jdbc_without_a_driver_fails_at_once(spark):
     with pytest.raises(ConnectionError, match="stg_sales_raw"):
-        read_jdbc_table(spark, "jdbc:mysql://db/dwh", "stg_sales_raw")
+        read_jdbc_table(spark, "jdbc:mysql://db/dwh", "stg_sales_raw", small=True)
