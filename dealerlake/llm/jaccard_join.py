@@ -1,10 +1,11 @@
 """N-gram Jaccard join as a blocked sparse product of the document by n-gram incidence matrix.
 
 The overlap of two documents is the sum over n-grams of the product of their entries. It is not
-formed for all pairs. Columns are dealt by hash into blocks, more of them than the number of n-grams
-in which two linked documents of a size group can differ: linked documents then have whole blocks in
-common. Pairs without a common block are below the size-derived bound and
-never formed. Documents joined by common blocks form clusters; the rows of a cluster are dealt into
+formed for all pairs. Columns are dealt by hash into parts, more of them than half the number of n-grams
+in which two linked documents of a size group can differ: in some part they then differ in one n-gram at
+most. A part has four blocks and a key for each three of them, so linked documents have keys in common.
+Pairs without one are below the size-derived bound and never formed. Documents of a size group
+joined by common keys form clusters; the rows of a cluster are dealt into
 tiles, and for each pair of tiles the product accumulates the overlap counts of their rows. Pairs
 whose overlap is below the bound from their sizes are discarded, and of the rest only enough edges
 to connect them leave the task.
@@ -27,6 +28,8 @@ from dealerlake.llm.common import byte_slices, record_batch, stored
 from dealerlake.llm.components import components
 from dealerlake.llm.shingles import U, mixed, shingle_sets
 
+WAYS = 4  # blocks of a part of the columns
+GROUPS = 120  # size groups; the last holds sets of 10**13 n-grams
 FILTER_BITS = 1 << 24  # of the bitmap that spares texts of unclustered documents a shuffle; 2 MB
 
 
@@ -49,32 +52,42 @@ class Similarity:
             firsts.append(max(firsts[-1] + 1, firsts[-1] * 13 // 10))
         return firsts
 
+    def differ(self, end: int) -> int:
+        """The most n-grams in which linked sets of fewer than ``end`` can differ."""
+        return 2 * (end - 1) * (100 - self.percent) // (100 + self.percent)
+
     @staticmethod
     def crowded(differ: int) -> int:
         """How many of its keys, the ones most shared, a set can do without."""
-        return -(-differ // 12)
+        return -(-differ // 24)
 
-    def blocks(self, first: int, end: int) -> tuple[int, int]:
-        """Column blocks for sets of a size group, and how many of them may be empty.
+    def parts(self, first: int, end: int) -> tuple[int, int]:
+        """Column parts for sets of a size group, and how many of their keys may be empty.
 
-        Linked sets differ in at most d n-grams, so of d + 1 + e blocks they have at least 1 + e in
-        common. At most e of these are empty unless both sets have more than e empty blocks. e is set
-        so that few sets of the group's smallest size have more; sets that do give keys for empty blocks too.
+        Linked sets differ in at most d n-grams, so of d // 2 + 1 + e parts at least 1 + e hold one
+        difference or none, and each of those gives a key in common. At most ``spare`` of these are empty
+        unless both sets have more empty keys. It is set so that few sets of the group's smallest size
+        have more; sets that do give their empty keys too.
         """
-        differ = 2 * (end - 1) * (100 - self.percent) // (100 + self.percent)
+        differ = self.differ(end)
         if differ == 0:
-            return 1, 0
+            return 0, 0
+        fewest = differ // 2 + 1 + 2 * self.crowded(differ)
         least = first * self.percent / 100
         for spare in range(differ + 3):
-            count = differ + 1 + spare + 2 * self.crowded(differ)
-            empty = count * (1 - 1 / count) ** least
+            count = fewest + spare
+            empty = WAYS * count * (1 - (WAYS - 1) / (WAYS * count)) ** least
             if empty + 2.5 * math.sqrt(empty) <= spare:
                 return count, spare
-        return differ + 1 + 2 * self.crowded(differ), 0  # sets so small that spare blocks do not help
+        return fewest, 0  # sets so small that spare parts do not help
 
 
 class BlockKeys:
-    """Keys of a set's column blocks; sets with a key in common are candidates."""
+    """Keys of a set's columns; sets with a key in common are candidates.
+
+    Each part of the columns is cut into ``WAYS`` blocks and gives a key for the content of all its
+    blocks but one, for each of them.
+    """
 
     def __init__(self, similarity: Similarity):
         self.similarity = similarity
@@ -95,28 +108,30 @@ class BlockKeys:
                 self.firsts = sim.size_groups(2 * self.firsts[-1])
         return groups
 
-    def spared(self, n: int) -> int:
-        """The fewest keys that a set of ``n`` can do without in any of its groups."""
-        differ = [2 * (self.firsts[g + 1] - 1) * (100 - self.similarity.percent) // (100 + self.similarity.percent) for g in self.groups_of(n)]
-        return min((self.similarity.crowded(d) for d in differ if d), default=0)
-
-    def of(self, shingles: np.ndarray) -> np.ndarray:
+    def of(self, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The keys, and the size group of each."""
         sim, groups = self.similarity, self.groups_of(len(shingles))
         dealt, held = mixed(shingles, 1), mixed(shingles, 2)
-        keys = []
+        keys, at = [], []
         for g in groups:
             if g not in self.known:
-                self.known[g] = sim.blocks(self.firsts[g], self.firsts[g + 1])
+                self.known[g] = sim.parts(self.firsts[g], self.firsts[g + 1])
             count, spare = self.known[g]
-            if count == 1:  # only equal sets link, and those are one class already
+            if count == 0:  # only equal sets link, and those are one class already
                 continue
-            block = (dealt % U(count)).astype(np.int64)
-            content = np.zeros(count, U)
+            block = (dealt % U(WAYS * count)).astype(np.int64)
+            content = np.zeros(WAYS * count, U)
             np.add.at(content, block, held)
-            key = mixed(content + mixed(np.arange(count, dtype=U) + (U(g) << U(40)), 3))
-            filled = np.bincount(block, minlength=count) > 0
-            keys.append(key if count - filled.sum() > spare else key[filled])
-        return np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64)
+            sizes = np.bincount(block, minlength=WAYS * count).reshape(count, WAYS)
+            content = content.reshape(count, WAYS)
+            rest = (content.sum(axis=1, dtype=U, keepdims=True) - content).ravel()
+            filled = (sizes.sum(axis=1, keepdims=True) - sizes).ravel() > 0
+            key = mixed(rest + mixed(np.arange(WAYS * count, dtype=U) + (U(g) << U(40)), 3))
+            keys.append(key if len(key) - filled.sum() > spare else key[filled])
+            at.append(np.full(len(keys[-1]), g, np.int32))
+        if not keys:
+            return np.zeros(0, np.int64), np.zeros(0, np.int32)
+        return np.concatenate(keys).view(np.int64), np.concatenate(at)
 
 
 SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64())])
@@ -137,8 +152,8 @@ def _signatures(docs: DataFrame, similarity: Similarity) -> DataFrame:
 
 
 def _keys(docs: DataFrame, similarity: Similarity) -> DataFrame:
-    """(key, rep, spared) of every block of every row's set; ``spared``: how many of its keys it can do without."""
-    schema = pa.schema([("key", pa.int64()), ("rep", pa.int64()), ("spared", pa.int32())])
+    """(key, rep, size_group) of every key of every row's set."""
+    schema = pa.schema([("key", pa.int64()), ("rep", pa.int64()), ("size_group", pa.int32())])
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = BlockKeys(similarity)
@@ -147,12 +162,22 @@ def _keys(docs: DataFrame, similarity: Similarity) -> DataFrame:
             for first, texts in byte_slices(batch.column("text")):
                 filled = [(doc, s) for doc, s in zip(ids[first : first + len(texts)], shingle_sets(texts, similarity.words), strict=True) if len(s)]
                 if filled:
-                    found = [keys.of(s) for _, s in filled]
-                    counts = [len(k) for k in found]
-                    spared = np.array([keys.spared(len(s)) for _, s in filled], np.int32)
-                    yield record_batch(schema, [np.concatenate(found), np.repeat([doc for doc, _ in filled], counts), np.repeat(spared, counts)])
+                    found, at = zip(*(keys.of(s) for _, s in filled), strict=True)
+                    yield record_batch(schema, [np.concatenate(found), np.repeat([doc for doc, _ in filled], [len(k) for k in found]), np.concatenate(at)])
+
+    return docs.select("doc_id", "text").mapInArrow(explode, "key long, rep long, size_group int")
+
+
+def _node(rep: str, size_group: str) -> Column:
+    """A number for a document in a size group. Two that share a number become one cluster, which loses no link."""
+    return F.col(rep).bitwiseXOR(F.shiftleft(F.col(size_group).cast("long"), 56))
+
 
-    return docs.select("doc_id", "text").mapInArrow(explode, "key long, rep long, spared int")
+def _spared(similarity: Similarity) -> Column:
+    """How many of its keys of a size group a set can do without."""
+    ends = similarity.size_groups(10**13)[1:]
+    known = [similarity.crowded(similarity.differ(end)) for end in ends[:GROUPS]]
+    return F.element_at(F.lit(known).cast("array<long>"), F.col("size_group") + 1)
 
 
 def tile_links(rows: list[tuple[int, int, np.ndarray]], same: bool, similarity: Similarity) -> list[tuple[int, int]]:
@@ -209,24 +234,27 @@ LINKS = pa.schema([("x", pa.int64()), ("y", pa.int64())])
 
 def _product(tiles: DataFrame, similarity: Similarity) -> DataFrame:
     """Links within each pair of tiles. A task sees its tile pairs one after the other."""
-    keys = ("low", "high", "cluster", "size_group")
+    keys = ("low", "high", "cluster")
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[int, int, np.ndarray]] = []
+        held: list[tuple[int, int, bytes]] = []
         now = None
 
         def done() -> pa.RecordBatch:
-            return record_batch(LINKS, list(zip(*tile_links(held, now[0] == now[1], similarity), strict=True)) or [[], []])
+            texts = pa.array([text for _, _, text in held], pa.large_binary())
+            sets = [x for _, part in byte_slices(texts) for x in shingle_sets(part, similarity.words)]
+            rows = [(tile, doc, x) for (tile, doc, _), x in zip(held, sets, strict=True)]
+            return record_batch(LINKS, list(zip(*tile_links(rows, now[0] == now[1], similarity), strict=True)) or [[], []])
 
         for batch in batches:
             heads = list(zip(*(batch.column(k).to_pylist() for k in keys), strict=True))
-            texts = batch.column("text")
+            texts = batch.column("text").cast(pa.large_binary())
             for head, tile, doc, text in zip(heads, *(batch.column(c).to_pylist() for c in ("tile", "rep")), texts, strict=True):
                 if head != now:
                     if len(held) > 1:
                         yield done()
                     held, now = [], head
-                held.append((int(tile != head[0]), doc, shingle_sets([(text.as_py() or "").encode()], similarity.words)[0]))
+                held.append((int(tile != head[0]), doc, text.as_py() or b""))
         if len(held) > 1:
             yield done()
 
@@ -249,25 +277,23 @@ def _bitmap(ids: DataFrame) -> dict[int, bytes]:
     return {r.bucket: bytes(r.bits) for r in rows}
 
 
-def _texts_of(docs: DataFrame, members: DataFrame, similarity: Similarity) -> DataFrame:
-    """(doc_id, text, size_groups) of the documents whose id may be among ``members``: certainly of all that are."""
+def _texts_of(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """(doc_id, text) of the documents whose id may be among ``members``: certainly of all that are."""
     bits = np.zeros(FILTER_BITS // 8, np.uint8)
     for bucket, part in _bitmap(members).items():
         first = (bucket - 1) * 4096  # buckets count from 1
         bits[first : first + 4096] |= np.frombuffer(part, np.uint8)
     shared = docs.sparkSession.sparkContext.broadcast(bits)  # 2 MB whatever the input
-    schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("size_groups", pa.list_(pa.int32()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string())])
 
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sizes = BlockKeys(similarity)
         for batch in batches:
             bit = batch.column("bit").to_numpy() - 1
             kept = batch.filter(pa.array(shared.value[bit >> 3] >> (bit & 7).astype(np.uint8) & 1 == 1))
-            groups = [sizes.groups_of(len(x)) for _, part in byte_slices(kept.column("text")) for x in shingle_sets(part, similarity.words)]
-            yield record_batch(schema, [kept.column("doc_id"), kept.column("text"), groups])
+            yield record_batch(schema, [kept.column("doc_id"), kept.column("text")])
 
     read = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", "text", _bit("doc_id").alias("bit"))
-    return read.mapInArrow(sift, "doc_id long, text string, size_groups array<int>")
+    return read.mapInArrow(sift, "doc_id long, text string")
 
 
 def groups(docs: DataFrame, similarity: Similarity = Similarity()) -> DataFrame:
@@ -290,27 +316,30 @@ def groups(docs: DataFrame, similarity: Similarity = Similarity()) -> DataFrame:
     distinct = docs.select("doc_id", "text").filter(F.col("doc_id").isNotNull()).join(copies, F.col("doc_id") == F.col("copy"), "left_anti")
     # Counting all columns of the rows lets both readers of the keys share one shuffle.
     keys = _keys(distinct, similarity).repartition("key")
-    heads = keys.groupBy("key").agg(F.count(F.when(F.col("spared") >= 0, F.col("rep"))).alias("members")).filter("members > 1")
+    heads = keys.groupBy("key").agg(F.count(F.when(F.col("size_group") >= 0, F.col("rep"))).alias("members")).filter("members > 1")
     # Linked sets share more keys than both can do without, so each leaves out those most shared:
     # common passages then do not chain unlike documents together.
-    crowd = Window.partitionBy("rep").orderBy(F.desc("members"), "key")
+    crowd = Window.partitionBy("rep", "size_group").orderBy(F.desc("members"), "key")
     shared = keys.join(heads.select("key", "members"), "key").withColumn("place", F.row_number().over(crowd))
-    shared = stored(shared.filter(F.col("place") > F.col("spared")).select("key", "rep"), "keys")
-    heads = shared.groupBy("key").agg(F.min("rep").alias("head"))
-    near = shared.join(heads, "key").filter("rep != head").select("rep", "head").distinct()
-    clustered = components(near).select(F.col("a").alias("rep"), F.col("b").alias("cluster"))
-    members = stored(clustered.union(clustered.select(F.col("cluster").alias("rep"), "cluster").distinct()), "clusters")
+    shared = shared.filter(F.col("place") > _spared(similarity)).select("key", "rep", "size_group")
+    # Each size group has clusters of its own: a document takes part in those of all its groups.
+    shared = stored(shared.withColumn("node", _node("rep", "size_group")), "keys")
+    heads = shared.groupBy("key").agg(F.min("node").alias("head"))
+    near = shared.join(heads, "key").filter("node != head").select("node", "head").distinct()
+    clustered = components(near).select(F.col("a").alias("node"), F.col("b").alias("cluster"))
+    clustered = clustered.union(clustered.select(F.col("cluster").alias("node"), "cluster").distinct())
+    members = stored(shared.select("node", "rep").distinct().join(clustered, "node").select("rep", "cluster"), "clusters")
 
     lengths = classed.groupBy(F.col("doc_id").alias("rep")).agg(F.max("n").alias("n"))
     tiles_of = F.greatest(F.count("*") / similarity.tile, F.sum("n") / similarity.entries)
     sizes = members.join(lengths, "rep").groupBy("cluster").agg(F.ceil(tiles_of).alias("tiles"))
     placed = members.join(sizes, "cluster").withColumn("tile", F.pmod(F.xxhash64("rep"), F.col("tiles")))
-    texts = _texts_of(docs, members, similarity)
+    texts = _texts_of(docs, members)
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1))
     tiles = (
         texts.join(placed, texts["doc_id"] == placed["rep"])
-        .select("cluster", "rep", "tile", "text", "size_groups", other.alias("other"))
-        .select(F.explode("size_groups").alias("size_group"), "cluster", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"), "tile", "rep", "text")
+        .select("cluster", "rep", "tile", "text", other.alias("other"))
+        .select("cluster", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"), "tile", "rep", "text")
     )
     linked = components(_product(tiles, similarity))
 
