@@ -177,7 +177,8 @@ def _spared(similarity: Similarity) -> Column:
     """How many of its keys of a size group a set can do without."""
     ends = similarity.size_groups(10**13)[1:]
     known = [similarity.crowded(similarity.differ(end)) for end in ends[:GROUPS]]
-    return F.element_at(F.lit(known).cast("array<long>"), F.col("size_group") + 1)
+    # Without coalesce, Spark adds a NULL filter to one of the two readers of the keys, and they share no shuffle.
+    return F.element_at(F.lit(known).cast("array<long>"), F.coalesce("size_group", F.lit(0)) + 1)
 
 
 def tile_links(rows: list[tuple[int, int, np.ndarray]], same: bool, similarity: Similarity) -> list[tuple[int, int]]:
