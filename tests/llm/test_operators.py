@@ -536,6 +536,47 @@ def test_repeated_passages_go_but_once(spark):
         assert i == 1 or out.get(i, "").split("\n") == (rest or [""])
 
 
+@pytest.mark.parametrize("size", [3, 4])
+def test_passages_of_short_lines_go_whole_in_any_context(spark, size):
+    draw = np.random.default_rng(size)
+    line = lambda n: " ".join(f"w{v}" for v in draw.integers(0, 10**6, n))
+    passage = [line(n) for n in draw.integers(15, 26, size)]
+    rows = [(i, "\n".join([*(line(7) for _ in range(i % 5)), *passage, *(line(8) for _ in range(1 + i % 3))])) for i in range(1, 40)]
+    rows.append((40, "\n".join([passage[1], line(9), passage[0]])))  # short lines that do not stand together
+    out = {r.doc_id: r.text for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, text in rows:
+        rest = text if i in (1, 40) else "\n".join(x for x in text.split("\n") if x not in passage)
+        assert out[i] == rest
+
+
+def literal_dedup(rows, long_words=30):
+    """Pairs of lines and long lines by their bytes, in order; lines of repeats go unless they overlap the first."""
+    first, out = {}, {}
+    for doc, text in sorted(rows):
+        lines, gone = text.split("\n"), set()
+        filled = [i for i, x in enumerate(lines) if x.strip(" ")]
+        units = [(a, b) for a, b in zip(filled, filled[1:])] + [(a, a) for a in filled if lines[a].count(" ") + 1 >= long_words]
+        for a, b in units:
+            at = first.setdefault("\n".join(lines[a : b + 1]), (doc, a, b))
+            if at[0] != doc or a > at[2]:
+                gone.update(range(a, b + 1))
+        rest = "\n".join(x for i, x in enumerate(lines) if i not in gone)
+        if not gone or rest.replace("\n", "").strip(" "):
+            out[doc] = rest
+    return out
+
+
+def test_line_dedup_against_brute_force(spark, docs, texts):
+    loops = {-1: "a\na\na\na\na", -2: "a b\n\nc\na b\n\nc\n", -3: "z\nq\n\n", -4: "z\nq", -5: "\n\nlone"}
+    rows = [*texts.items(), *loops.items()]
+    out = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    expected = literal_dedup([(i, t or "") for i, t in rows])
+    assert {r.doc_id: r.text or "" for r in out} == expected
+    assert len(out) == len(expected) < len(rows)
+    plan = line_dedup.dedup_lines(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
 def test_line_dedup_of_awkward_texts(odd, empty):
     out = line_dedup.dedup_lines(odd)
     assert out.columns == odd.columns
