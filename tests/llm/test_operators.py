@@ -605,6 +605,24 @@ def test_pipeline_keeps_documents_whole(spark, docs):
     assert rows_of(corpus_pipeline.run(spark, SF).drop("token_ids")) == rows_of(final.drop("token_ids"))
 
 
+def test_pipeline_keeps_one_of_each_group_of_copies(spark):
+    draw = np.random.default_rng(5)
+    line = lambda n: " ".join(f"w{v}" for v in draw.integers(0, 10**6, n))
+    originals = ["\n".join(line(n) for n in draw.integers(8, 20, size)) for size in (1, 2, 3, 4, 5, 9, 14)]
+    texts = [t for t in originals for _ in range(4)] + [originals[4] + "\n"] * 3
+    order = draw.permutation(len(texts))
+    rows = [(int(i), texts[n], "en", "test", len(texts[n])) for i, n in enumerate(order)]
+    now = spark.createDataFrame(rows, DOCS)
+    for _, stage in corpus_pipeline.STAGES[1:3]:
+        now = corpus_pipeline.stored(stage(spark, now, SF), "test")
+    left = now.collect()
+    firsts = {}
+    for i, text, *_ in rows:
+        firsts.setdefault(text.strip("\n"), i)
+    assert {r.doc_id for r in left} == set(firsts.values())
+    assert len(left) == 7 and all(r.text.strip("\n") in firsts for r in left)
+
+
 def test_pipeline_of_awkward_tables(spark, odd, empty):
     for frame in (odd, empty):
         now = frame
