@@ -1,8 +1,7 @@
 """Personal data in text: fixed patterns, and a conditional random field over word shapes.
 
 The field is trained on the small labelled table below and labels the words of every line by
-Viterbi, in numpy batches; of a line of more than 64 words, each stretch of 64. Runs of equally
-labelled words become spans.
+Viterbi over the whole line, in numpy batches. Runs of equally labelled words become spans.
 """
 
 from __future__ import annotations
@@ -27,7 +26,6 @@ EMAIL_LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012
 IP = re.compile(r"[0-9](?<![0-9][0-9])[0-9]*+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-STRETCH = 64
 KINDS = ("email", "ip", "card", "phone")
 
 Span = tuple[str, int, int]
@@ -295,14 +293,6 @@ def train(table: str = LABELLED, steps: int = 200) -> Field:
     return Field(ChainCRF(ROWS, len(LABELS)).fit(words.bins(), np.array(labels), words.lines, steps, 0.1, 0.003))
 
 
-def stretches(lines: np.ndarray) -> np.ndarray:
-    """Line lengths with every longer line cut into stretches of STRETCH words and a rest."""
-    each = -(-lines // STRETCH)
-    out = np.full(int(each.sum()), STRETCH)
-    out[np.cumsum(each) - 1] = lines - (each - 1) * STRETCH
-    return out
-
-
 def field_spans(texts: Sequence[bytes], crf: Field) -> list[list[Span]]:
     """Runs of equally labelled words in each text. Punctuation at a run's end is left out."""
     joined = np.frombuffer(b"".join(t + b"\n" for t in texts), np.uint8)
@@ -310,7 +300,8 @@ def field_spans(texts: Sequence[bytes], crf: Field) -> list[list[Span]]:
     words = read_words(joined)
     if not len(words.starts):
         return spans
-    path = best_path(crf.unary(words), crf.moves, Layout.of(stretches(words.lines)))
+    # In 64 bits: scores grow along a line, which may be a whole text.
+    path = best_path(crf.unary(words).astype(np.float64), crf.moves, Layout.of(words.lines))
     line = np.repeat(np.arange(len(words.lines)), words.lines)
     hit = np.flatnonzero(path)
     if not len(hit):

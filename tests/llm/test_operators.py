@@ -475,6 +475,36 @@ def test_the_field_learned_its_table_and_more():
     assert clean == []
 
 
+def test_the_field_decodes_whole_lines():
+    """A line of 200 words and more, words announced across every place where it might be cut."""
+    crf = personal_data.train()
+    draw = np.random.default_rng(3)
+    pool = "Mr. Mrs. Anna Weber call 030-7654321 the and IBAN GB29NWBK60161331926819 Tel. 4111 1111 house M. Louis of x@y Berlin".split()
+    texts = [" ".join(draw.choice(pool, n)).encode() for n in (200, 333, 64, 65, 2000)]
+    for text in texts:
+        words = personal_data.read_words(np.frombuffer(text + b"\n", np.uint8))
+        unary, moves = crf.unary(words).astype(np.float64), crf.moves.astype(np.float64)
+        score, came = unary[0], []
+        for row in unary[1:]:
+            through = score[:, None] + moves
+            came.append(through.argmax(axis=0))
+            score = through.max(axis=0) + row
+        path = [int(score.argmax())]
+        for back in came[::-1]:
+            path.append(int(back[path[-1]]))
+        path.reverse()
+        plain, expected, at = text.decode().split(" "), [], 0
+        places = np.cumsum([0, *[len(w) + 1 for w in plain]])
+        for label, run in itertools.groupby(path):
+            size = len(list(run))
+            if label:
+                start, end = int(places[at]), int(places[at + size]) - 1
+                end = max(start + 1, start + len(text[start:end].decode().rstrip(".,;:!?")))
+                expected.append((f"crf_{personal_data.LABELS[label]}", start, end))
+            at += size
+        assert personal_data.field_spans([text], crf) == [expected]
+
+
 @pytest.mark.parametrize("scan", [secrets.scan_secrets, personal_data.scan_personal_data])
 def test_scans_of_awkward_texts(odd, empty, scan):
     out = scan(odd).collect()
