@@ -1,8 +1,9 @@
 """Secrets in text: fixed patterns, and strings whose characters look drawn at random.
 
-A candidate string is assigned the narrowest character class it fits. A window slides over it while
-counts of the characters inside, and from them the Shannon entropy, are kept up to date step by step.
-Windows at or over the class's threshold are joined to spans, unless an allow-list entry covers them.
+A window slides over a candidate string while counts of the characters inside, and from them the Shannon
+entropy, are kept up to date step by step. Each window has the narrowest character class it fits. Windows
+at or over their class's threshold are joined to spans, unless they overlap an allow-list entry or the
+letters and digits it is part of. Of such a span, the parts outside base spans count.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 DIGIT = re.compile("[0-9]")
+WORD = re.compile("[A-Za-z0-9+]+")
 WORDS = ("passw", "secret", "token", "api")  # a text holding none of these has no assignment
 ASSIGN_VALUE, ACCESS_LENGTH = 6, 20
 KINDS = ("assign", "access", "hex")
@@ -106,19 +108,50 @@ def entropy_spans(text: str, rules: EntropyRules = EntropyRules()) -> list[Span]
     if not DIGIT.search(text):  # no window can count
         return spans
     for candidate in rules.candidate.finditer(text):
-        value = candidate[0]
-        if any(re.search(pattern, value) for pattern in rules.allowed):
-            continue
-        fits = next((c for c in rules.classes if re.fullmatch(c.pattern, value)), None)
-        if fits:
-            spans += [("entropy", candidate.start() + a, candidate.start() + b) for a, b in high_windows(value, rules.window, fits.bits)]
+        value, start = candidate[0], candidate.start()
+        matches = [m.span() for pattern in rules.allowed for m in re.finditer(pattern, value)]
+        words = [m.span() for m in WORD.finditer(value)] if matches else []
+        allowed = matches + [w for w in words if any(w[0] < b and a < w[1] for a, b in matches)]
+        found: list[tuple[int, int]] = []
+        for rule, first, end in class_runs(value, rules):
+            for x, y in without((first, end), allowed):
+                found += [(x + a, x + b) for a, b in high_windows(value[x:y], rules.window, rule.bits)]
+        joined: list[tuple[int, int]] = []
+        for a, b in sorted(found):
+            if joined and joined[-1][1] >= a:
+                joined[-1] = (joined[-1][0], max(joined[-1][1], b))
+            else:
+                joined.append((a, b))
+        spans += [("entropy", start + a, start + b) for a, b in joined]
     return spans
 
 
+def class_runs(value: str, rules: EntropyRules) -> Iterator[tuple[CharacterClass, int, int]]:
+    """Longest parts of ``value`` that fit a class and hold a window; a part inside a narrower class's is left out."""
+    held: list[tuple[int, int]] = []
+    for rule in rules.classes:
+        runs = [m.span() for m in re.finditer(rule.pattern, value) if m.end() - m.start() >= rules.window]
+        runs = [(a, b) for a, b in runs if not any(x <= a and b <= y for x, y in held)]
+        yield from ((rule, a, b) for a, b in runs)
+        held += runs
+
+
+def without(span: tuple[int, int], holes: Sequence[tuple[int, int]]) -> list[tuple[int, int]]:
+    """What is left of a span outside ``holes``."""
+    parts, at = [], span[0]
+    for a, b in sorted(holes):
+        if b > at and a < span[1]:
+            parts.append((at, a))
+            at = b
+    parts.append((at, span[1]))
+    return [(a, b) for a, b in parts if a < b]
+
+
 def find_spans(text: str, rules: EntropyRules = EntropyRules()) -> tuple[list[Span], list[Span]]:
-    """(base spans, all spans): entropy spans join where they touch no base span."""
+    """(base spans, all spans): of an entropy span, the parts outside base spans join."""
     base = base_spans(text)
-    extra = [s for s in entropy_spans(text, rules) if not any(s[1] < b[2] and b[1] < s[2] for b in base)]
+    taken = [b[1:] for b in base]
+    extra = [("entropy", *part) for s in entropy_spans(text, rules) for part in without(s[1:], taken)]
     order = (*KINDS, "entropy")
     return base, sorted(base + extra, key=lambda s: (s[1], order.index(s[0]), s[2]))
 

@@ -436,6 +436,20 @@ def test_random_strings_are_found_and_examples_are_not():
         assert secrets.entropy_spans(harmless) == []
 
 
+def test_parts_of_candidates_count_by_themselves():
+    value, key = "Zk3vQ9xLw7Tb2Rn8Yc5Jd1Hf", "0123A4567B89CDEF0A1B2C3D4E5F6978"
+    assert secrets.entropy_spans(f"/sample-app/{value}")[-1][2] == 12 + len(value)
+    assert secrets.entropy_spans(f"{value}_EXAMPLE{value}") == [("entropy", 0, 25)]
+    assert secrets.entropy_spans("123e4567-e89b-12d3-a456-426614174000") == []
+    for name in ("", "SESSION_KEY=", "the-session-key-"):
+        spans = secrets.entropy_spans(name + key)
+        assert any(a <= len(name) and b == len(name) + len(key) for _, a, b in spans)
+    base, every = secrets.find_spans(f"password={value}.{value}AKIA")
+    assert base == [s for s in every if s[0] != "entropy"]
+    base, every = secrets.find_spans(value + "/" + "0f" * 12 + "/" + value)
+    assert base and [s for s in every if s[0] == "entropy" and s[1] == 0] and [s for s in every if s[0] == "entropy" and s[2] == 74]
+
+
 def literal_personal(text):
     """The contract's patterns applied as they stand."""
     found = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
