@@ -217,7 +217,7 @@ def has_letter(text: bytes) -> bool:
 def train(docs: DataFrame, usable: Column, training: Training = Training()) -> ByteGRU | None:
     """Fit on windows of at most ``documents_per_language`` documents of each language; None without any.
 
-    Documents are picked by a hash, windows start at hashed offsets, so the same rows give the same
+    Distinct texts are picked by a hash, windows start at hashed offsets, so the same rows give the same
     network wherever they lie. Only these short windows reach the driver.
     """
     source = docs.filter(usable & F.col("lang").isNotNull() & (F.length("text") > 0))
@@ -226,6 +226,7 @@ def train(docs: DataFrame, usable: Column, training: Training = Training()) -> B
     parts = F.array(*[F.substring(F.col("text"), s.cast("int"), F.lit(WINDOW)) for s in starts])
     picked = (
         source.select("lang", order.alias("order"), parts.alias("parts"))
+        .distinct()  # copies of a text would lie side by side and fill the sample
         .withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("order", "parts")))
         .filter(F.col("place") <= training.documents_per_language)
         .select("lang", "order", F.explode("parts").alias("part"))

@@ -165,6 +165,18 @@ def test_languages_of_held_out_documents(spark, docs):
     assert all(0 <= r.score <= 1 for r in out)
 
 
+def test_copies_do_not_fill_the_language_sample(spark, monkeypatch):
+    seen, windows = [], language_id.windows
+    monkeypatch.setattr(language_id, "windows", lambda parts: seen.append(len(set(parts))) or windows(parts))
+    monkeypatch.setattr(language_id.ByteGRU, "fit", lambda self, *_: self)
+    frame = spark.createDataFrame([(i, f"text number {max(0, i - 200)} of the sample", "en") for i in range(240)], "doc_id long, text string, lang string")
+    hashes = frame.select("text", F.xxhash64("text").alias("h")).distinct().orderBy("h").collect()
+    common = hashes[0].text  # copies of the text whose hash comes first
+    frame = frame.withColumn("text", F.when(F.col("doc_id") < 200, F.lit(common)).otherwise(F.col("text")))
+    language_id.train(frame, F.lit(True), language_id.Training(documents_per_language=20, windows_per_document=1))
+    assert seen == [20]
+
+
 def test_languages_of_awkward_texts(odd, empty):
     out = {r.doc_id: r for r in language_id.detect_languages(odd).collect()}
     assert {out[i].lang_pred for i in (0, 1, 2, 3, 5, 9, 10, 11)} == {"und"} and out[6].lang_pred == "en"
