@@ -136,7 +136,8 @@ class Limits:
 
 
 def _automata(benchmark: DataFrame, limits: Limits) -> Iterator[SuffixAutomaton]:
-    """One automaton per block of items: only one block at a time reaches the driver."""
+    """One automaton per block of distinct items: only one block at a time reaches the driver."""
+    benchmark = benchmark.select("item_id", "text").distinct()  # repeats would land in one block
     total = benchmark.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-total // limits.block_characters))
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))

@@ -278,6 +278,16 @@ def test_decontamination_against_all_windows(spark, block):
     assert {r.n_hit for r in none.collect()} == {0} and decontaminate.report(frame.limit(0), benchmark, limits).collect() == []
 
 
+def test_repeated_items_count_once(spark, monkeypatch):
+    sizes = []
+    real = decontaminate.SuffixAutomaton
+    monkeypatch.setattr(decontaminate, "SuffixAutomaton", lambda items, window: sizes.append(len(items)) or real(items, window))
+    rows = [(1, "a b c d e f g h i j k l")] * 50 + [(2, "m n o p q r s t u v w x")]
+    items = spark.createDataFrame(rows, "item_id long, text string")
+    list(decontaminate._automata(items, decontaminate.Limits(block_characters=100)))
+    assert sizes == [2]
+
+
 def test_cutting_benchmark_passages(spark):
     rows = [(1, "Before it. ONE two, three four! After it all of this stays here.", "en", "s", 0), (2, "one two three four", None, None, 1), (3, None, None, None, None)]
     benchmark = spark.createDataFrame([(1, "one two three four")], "item_id long, text string")
