@@ -14,6 +14,7 @@ from dealerlake.llm import (
     language_id,
     line_dedup,
     line_quality,
+    merkle,
     personal_data,
     secrets,
     sentence_pieces,
@@ -64,6 +65,10 @@ def personal_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.scan_personal_data(table(spark, sf_dir, "documents"))
 
 
+def document_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.report(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     import corpus_pipeline
 
@@ -78,6 +83,7 @@ def queries() -> dict[str, Query]:
         "op8_warc": page_archives,
         "op9_line_dedup": repeated_lines,
         "op10_pii": personal_spans,
+        "op11_merkle_manifest": document_manifest,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -118,4 +124,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_benchmark_decontamination": OVERLAP_SQL,
         "op8_warc": warc.ORACLE_SQL,
         "op9_line_dedup": line_dedup.ORACLE_SQL,
+        "op11_merkle_manifest": merkle.ORACLE_SQL,
     }
