@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dealerlake.llm import (
+    collocations,
     decontaminate,
     hash_search,
     jaccard_join,
@@ -69,6 +70,10 @@ def document_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.report(table(spark, sf_dir, "documents"))
 
 
+def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     import corpus_pipeline
 
@@ -84,6 +89,7 @@ def queries() -> dict[str, Query]:
         "op9_line_dedup": repeated_lines,
         "op10_pii": personal_spans,
         "op11_merkle_manifest": document_manifest,
+        "op12_phrase_collocations": phrase_collocations,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -125,4 +131,5 @@ def oracle_sql() -> dict[str, str]:
         "op8_warc": warc.ORACLE_SQL,
         "op9_line_dedup": line_dedup.ORACLE_SQL,
         "op11_merkle_manifest": merkle.ORACLE_SQL,
+        "op12_phrase_collocations": collocations.ORACLE_SQL,
     }
