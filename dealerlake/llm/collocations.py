@@ -1,7 +1,7 @@
 """Phrases whose words keep company, mined by dynamic itemset counting.
 
-Documents are dealt to a few shards that are scanned in a cycle, one Spark job a shard. Words are counted
-in the first cycle. As soon as both subphrases of a longer phrase (all words but the last, all but the
+Texts are written once as word numbers, in slices dealt to a few shards. The shards are scanned in a
+cycle, one Spark job a shard. Words are counted in the first cycle. As soon as both subphrases of a longer phrase (all words but the last, all but the
 first) have reached the threshold in what was scanned so far, the phrase is counted too, from the next
 shard on, whatever lengths are being counted already, until it has met each shard once. Mining ends when
 the phrase activated last has completed its cycle.
@@ -21,10 +21,11 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dealerlake.llm.common import byte_slices, record_batch, stored
+from dealerlake.llm.common import record_batch, stored
 from dealerlake.llm.shingles import STEP, U, mixed
 from dealerlake.session import scratch_dir
 
@@ -32,16 +33,16 @@ BREAKS = b".,;:!?\n\x0b\x0c\r"
 FOLDED = bytes.maketrans(
     bytes(range(65, 91)) + BREAKS + b"\t", bytes(range(97, 123)) + b"\n" * len(BREAKS) + b" "
 )  # A-Z to a-z, ends of pieces to one of them, blanks to one of them
-EMPTY, BREAK = 0, 1  # numbers of what are no words
+EMPTY, BREAK = 0, 1  # numbers of what are no words: nothing between two blanks, the end of a piece
 
 
 @dataclass(frozen=True)
 class Mining:
     longest: int = 5  # words
     threshold: int = 100
-    shards: int = 3
+    shards: int = 2
     entries: int = 1 << 24  # bytes of the table that tasks are given
-    slice_bytes: int = 1 << 21
+    slice_bytes: int = 1 << 22  # of text numbered and counted at once
     top: int = 2000
     factor: int = 1000
     absorbed_percent: int = 100  # of a phrase's occurrences in one longer candidate
@@ -55,6 +56,58 @@ class _Numbers(dict):
         return number
 
 
+CODED = pa.schema([("lang", pa.string()), ("words", pa.string()), ("numbers", pa.binary())])
+CODED_DDL = "lang string, words string, numbers binary"
+
+
+def _coded(raws: Sequence[bytes], lang: str) -> pa.RecordBatch:
+    """One row for some folded texts of one language: their distinct words, and the number of the word at each place.
+
+    Numbers count from 2 and take two bytes where that suffices; 1 stands where a piece ends.
+    """
+    numbers = _Numbers({b"": EMPTY, b"\n": BREAK})
+    tokens = b"\n".join(raws).replace(b"\n", b" \n ").split(b" ")
+    places = np.fromiter(map(numbers.__getitem__, tokens), np.int32, len(tokens))
+    places = places[places != EMPTY].astype(np.uint16 if len(numbers) <= 1 << 16 else np.uint32)
+    return record_batch(CODED, [[lang], [b" ".join(list(numbers)[2:]).decode()], [places.tobytes()]])
+
+
+def _cut(text: bytes, limit: int) -> Iterator[bytes]:
+    """A folded text in parts of about ``limit`` bytes. It is cut where pieces end; a longer piece stays whole."""
+    start = 0
+    while len(text) - start > limit:
+        end = text.rfind(b"\n", start, start + limit)
+        end = text.find(b"\n", start + limit) if end < 0 else end
+        if end < 0:
+            break
+        yield text[start:end]
+        start = end + 1
+    yield text[start:]
+
+
+def _code(docs: DataFrame, slice_bytes: int) -> DataFrame:
+    """The texts as rows of ``_coded``, each of about a slice of text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list[bytes]] = {}
+        sizes: dict[str, int] = {}
+        for batch in batches:
+            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").cast(pa.large_binary()), strict=True):
+                for raw in _cut(text.as_py().translate(FOLDED), slice_bytes):
+                    held.setdefault(lang, []).append(raw)
+                    sizes[lang] = sizes.get(lang, 0) + len(raw) + 1
+                    if sizes[lang] >= slice_bytes:
+                        yield _coded(held.pop(lang), lang)
+                        del sizes[lang]
+            if sum(sizes.values()) >= 8 * slice_bytes:  # many languages
+                yield from (_coded(raws, lang) for lang, raws in held.items())
+                held, sizes = {}, {}
+        yield from (_coded(raws, lang) for lang, raws in held.items())
+
+    known = docs.filter("text IS NOT NULL").select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
+    return known.mapInArrow(run, CODED_DDL)
+
+
 def _grouped(words: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """First place of each distinct phrase of ``size`` words starting at ``at``, and how often it starts there.
 
@@ -68,65 +121,61 @@ def _grouped(words: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndarray,
             top = len(distinct)
         key, top = key * width + words[at + k], top * width
     _, first, times = np.unique(key, return_index=True, return_counts=True)
-    return at[first], times
+    return first, times
 
 
-def _counted(raws: Sequence[bytes], lang: str, reached: np.ndarray, scan: int, mining: Mining) -> Iterator[tuple]:
-    """(lang, phrase, size, entry, due, times) of the phrases to be counted in this scan in texts of one language."""
-    numbers = _Numbers({b"": EMPTY, b"\n": BREAK})
-    tokens = b"\n".join(raws).translate(FOLDED).replace(b"\n", b" \n ").split(b" ")
-    words = np.fromiter(map(numbers.__getitem__, tokens), np.int64, len(tokens))
-    words = words[words != EMPTY]
-    spelled = list(numbers)
-    single = mixed(np.fromiter(map(zlib.crc32, spelled), U, len(spelled)) + U(zlib.crc32(lang.encode()) << 32))
+COUNTS = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("mark", pa.int64()), ("times", pa.int64())])
+COUNTS_DDL = "lang string, phrase string, mark long, times long"
+
+
+def _counted(lang: str, spelled: list[str], words: np.ndarray, reached: np.ndarray, scan: int, mining: Mining) -> Iterator[pa.RecordBatch]:
+    """(lang, phrase, mark, times) of the phrases to be counted in this scan, of one row of ``_coded``.
+
+    The mark holds the last scan of the phrase's cycle and, in its lower half, the phrase's entry.
+    """
+    texts = pa.array(["", "", *spelled])
+    codes = np.fromiter((zlib.crc32(w.encode()) for w in spelled), U, len(spelled))
+    single = mixed(np.append(np.zeros(2, U), codes) + U(zlib.crc32(lang.encode()) << 32))
     last = U(len(reached) - 1)
+
+    def rows(phrases: pa.Array, due, entry: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
+        return record_batch(COUNTS, [pa.repeat(lang, len(phrases)), phrases, due * 2**32 + entry, times])
+
     if scan <= mining.shards:
-        times = np.bincount(words, minlength=len(spelled))
-        entry = (single & last).astype(np.int64)
-        for n in range(BREAK + 1, len(spelled)):
-            yield lang, spelled[n].decode(), 1, int(entry[n]), mining.shards, int(times[n])
-    if not reached.any() or not len(words):
+        times = np.bincount(words, minlength=len(texts))[2:]
+        yield rows(texts.slice(2), mining.shards, (single[2:] & last).astype(np.int64), times)
+    if not reached.any():
         return
     hashes, state = single[words], reached[single & last][words].astype(np.int64)
     state[words == BREAK] = 0  # no phrase goes over it
     for size in range(2, mining.longest + 1):
-        both = (state[:-1] > 0) & (state[1:] > 0)
-        at = np.flatnonzero(both)
+        at = np.flatnonzero((state[:-1] > 0) & (state[1:] > 0))
         if not len(at):
             return
         since = np.maximum(state[at], state[at + 1])
         hashes[at] = mixed(hashes[at] * STEP + single[words[at + size - 1]], size)
         entry = (hashes[at] & last).astype(np.int64)
         due = since + mining.shards
-        now = due >= scan
-        if now.any():
+        now = np.flatnonzero(due >= scan)
+        if len(now):
             first, times = _grouped(words, at[now], size)
-            where = np.searchsorted(at, first)
-            for start, count, w in zip(first.tolist(), times.tolist(), where.tolist(), strict=True):
-                phrase = b" ".join([spelled[n] for n in words[start : start + size]])
-                yield lang, phrase.decode(), size, int(entry[w]), int(due[w]), count
+            first = now[first]
+            parts = [texts.take(pa.array(words[at[first] + k])) for k in range(size)]
+            yield rows(pc.binary_join_element_wise(*parts, " "), due[first], entry[first], times)
         longer = np.zeros(len(state) - 1, np.int64)
         longer[at] = np.where(reached[entry] > 0, np.maximum(reached[entry], since), 0)  # never before its own start
         state = longer
 
 
-COUNTS = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("size", pa.int32()), ("entry", pa.int32()), ("due", pa.int32()), ("times", pa.int64())])
-COUNTS_DDL = "lang string, phrase string, size int, entry int, due int, times long"
-
-
 def _scan(shard: DataFrame, reached, scan: int, mining: Mining) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = reached.value
         for batch in batches:
-            langs = batch.column("lang").to_pylist()
-            for first, raws in byte_slices(batch.column("text"), mining.slice_bytes):
-                by_lang: dict[str, list[bytes]] = {}
-                for lang, raw in zip(langs[first : first + len(raws)], raws, strict=True):
-                    by_lang.setdefault(lang, []).append(raw)
-                for lang, texts in by_lang.items():
-                    found = list(_counted(texts, lang, table, scan, mining))
-                    if found:
-                        yield record_batch(COUNTS, list(zip(*found, strict=True)))
+            for lang, spelled, numbers in zip(*(batch.column(c) for c in CODED.names), strict=True):
+                held = spelled.as_py().split(" ") if len(spelled.as_py()) else []
+                raw = numbers.as_buffer()
+                words = np.frombuffer(raw, np.uint16 if len(held) + 2 <= 1 << 16 else np.uint32).astype(np.int64)
+                if len(held):
+                    yield from _counted(lang.as_py(), held, words, reached.value, scan, mining)
 
     return shard.mapInArrow(run, COUNTS_DDL)
 
@@ -153,26 +202,28 @@ def frequent_phrases(docs: DataFrame, mining: Mining = Mining()) -> tuple[DataFr
         raise ValueError("entries must be a power of two")
     spark = docs.sparkSession
     path = scratch_dir(spark, "shards")
-    dealt = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text", F.pmod(F.monotonically_increasing_id(), F.lit(mining.shards)).cast("int").alias("_shard"))
-    dealt.filter("text IS NOT NULL").write.partitionBy("_shard").parquet(path)
-    shards = spark.read.schema("lang string, text string, _shard int").parquet(path)
-    reached = np.zeros(mining.entries, np.uint8 if 5 * mining.shards < 256 else np.uint32)
+    dealt = _code(docs, mining.slice_bytes).withColumn("_shard", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(mining.shards)).cast("int"))
+    # Small row groups, since a row is a slice of text and a task reads a group at once.
+    dealt.write.option("parquet.block.size", 8 * mining.slice_bytes).partitionBy("_shard").parquet(path)
+    shards = spark.read.schema(f"{CODED_DDL}, _shard int").parquet(path)
+    reached = np.zeros(mining.entries, np.uint8 if mining.longest * mining.shards < 256 else np.uint32)
+    due, entry = F.shiftright("mark", 32), F.col("mark").bitwiseAND((1 << 32) - 1).cast("int")
+    size = F.length("phrase") - F.length(F.replace("phrase", F.lit(" "), F.lit(""))) + 1
     scan, finished, alive, sizes = 0, [], None, None
     while scan < mining.shards or scan < int(reached.max()) + mining.shards:
         scan += 1
         shared = spark.sparkContext.broadcast(reached)  # of fixed size
-        counts = _scan(shards.filter(F.col("_shard") == (scan - 1) % mining.shards).select("lang", "text"), shared, scan, mining)
+        counts = _scan(shards.filter(F.col("_shard") == (scan - 1) % mining.shards).select(*CODED.names), shared, scan, mining)
         if alive is not None:
-            counts = counts.union(alive.select(*COUNTS.names))
-        # One phrase has one size, entry and due scan.
-        totals = counts.groupBy("lang", "phrase").agg(*[F.max(c).alias(c) for c in ("size", "entry", "due")], F.sum("times").alias("times"))
+            counts = counts.union(alive)
+        totals = counts.groupBy("lang", "phrase").agg(F.max("mark").alias("mark"), F.sum("times").alias("times"))  # a phrase has one mark
         totals = stored(totals, "phrases")
         shared.unpersist()
-        alive = totals.filter(F.col("due") > scan)
-        enough = totals.filter(F.col("times") >= mining.threshold)
+        alive = totals.filter(due > scan)
+        enough = totals.filter(F.col("times") >= mining.threshold).select("lang", "phrase", size.alias("size"), entry.alias("entry"), due.alias("due"), "times")
         finished.append(enough.filter(F.col("due") == scan))
         if scan == mining.shards:  # all words have met every shard
-            sizes = totals.filter("size = 1").groupBy("lang").agg(F.sum("times").alias("n"))
+            sizes = totals.filter(size == 1).groupBy("lang").agg(F.sum("times").alias("n"))
         new = _entries(enough.filter(F.col("size") < mining.longest), mining.entries) & (reached == 0)
         reached = np.where(new, scan, reached).astype(reached.dtype)
     kept = reduce(DataFrame.union, finished).select("lang", "phrase", "size", F.col("times").alias("f"))

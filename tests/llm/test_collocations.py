@@ -103,6 +103,14 @@ def test_odd_rows(spark):
     assert mined(spark.createDataFrame(rows, DOCS).withColumns(extra), mining) == brute(rows, mining)
 
 
+def test_long_texts_are_cut_at_piece_ends_only():
+    text = b"a b\nc d e f g h i j\n\nk" * 20
+    for limit in (1, 4, 30, 10_000):
+        parts = list(collocations._cut(text, limit))
+        assert b"\n".join(parts) == text
+        assert limit < 30 or max(map(len, parts)) <= limit
+
+
 def test_empty(spark):
     assert collocations.collocations(spark.createDataFrame([], DOCS)).collect() == []
     assert collocations.collocations(spark.createDataFrame([(1, None, None, None, None)], DOCS)).collect() == []
