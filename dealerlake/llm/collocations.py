@@ -42,7 +42,7 @@ class Mining:
     threshold: int = 100
     shards: int = 2
     entries: int = 1 << 24  # bytes of the table that tasks are given
-    slice_bytes: int = 1 << 22  # of text numbered and counted at once
+    slice_bytes: int = 1 << 21  # of text numbered and counted at once
     top: int = 2000
     factor: int = 1000
     absorbed_percent: int = 100  # of a phrase's occurrences in one longer candidate
@@ -56,12 +56,12 @@ class _Numbers(dict):
         return number
 
 
-CODED = pa.schema([("lang", pa.string()), ("words", pa.string()), ("numbers", pa.binary())])
-CODED_DDL = "lang string, words string, numbers binary"
+CODED = pa.schema([("lang", pa.string()), ("words", pa.string()), ("numbers", pa.binary()), ("n", pa.int64())])
+CODED_DDL = "lang string, words string, numbers binary, n long"
 
 
 def _coded(raws: Sequence[bytes], lang: str) -> pa.RecordBatch:
-    """One row for some folded texts of one language: their distinct words, and the number of the word at each place.
+    """One row for some folded texts of one language: their distinct words, the number of the word at each place, how many there are.
 
     Numbers count from 2 and take two bytes where that suffices; 1 stands where a piece ends.
     """
@@ -69,7 +69,7 @@ def _coded(raws: Sequence[bytes], lang: str) -> pa.RecordBatch:
     tokens = b"\n".join(raws).replace(b"\n", b" \n ").split(b" ")
     places = np.fromiter(map(numbers.__getitem__, tokens), np.int32, len(tokens))
     places = places[places != EMPTY].astype(np.uint16 if len(numbers) <= 1 << 16 else np.uint32)
-    return record_batch(CODED, [[lang], [b" ".join(list(numbers)[2:]).decode()], [places.tobytes()]])
+    return record_batch(CODED, [[lang], [b" ".join(list(numbers)[2:]).decode()], [places.tobytes()], [int((places != BREAK).sum())]])
 
 
 def _cut(text: bytes, limit: int) -> Iterator[bytes]:
@@ -124,26 +124,31 @@ def _grouped(words: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndarray,
     return first, times
 
 
-COUNTS = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("mark", pa.int64()), ("times", pa.int64())])
-COUNTS_DDL = "lang string, phrase string, mark long, times long"
+COUNTS = pa.schema([("key", pa.string()), ("due", pa.int8()), ("times", pa.int64())])
+COUNTS_DDL = "key string, due byte, times long"
+
+
+def _codes(words: Sequence[str], lang: str) -> np.ndarray:
+    """Hashes of words of a language."""
+    found = np.fromiter((zlib.crc32(w.encode()) for w in words), U, len(words))
+    return mixed(found + U(zlib.crc32(lang.encode()) << 32))
 
 
 def _counted(lang: str, spelled: list[str], words: np.ndarray, reached: np.ndarray, scan: int, mining: Mining) -> Iterator[pa.RecordBatch]:
-    """(lang, phrase, mark, times) of the phrases to be counted in this scan, of one row of ``_coded``.
+    """(key, due, times) of the phrases to be counted in this scan, of one row of ``_coded``.
 
-    The mark holds the last scan of the phrase's cycle and, in its lower half, the phrase's entry.
+    The key is the phrase, a tab and the language; due the last scan of the phrase's cycle.
     """
     texts = pa.array(["", "", *spelled])
-    codes = np.fromiter((zlib.crc32(w.encode()) for w in spelled), U, len(spelled))
-    single = mixed(np.append(np.zeros(2, U), codes) + U(zlib.crc32(lang.encode()) << 32))
+    single = np.append(np.zeros(2, U), _codes(spelled, lang))
     last = U(len(reached) - 1)
 
-    def rows(phrases: pa.Array, due, entry: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
-        return record_batch(COUNTS, [pa.repeat(lang, len(phrases)), phrases, due * 2**32 + entry, times])
+    def rows(phrases: pa.Array, due: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
+        return record_batch(COUNTS, [pc.binary_join_element_wise(phrases, lang, "\t"), due, times])
 
     if scan <= mining.shards:
         times = np.bincount(words, minlength=len(texts))[2:]
-        yield rows(texts.slice(2), mining.shards, (single[2:] & last).astype(np.int64), times)
+        yield rows(texts.slice(2), np.full(len(spelled), mining.shards), times)
     if not reached.any():
         return
     hashes, state = single[words], reached[single & last][words].astype(np.int64)
@@ -161,7 +166,7 @@ def _counted(lang: str, spelled: list[str], words: np.ndarray, reached: np.ndarr
             first, times = _grouped(words, at[now], size)
             first = now[first]
             parts = [texts.take(pa.array(words[at[first] + k])) for k in range(size)]
-            yield rows(pc.binary_join_element_wise(*parts, " "), due[first], entry[first], times)
+            yield rows(pc.binary_join_element_wise(*parts, " "), due[first], times)
         longer = np.zeros(len(state) - 1, np.int64)
         longer[at] = np.where(reached[entry] > 0, np.maximum(reached[entry], since), 0)  # never before its own start
         state = longer
@@ -170,7 +175,7 @@ def _counted(lang: str, spelled: list[str], words: np.ndarray, reached: np.ndarr
 def _scan(shard: DataFrame, reached, scan: int, mining: Mining) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lang, spelled, numbers in zip(*(batch.column(c) for c in CODED.names), strict=True):
+            for lang, spelled, numbers in zip(*(batch.column(c) for c in ("lang", "words", "numbers")), strict=True):
                 held = spelled.as_py().split(" ") if len(spelled.as_py()) else []
                 raw = numbers.as_buffer()
                 words = np.frombuffer(raw, np.uint16 if len(held) + 2 <= 1 << 16 else np.uint32).astype(np.int64)
@@ -180,12 +185,22 @@ def _scan(shard: DataFrame, reached, scan: int, mining: Mining) -> DataFrame:
     return shard.mapInArrow(run, COUNTS_DDL)
 
 
-def _entries(totals: DataFrame, entries: int) -> np.ndarray:
-    """Which entries the phrases stand at: one bit each, put together by Spark in bitmaps of 2**15 bits."""
-    rows = (
-        totals.groupBy(F.shiftright("entry", 15).alias("part"))
-        .agg(F.bitmap_construct_agg(F.col("entry").bitwiseAND(32767).cast("long")).alias("bits")).collect()
-    )
+def _entries(phrases: DataFrame, entries: int) -> np.ndarray:
+    """Which entries of the table the phrases (lang, phrase) stand at: one bit each, put together by Spark in bitmaps of 2**15 bits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for lang, phrase in zip(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist(), strict=True):
+                codes = _codes(phrase.split(" "), lang)
+                value = codes[:1]
+                for size in range(2, len(codes) + 1):
+                    value = mixed(value * STEP + codes[size - 1 : size], size)
+                found.append(int(value[0]) & (entries - 1))
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64())], ["entry"])
+
+    placed = phrases.select("lang", "phrase").mapInArrow(run, "entry long")
+    rows = placed.groupBy(F.shiftright("entry", 15).alias("part")).agg(F.bitmap_construct_agg(F.col("entry").bitwiseAND(32767)).alias("bits")).collect()
     found = np.zeros((-(-entries // 32768), 32768), bool)
     for row in rows:
         found[row.part] = np.unpackbits(np.frombuffer(row.bits, np.uint8), bitorder="little")
@@ -206,24 +221,25 @@ def frequent_phrases(docs: DataFrame, mining: Mining = Mining()) -> tuple[DataFr
     # Small row groups, since a row is a slice of text and a task reads a group at once.
     dealt.write.option("parquet.block.size", 8 * mining.slice_bytes).partitionBy("_shard").parquet(path)
     shards = spark.read.schema(f"{CODED_DDL}, _shard int").parquet(path)
-    reached = np.zeros(mining.entries, np.uint8 if mining.longest * mining.shards < 256 else np.uint32)
-    due, entry = F.shiftright("mark", 32), F.col("mark").bitwiseAND((1 << 32) - 1).cast("int")
+    sizes = shards.groupBy("lang").agg(F.sum("n").alias("n")).filter("n > 0")
+    if mining.longest * mining.shards > 120:
+        raise ValueError("longest times shards must be at most 120")
+    reached = np.zeros(mining.entries, np.uint8)
+    phrase, lang = F.substring_index("key", "\t", 1), F.expr("substr(key, instr(key, '\t') + 1)")
     size = F.length("phrase") - F.length(F.replace("phrase", F.lit(" "), F.lit(""))) + 1
-    scan, finished, alive, sizes = 0, [], None, None
+    scan, finished, alive = 0, [], None
     while scan < mining.shards or scan < int(reached.max()) + mining.shards:
         scan += 1
         shared = spark.sparkContext.broadcast(reached)  # of fixed size
         counts = _scan(shards.filter(F.col("_shard") == (scan - 1) % mining.shards).select(*CODED.names), shared, scan, mining)
         if alive is not None:
             counts = counts.union(alive)
-        totals = counts.groupBy("lang", "phrase").agg(F.max("mark").alias("mark"), F.sum("times").alias("times"))  # a phrase has one mark
-        totals = stored(totals, "phrases")
+        totals = counts.groupBy("key").agg(F.max("due").alias("due"), F.sum("times").alias("times"))  # a phrase has one due scan
+        totals = stored(totals.filter((F.col("due") > scan) | (F.col("times") >= mining.threshold)), "phrases")
         shared.unpersist()
-        alive = totals.filter(due > scan)
-        enough = totals.filter(F.col("times") >= mining.threshold).select("lang", "phrase", size.alias("size"), entry.alias("entry"), due.alias("due"), "times")
+        alive = totals.filter(F.col("due") > scan)
+        enough = totals.filter(F.col("times") >= mining.threshold).select(phrase.alias("phrase"), lang.alias("lang"), "due", "times").withColumn("size", size)
         finished.append(enough.filter(F.col("due") == scan))
-        if scan == mining.shards:  # all words have met every shard
-            sizes = totals.filter(size == 1).groupBy("lang").agg(F.sum("times").alias("n"))
         new = _entries(enough.filter(F.col("size") < mining.longest), mining.entries) & (reached == 0)
         reached = np.where(new, scan, reached).astype(reached.dtype)
     kept = reduce(DataFrame.union, finished).select("lang", "phrase", "size", F.col("times").alias("f"))

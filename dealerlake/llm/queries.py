@@ -13,6 +13,7 @@ from dealerlake.llm import (
     hash_search,
     jaccard_join,
     language_id,
+    licenses,
     line_dedup,
     line_quality,
     merkle,
@@ -74,6 +75,10 @@ def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def license_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     import corpus_pipeline
 
@@ -90,6 +95,7 @@ def queries() -> dict[str, Query]:
         "op10_pii": personal_spans,
         "op11_merkle_manifest": document_manifest,
         "op12_phrase_collocations": phrase_collocations,
+        "op13_license_scan": license_labels,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -132,4 +138,5 @@ def oracle_sql() -> dict[str, str]:
         "op9_line_dedup": line_dedup.ORACLE_SQL,
         "op11_merkle_manifest": merkle.ORACLE_SQL,
         "op12_phrase_collocations": collocations.ORACLE_SQL,
+        "op13_license_scan": licenses.ORACLE_SQL,
     }
