@@ -16,12 +16,13 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dealerlake.llm.common import stored
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # around words of either case
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 # Phrases that label a text by themselves.
@@ -73,33 +74,45 @@ class Scan:
     percent: int = 60  # of the weight of a template's indexed words
 
 
-def with_words(docs: DataFrame) -> DataFrame:
-    folded = F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER)
-    return docs.select("doc_id", F.regexp_extract_all(folded, F.lit(WORD), F.lit(0)).alias("words"))
+def find_words(docs: DataFrame, known: Sequence[str]) -> DataFrame:
+    """(row, doc_id, n_words, hits), stored: the places of the ``known`` words in each text, by a row number of its own.
+
+    Words are compared in lower case, of A-Z only: a letter from elsewhere whose small form is one of a-z takes more bytes.
+    """
+    words = F.array_remove(F.split(F.coalesce("text", F.lit("")), BETWEEN, -1), "")
+    small = lambda w: F.when((F.lower(w)).isin(list(known)) & (F.octet_length(w) == F.length(F.lower(w))), F.lower(w))
+    hits = F.transform("words", lambda w, i: F.struct(i.alias("pos"), small(w).alias("word")))
+    held = docs.select("doc_id", words.alias("words"))
+    held = held.select("doc_id", F.size("words").cast("long").alias("n_words"), F.filter(hits, lambda h: h["word"].isNotNull()).alias("hits"))
+    return stored(held.withColumn("row", F.monotonically_increasing_id()), "hits")
 
 
-def weights(docs: DataFrame, scan: Scan) -> dict[str, int]:
+def weights(rows: DataFrame, scan: Scan) -> dict[str, int]:
     """1000 * ln((rows + 1) / (rows with the word + 1)), rounded down, of every word of the templates.
 
     Counted over all rows; one number a template word comes to the driver.
     """
-    known = sorted({w for t in scan.templates for w in t.words})
-    held = with_words(docs).select(F.explode(F.array_intersect("words", F.array(*map(F.lit, known)))).alias("word"))
-    rows, seen = docs.count(), {r.word: r["count"] for r in held.groupBy("word").count().collect()}
-    return {w: math.floor(1000 * math.log((rows + 1) / (seen.get(w, 0) + 1))) for w in known}
+    known = {w for t in scan.templates for w in t.words}
+    held = rows.select(F.explode(F.array_distinct("hits.word")).alias("word")).groupBy("word").count()
+    total, seen = rows.count(), {r.word: r["count"] for r in held.collect()}
+    return {w: math.floor(1000 * math.log((total + 1) / (seen.get(w, 0) + 1))) for w in known}
+
 
+@dataclass(frozen=True)
+class Posting:
+    word: str
+    template: int
+    at: int
+    weight: int
 
-def index(spark: SparkSession, scan: Scan, weight: dict[str, int]) -> DataFrame:
-    """(word, template, at, weight, whole): places of each template's rarest words, and the weight of all of these.
 
-    As small as the templates, whatever the texts.
-    """
-    rows = []
+def index(scan: Scan, weight: dict[str, int]) -> list[Posting]:
+    """Places of each template's rarest words. As small as the templates, whatever the texts."""
+    out = []
     for number, template in enumerate(scan.templates):
         rarest = sorted(set(template.words), key=lambda w: (-weight[w], w))[: scan.rare]
-        whole = sum(weight[w] for w in rarest)
-        rows += [(w, number, at, weight[w], whole) for at, w in enumerate(template.words) if w in rarest]
-    return spark.createDataFrame(rows, "word string, template int, at int, weight int, whole int")
+        out += [Posting(w, number, at, weight[w]) for at, w in enumerate(template.words) if w in rarest]
+    return out
 
 
 def _places(hits: str, phrase: Sequence[str]) -> Column:
@@ -115,18 +128,28 @@ def _places(hits: str, phrase: Sequence[str]) -> Column:
     return F.transform(F.filter(hits, stands), lambda hit: hit["pos"])
 
 
-def candidates(rows: DataFrame, postings: DataFrame, scan: Scan) -> DataFrame:
+def candidates(rows: DataFrame, postings: list[Posting], scan: Scan) -> DataFrame:
     """(row, template, share) of the templates that enough of their rare words place in a text.
 
     A word votes for every beginning up to ``drift`` words before the one it gives, and once for each.
+    Postings are looked up only of templates of whose rare words a text holds enough anywhere.
     """
-    looked = rows.select("row", F.inline("hits")).join(F.broadcast(postings), "word")
+    rare = {(p.template, p.word): p.weight for p in postings}
+    whole = {t: sum(w for (other, _), w in rare.items() if other == t) for t, _ in rare}
+    held = lambda t: sum((F.when(F.array_contains("said", w), weight).otherwise(0) for (o, w), weight in rare.items() if o == t), F.lit(0))
+    able = [F.when(held(t) * 100 >= whole[t] * scan.percent, F.lit(t)) for t in whole if whole[t]]
+    if not able:
+        return rows.select("row", F.lit(0).alias("template"), F.lit(0.0).alias("share")).limit(0)
+    said = rows.filter(F.size("hits") > 0).withColumn("said", F.array_distinct("hits.word"))
+    looked = said.select("row", "hits", F.explode(F.array_compact(F.array(*able))).alias("template")).select("row", "template", F.inline("hits"))
+    table = rows.sparkSession.createDataFrame([(p.word, p.template, p.at, p.weight, whole[p.template]) for p in postings], "word string, template int, at int, weight int, whole int")
+    looked = looked.join(F.broadcast(table), ["word", "template"])
     start = F.col("pos") - F.col("at")
     votes = looked.select("row", "template", "word", "weight", "whole", F.explode(F.sequence(start - scan.drift, start)).alias("start"))
     once = votes.groupBy("row", "template", "start", "word").agg(F.max("weight").alias("weight"), F.max("whole").alias("whole"))
     agreed = once.groupBy("row", "template", "start").agg(F.sum("weight").alias("weight"), F.max("whole").alias("whole"))
     best = agreed.groupBy("row", "template").agg(F.max("weight").alias("weight"), F.max("whole").alias("whole"))
-    enough = best.filter((F.col("weight") > 0) & (F.col("weight") * 100 >= F.col("whole") * scan.percent))
+    enough = best.filter(F.col("weight") * 100 >= F.col("whole") * scan.percent)
     return enough.select("row", "template", (F.col("weight") / F.col("whole")).alias("share"))
 
 
@@ -138,17 +161,12 @@ def scan_licenses(docs: DataFrame, scan: Scan = Scan()) -> DataFrame:
     phrases, else the largest share of a template's weight that was found in place, else 0. A NULL or
     empty text has no words. Rows stay apart whatever their doc_id; further columns are not read.
     """
-    spark = docs.sparkSession
-    postings = index(spark, scan, weights(docs, scan))
     phrases = {label: tuple(words_of(text)) for label, text in PHRASES.items()}
-    keys = [key for t in scan.templates for key in t.keys]
-    known = sorted({r.word for r in postings.collect()} | {w for p in [*phrases.values(), *keys] for w in p})
-    hit = lambda w, i: F.when(w.isin(known), F.struct(i.alias("pos"), w.alias("word")))
-    hits = F.filter(F.transform("words", hit), lambda h: h.isNotNull())
-    rows = with_words(docs).select("doc_id", F.size("words").cast("long").alias("n_words"), hits.alias("hits"))
-    rows = stored(rows.withColumn("row", F.monotonically_increasing_id()), "hits")
-
+    spoken = {w for p in [*phrases.values(), *(key for t in scan.templates for key in t.keys)] for w in p}
+    rows = find_words(docs, sorted(spoken | {w for t in scan.templates for w in t.words}))
+    postings = index(scan, weights(rows, scan))
     found = candidates(rows, postings, scan)
+    rows = rows.withColumn("hits", F.filter("hits", lambda h: h["word"].isin(sorted(spoken))))
     shares = found.groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("template", "share"))).alias("shares"))  # one a template
     named = rows.join(shares, "row", "left")
     base = {label: _places("hits", phrase) for label, phrase in phrases.items()}
