@@ -1,8 +1,9 @@
 """SentencePiece encoding and decoding on the tokenizers library.
 
 The model file's protobuf is read here field by field; normaliser, space marker, pieces with their
-scores and byte fallback are rebuilt from it. Texts are encoded in multithreaded batches, and part of
-them is encoded by the sentencepiece library too: a difference raises an error.
+scores and byte fallback are rebuilt from it. Texts are encoded in multithreaded batches. Each distinct
+word is encoded by the sentencepiece library too and decoded again when a task first meets it, and some
+whole texts are: a difference raises an error.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ import zlib
 from array import array
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -144,46 +146,76 @@ class PieceModel:
 class Tokenization:
     model: str = DEFAULT_MODEL  # read on the driver; the file's bytes travel to the tasks
     threads: int = 2
-    verify_every: int = 64  # one text in so many, by a hash, is also encoded by sentencepiece
+    verify_every: int = 64  # one text in so many, by a hash, is also compared as a whole, beside its words
 
 
 class Encoder:
     """A tokenizer in a task, and the library it is held against.
 
-    Where words can be encoded apart, each distinct word is encoded once and remembered;
-    the memory is emptied when it holds ``remembered`` words.
+    Where words can be encoded apart, each is encoded, decoded and compared once and remembered, else
+    each text is. Words used of late stay: the memory has two halves of ``remembered`` bytes, and when
+    the younger is full, the older goes. Long words are not remembered.
     """
 
-    def __init__(self, data: bytes, threads: int, remembered: int = 900_000):
+    def __init__(self, data: bytes, threads: int, remembered: int = 24 << 20, long_word: int = 64):
         os.environ["TOKENIZERS_PARALLELISM"] = "true"
         os.environ.setdefault("RAYON_NUM_THREADS", str(threads))
         import sentencepiece
-        from tokenizers import Tokenizer, normalizers
+        from tokenizers import normalizers
 
         self.model = PieceModel.read(data)
         self.tokenizer = self.model.tokenizer()
-        self.words = Tokenizer.from_str(self.tokenizer.to_str())  # for parts of normalised text
-        self.words.normalizer = self.words.pre_tokenizer = None
+        self.tokenizer.normalizer = self.tokenizer.pre_tokenizer = None  # given words of normalised text
         self.other = sentencepiece.SentencePieceProcessor(model_proto=data)
         self.mapped = normalizers.Precompiled(self.model.charsmap) if self.model.charsmap else None
         self.parts = re.compile(WORD if self.model.by_word() else r"(?s).+").findall
-        self.remembered = remembered
-        self.unknown = next((n for n, p in enumerate(self.model.pieces) if p[2] == UNKNOWN), -1)
+        self.remembered, self.long_word = remembered, long_word
+        self.size = 0  # bytes in ``ids``, about
         self.ids: dict[str, bytes] = {}  # 32-bit numbers
-        self.lossy: set[str] = set()  # words that decoding does not give back
+        self.older: dict[str, bytes] = {}
+        self.long: list[str] = []  # words to forget after their texts
+        self.changed: dict[str, str] = {}  # what decoding makes of words that it does not give back
 
     def _learn(self, words: set[str]) -> None:
-        fresh = [w for w in words if w not in self.ids]
-        if len(self.ids) + len(fresh) > self.remembered:
-            self.ids, self.lossy, fresh = {}, set(), list(words)
-        for word, found in zip(fresh, self.words.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
-            ids = found.ids
-            self.ids[word] = array("i", ids).tobytes()
-            if self.unknown in ids:  # pieces and bytes spell the word, an unknown piece does not
-                self.lossy.add(word)
+        """Make ``ids`` hold all the words."""
+        if self.size > self.remembered:
+            self.older, self.ids, self.size = self.ids, {}, 0
+        missing = list(filterfalse(self.ids.__contains__, words))
+        known = list(filter(self.older.__contains__, missing))
+        self._keep(known, list(map(self.older.__getitem__, known)))
+        fresh = list(filterfalse(self.older.__contains__, missing))
+        if not fresh:
+            return
+        found = [f.ids for f in self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)]
+        front = 1 if self.model.dummy_prefix else 0
+        raw = [w.replace(SPACE, " ")[front:] for w in fresh]
+        others = self.other.encode(raw, num_threads=1)
+        if found != others:
+            for word, text, ids, other in zip(fresh, raw, found, others, strict=True):
+                if ids != other and self.normalized(text) == word:
+                    raise ValueError(f"a word of {len(word)} characters is encoded otherwise by sentencepiece")
+        # All at once, since decoding puts pieces one after the other; word by word only to find out which differ.
+        if self.tokenizer.decode(list(chain.from_iterable(found)), skip_special_tokens=False) != "".join(fresh).replace(SPACE, " ")[front:]:
+            decoded = self.tokenizer.decode_batch(found, skip_special_tokens=False)
+            self.changed |= {w: " " * front + back for w, text, back in zip(fresh, raw, decoded, strict=True) if back != text}
+        self._keep(fresh, [array("i", ids).tobytes() for ids in found])
+        self.long = [w for w in fresh if len(w) > self.long_word]
+
+    def _keep(self, words: list[str], ids: list[bytes]) -> None:
+        self.ids.update(zip(words, ids, strict=True))
+        self.size += 4 * sum(map(len, words)) + sum(map(len, ids)) + 200 * len(words)
+
+    def _forget_long(self) -> None:
+        for word in self.long:
+            ids = self.ids.pop(word)
+            self.size -= 4 * len(word) + len(ids) + 200
+            self.changed.pop(word, None)
+        self.long = []
+        if len(self.changed) * 400 > self.remembered:  # of words long gone, perhaps
+            self.changed, self.ids, self.older, self.size = {}, {}, {}, 0
 
     def normalized(self, text: str) -> str:
-        """What the tokenizer's normaliser gives, without its bookkeeping of offsets."""
+        """What the model's normaliser gives."""
         if self.mapped:
             text = self.mapped.normalize_str(text)
         if self.model.trim_spaces:
@@ -198,10 +230,13 @@ class Encoder:
         self._learn(set().union(*words))
         ids = [np.frombuffer(b"".join(map(self.ids.__getitem__, w)), np.int32) for w in words]
         front = 1 if self.model.dummy_prefix else 0
-        restored = [
-            n.replace(SPACE, " ")[front:] == t and (not self.lossy or self.lossy.isdisjoint(w))
-            for t, n, w in zip(texts, normal, words, strict=True)
-        ]
+        restored = []
+        for text, plain, held in zip(texts, normal, words, strict=True):
+            back = plain.replace(SPACE, " ")
+            if self.changed and not self.changed.keys().isdisjoint(held):
+                back = "".join([self.changed.get(w) or w.replace(SPACE, " ") for w in held])
+            restored.append(back[front:] == text)
+        self._forget_long()
         return ids, restored
 
     def decode(self, ids: Sequence[np.ndarray]) -> list[str]:

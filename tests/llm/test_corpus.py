@@ -404,6 +404,34 @@ def test_pieces_of_a_unigram_model():
     assert [pieces[i][0] for i in ids[0]] == ["▁a", "bc"] and restored == [True, False, False, True, True]
 
 
+def test_a_small_memory_gives_the_same_tokens(texts):
+    with open(sentence_pieces.DEFAULT_MODEL, "rb") as file:
+        data = file.read()
+    small, large = (sentence_pieces.Encoder(data, 1, remembered=size) for size in (40_000, 1 << 26))
+    held = [t or "" for t in texts.values()] + ["⁇", "a ⁇ b", "x" * 500, "long " + "y" * 70, "🤷 \x00 é́"]
+    for at in range(0, len(held), 20):
+        part = held[at : at + 20]
+        ids, restored = small.encode(part)
+        others, same = large.encode(part)
+        assert [i.tolist() for i in ids] == [o.tolist() for o in others] and restored == same
+        small.verify(part, ids, restored)
+        assert small.size < 40_000 + 4 * sum(map(len, part)) * 60 and not any(len(w) > small.long_word for w in small.ids)
+
+
+def test_a_word_that_sentencepiece_encodes_otherwise_is_an_error():
+    with open(sentence_pieces.DEFAULT_MODEL, "rb") as file:
+        encoder = sentence_pieces.Encoder(file.read(), 1)
+
+    class Other:
+        def encode(self, words, num_threads):
+            return [[1] if w == "rare" else encoder.tokenizer.encode("▁" + w, add_special_tokens=False).ids for w in words]
+
+    encoder.other = Other()
+    encoder.encode(["some words", "more of them"])
+    with pytest.raises(ValueError, match="otherwise"):
+        encoder.encode(["some words", "a rare one"])
+
+
 def test_tokens_of_empty_tables(empty):
     assert sentence_pieces.encode(empty).collect() == []
 
