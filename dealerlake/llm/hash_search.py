@@ -79,42 +79,61 @@ def learn(vectors: np.ndarray, search: Search) -> Codes:
 
 
 class MultiIndex:
-    """One table per substring: its occurring values, and the rows that hold each."""
+    """One table per substring: its occurring values, and the number of each row's value among them."""
 
     def __init__(self, words: np.ndarray):
         self.words = words
         self.whole = np.ascontiguousarray(words).view(np.uint64)
-        self.tables = []
-        for column in words.T:
-            values, starts = np.unique(np.sort(column), return_index=True)
-            self.tables.append((values, np.append(starts, len(column)), np.argsort(column, kind="stable")))
+        self.tables = [np.unique(column, return_inverse=True) for column in words.T]
 
     def within(self, code: np.ndarray, radius: int) -> np.ndarray:
-        """Rows whose code differs from ``code`` in at most ``radius`` bits.
+        """Rows whose code differs from ``code`` in at most ``radius`` bits."""
+        return self.pairs(code[None], radius)[1]
 
-        Probes the occurring values of each substring that lie within the pigeonhole's share.
+    def pairs(self, codes: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+        """(code, row) of every row whose code differs from one of ``codes`` in at most ``radius`` bits.
+
+        Of each substring the values within the pigeonhole's share are probed for all codes at once.
         """
         each = radius // self.words.shape[1]
-        seen = np.zeros(len(self.words), bool)
-        for part, (values, starts, rows) in zip(code, self.tables, strict=True):
-            for at in np.flatnonzero(POPULATION[values ^ part] <= each):
-                seen[rows[starts[at] : starts[at + 1]]] = True
-        found = np.flatnonzero(seen)
-        apart = np.bitwise_count(self.whole[found] ^ code.view(np.uint64)).sum(axis=1, dtype=np.int64)
-        return found[apart <= radius]
+        seen = np.zeros((len(codes), len(self.words)), bool)
+        for part, (values, number) in zip(codes.T, self.tables, strict=True):
+            near = POPULATION[values ^ part[:, None]] <= each
+            seen |= near[:, number]
+        code, row = np.nonzero(seen)
+        apart = np.bitwise_count(self.whole[row] ^ np.ascontiguousarray(codes).view(np.uint64)[code]).sum(axis=1, dtype=np.int64)
+        close = apart <= radius
+        return code[close], row[close]
+
+
+PROBED = 64  # queries probed at once
 
 
 def nearest(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, codes: Codes, radius: int, k: int):
     """(query, candidate, cosine) of up to k best candidates within the radius of each query, its own id apart."""
     units, asked = unit(vectors), unit(queries)
-    index = MultiIndex(codes.of(units))
+    own, every = codes.of(asked), codes.of(units)
+    everywhere = radius >= 16 * every.shape[1]  # all codes lie within: nothing to probe
+    index = None if everywhere else MultiIndex(every)
     out = []
-    for query, code, own in zip(asked, codes.of(asked), query_ids, strict=True):
-        rows = index.within(code, radius)
-        rows = rows[ids[rows] != own]
-        cosine = (units[rows] * query).sum(axis=1)
-        for at in np.lexsort((ids[rows], -cosine))[:k]:
-            out.append((int(own), int(ids[rows[at]]), float(cosine[at])))
+    for first in range(0, len(asked), PROBED):
+        part = slice(first, first + PROBED)
+        if everywhere:
+            rough = asked[part] @ units.T
+            rough[query_ids[part, None] == ids] = -2
+            least = np.partition(rough, -min(k, len(ids)), axis=1)[:, -min(k, len(ids)), None]
+            query, row = np.nonzero((rough >= least - 1e-9) & (rough > -2))  # the exact measure decides
+        else:
+            query, row = index.pairs(own[part], radius)
+        query += first
+        other = query_ids[query] != ids[row]
+        query, row = query[other], row[other]
+        cosine = (units[row] * asked[query]).sum(axis=1)
+        order = np.lexsort((ids[row], -cosine, query))
+        query, row, cosine = query[order], row[order], cosine[order]
+        starts = np.searchsorted(query, query)  # first place of each one's query
+        best = np.arange(len(query)) - starts < k
+        out += zip(query_ids[query[best]].tolist(), ids[row[best]].tolist(), cosine[best].tolist(), strict=True)
     return out
 
 

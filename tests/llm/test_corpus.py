@@ -127,6 +127,27 @@ def test_index_returns_every_code_within_the_radius():
     for radius in (0, 9, 40, 110):
         apart = np.array([[bin(int(a ^ b)).count("1") for a, b in zip(words[3], w, strict=True)] for w in words]).sum(axis=1)
         assert index.within(words[3], radius).tolist() == np.flatnonzero(apart <= radius).tolist()
+        codes, rows = index.pairs(words[:5], radius)
+        assert [rows[codes == n].tolist() for n in range(5)] == [index.within(w, radius).tolist() for w in words[:5]]
+
+
+@pytest.mark.parametrize("radius", [100, 256])
+def test_best_rows_of_many_queries_within_a_radius(radius):
+    draw = np.random.default_rng(3)
+    vectors = draw.normal(size=(700, 16))
+    vectors[40:60] = vectors[40]  # ties go to the smaller id
+    ids = draw.permutation(700)
+    codes = hash_search.learn(vectors, hash_search.Search(sample=700, probes=64))
+    asked = np.r_[0:150, 650:700]
+    found = hash_search.nearest(vectors[asked], ids[asked], vectors, ids, codes, radius, 5)
+    units = hash_search.unit(vectors)
+    words = codes.of(units)
+    expected = []
+    for q in asked:
+        near = [r for r in range(700) if r != q and int(np.bitwise_count(words[q].view(np.uint64) ^ words[r].view(np.uint64)).sum()) <= radius]
+        best = sorted(near, key=lambda r: (-(units[r] * units[q]).sum(), ids[r]))[:5]
+        expected += [(ids[q], ids[r], (units[r] * units[q]).sum()) for r in best]
+    assert found == expected
 
 
 # --- languages ---------------------------------------------------------------------------------
