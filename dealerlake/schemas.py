@@ -27,6 +27,7 @@ class Table:
     """``columns`` is what readers see; ``layout`` columns only place the files.
 
     Files are ``sorted_by`` the columns whose range a key check can skip files on.
+    ``raw`` tables only ever grow, so their folder alone says what they hold.
     ``bucketed`` tables are hashed on their key into the number of buckets the
     warehouse was created with, so key joins between them need no shuffle.
     """
@@ -37,6 +38,7 @@ class Table:
     layout: tuple[Column, ...] = ()
     sorted_by: tuple[str, ...] = ()
     bucketed: bool = False
+    raw: bool = False
 
     @property
     def names(self) -> list[str]:
@@ -62,6 +64,7 @@ CREATED_DATE = Column("created_date", T.DateType())
 STG_CUSTOMERS = Table(
     "stg_customers_raw",
     (text("id"), text("name"), text("dob"), text("created_at")),
+    raw=True,
 )
 
 STG_SALES = Table(
@@ -75,6 +78,7 @@ STG_SALES = Table(
         text("created_at"),
     ),
     layout=(CREATED_DATE,),
+    raw=True,
 )
 
 STG_AFTER_SALES = Table(
@@ -89,6 +93,7 @@ STG_AFTER_SALES = Table(
         text("created_at"),
     ),
     layout=(CREATED_DATE,),
+    raw=True,
 )
 
 STG_CUSTOMER_ADDRESS = Table(

@@ -1,3 +1,4 @@
+from dealerlake.sinks.records import Record
 from dealerlake.sinks.tables import TableStore
 
-__all__ = ["TableStore"]
+__all__ = ["Record", "TableStore"]

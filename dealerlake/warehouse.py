@@ -7,7 +7,7 @@ when the input breaks a constraint.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from datetime import UTC, date, datetime
+from datetime import UTC, date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +26,7 @@ from dealerlake.plans import (
     typed_sales,
 )
 from dealerlake.schemas import (
+    LOAD_DATE,
     MART_CUST_SERVICE_PRIO,
     MART_SALES,
     STG_AFTER_SALES,
@@ -39,7 +40,7 @@ from dealerlake.schemas import (
     Table,
 )
 from dealerlake.session import configure
-from dealerlake.sinks import TableStore
+from dealerlake.sinks import Record, TableStore
 from dealerlake.sources import append_staging, created_on, read_address_file
 from dealerlake.sources.address_files import MALFORMED
 
@@ -64,6 +65,10 @@ class Warehouse:
         self.store = TableStore(spark, root, database, buckets)
         self.store.create_tables()
 
+    def vacuum(self, keep_for: timedelta = timedelta(days=7)) -> dict[str, int]:
+        """Delete files of versions replaced longer ago than ``keep_for``, and of loads that failed; folders deleted by table."""
+        return self.store.vacuum(keep_for)
+
     def table(self, table: Table) -> DataFrame:
         return self.store.read(table).select(*table.names)
 
@@ -76,23 +81,23 @@ class Warehouse:
         """Apply the day's address file to staging. Any malformed line rejects the file."""
         lines = read_address_file(self.spark, base_path, run_date)
         lines, read = counting(lines, {"malformed lines": F.col(MALFORMED).isNotNull()})
-        target = self.store.read(STG_CUSTOMER_ADDRESS)
+        record, target = self.store.current(STG_CUSTOMER_ADDRESS), self.store.read(STG_CUSTOMER_ADDRESS)
         rows = build_stg_customer_address(lines, target, load_ts or _stamp(run_date))
-        return self._replace(STG_CUSTOMER_ADDRESS, rows, read, fatal=("malformed lines",))
+        return self._replace(STG_CUSTOMER_ADDRESS, rows, read, record, fatal=("malformed lines",))
 
     def load_txf_customers(self, run_date: date, load_ts: datetime | None = None) -> LoadReport:
         dob = F.col("dob")
         unreadable = dob.isNotNull() & parse_birth_date(dob).isNull()
         staged, read = counting(self.store.read(STG_CUSTOMERS), {"unreadable birth dates": unreadable})
-        target = self.store.read(TXF_CUSTOMERS)
+        record, target = self.store.current(TXF_CUSTOMERS), self.store.read(TXF_CUSTOMERS)
         rows = build_txf_customers(staged, target, run_date, load_ts or _stamp(run_date))
-        return self._replace(TXF_CUSTOMERS, rows, read)
+        return self._replace(TXF_CUSTOMERS, rows, read, record)
 
     def load_txf_customer_address(self, run_date: date, load_ts: datetime | None = None) -> LoadReport:
         staged, read = counting(self.store.read(STG_CUSTOMER_ADDRESS), {})
-        target = self.store.read(TXF_CUSTOMER_ADDRESS)
+        record, target = self.store.current(TXF_CUSTOMER_ADDRESS), self.store.read(TXF_CUSTOMER_ADDRESS)
         rows = build_txf_customer_address(staged, target, run_date, load_ts or _stamp(run_date))
-        return self._replace(TXF_CUSTOMER_ADDRESS, rows, read)
+        return self._replace(TXF_CUSTOMER_ADDRESS, rows, read, record)
 
     def load_txf_sales(
         self, run_date: date, initial_load: bool = False, load_ts: datetime | None = None
@@ -108,20 +113,22 @@ class Warehouse:
 
     def load_mart_sales(self, load_ts: datetime | None = None) -> LoadReport:
         """Rebuild the sales mart. Sales outside every price class reject it; the old mart stays."""
+        record = self.store.current(MART_SALES)
         sales, read = counting(self.store.read(TXF_SALES), {})
-        return self._refresh(MART_SALES, mart_sales(sales), read, load_ts)
+        return self._refresh(MART_SALES, mart_sales(sales), read, record, load_ts)
 
     def load_mart_cust_service_prio(self, load_ts: datetime | None = None) -> LoadReport:
+        record = self.store.current(MART_CUST_SERVICE_PRIO)
         services, read = counting(self.store.read(TXF_AFTER_SALES), {})
         rows = mart_cust_service_prio(
             services,
             self.store.read_unbucketed(TXF_CUSTOMERS),
             self.store.read_unbucketed(TXF_CUSTOMER_ADDRESS),
         )
-        return self._refresh(MART_CUST_SERVICE_PRIO, rows, read, load_ts)
+        return self._refresh(MART_CUST_SERVICE_PRIO, rows, read, record, load_ts)
 
     def _replace(
-        self, table: Table, rows: DataFrame, read: Observation, fatal: tuple[str, ...] = ()
+        self, table: Table, rows: DataFrame, read: Observation, record: Record, fatal: tuple[str, ...] = ()
     ) -> LoadReport:
         run = self.store.write_run(table, rows, from_upsert=True)
         try:
@@ -133,16 +140,18 @@ class Warehouse:
                 raise LoadRejected(f"{table.name}: {broken}")
             repeated = duplicate_keys(self.store.read_run(run), table.key)
             _require_none(table, repeated.withColumn("reason", F.lit("repeated in result")))
-            self.store.replace_table(run)
+            self.store.replace_table(run, record)
         finally:
             self.store.discard(run)
         return LoadReport(table.name, rows_read, run.rows, notes)
 
-    def _refresh(self, table: Table, rows: DataFrame, read: Observation, load_ts: datetime | None) -> LoadReport:
+    def _refresh(
+        self, table: Table, rows: DataFrame, read: Observation, record: Record, load_ts: datetime | None
+    ) -> LoadReport:
         stamp = load_ts or datetime.now(UTC).replace(tzinfo=None)
         run = self.store.write_run(table, rows.withColumn("load_timestamp", moment(stamp)))
         self.store.require_valid(run)
-        self.store.replace_table(run)
+        self.store.replace_table(run, record)
         return LoadReport(table.name, read.get[ROWS], run.rows)
 
     def _load_fact(
@@ -158,6 +167,7 @@ class Warehouse:
         load_ts = load_ts or _stamp(run_date)
         if not initial_load and load_ts.date() != run_date:
             raise ValueError(f"a daily load for {run_date} cannot be stamped {load_ts}")
+        record = self.store.current(table)
         staged = self.store.read(staging)
         rows = typed(staged if initial_load else created_on(staged, run_date), load_ts)
 
@@ -171,22 +181,22 @@ class Warehouse:
             # all, filling much of the batch is found here by a pre-aggregated count.
             repeated = duplicate_keys(rows, table.key).withColumn("reason", F.lit("repeated in batch"))
             _require_none(table, repeated)
-        run = self.store.write_run(table, rows, counts)
+        run = self.store.write_run(table, rows, counts, day=load_ts.date())
         try:
             self.store.require_valid(run)
             buckets = run.counted["buckets"] if split else None
             if run.rows:
-                existing = self.store.read(table)
+                existing = self.store.read(
+                    table, record, lambda p: (initial_load or p[LOAD_DATE.name] != str(run_date)) and (not split or p["inv_bucket"] in buckets)
+                )
                 if not initial_load:
                     existing = drop_loaded_on(existing, run_date)
-                if split:
-                    existing = existing.filter(F.col("inv_bucket").isin(buckets))
                 for column in table.sorted_by:
                     low, high = run.counted[f"first {column}"], run.counted[f"last {column}"]
                     existing = existing.filter(F.col(column).between(F.lit(low), F.lit(high)))
                 _require_none(table, key_violations(existing, self.store.read_run(run), table.key))
             publish = self.store.append_load if initial_load else self.store.replace_load
-            publish(run, load_ts.date(), buckets)
+            publish(run, load_ts.date(), buckets, record)
         finally:
             self.store.discard(run)
         return LoadReport(table.name, run.rows, run.rows)
