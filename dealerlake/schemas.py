@@ -169,7 +169,14 @@ TXF_AFTER_SALES = Table(
     ),
     key=("service_ticket",),
     layout=(LOAD_DATE,),
-    sorted_by=("service_ticket",),
+)
+
+# The tickets of the days its record lists, apart from the services: a ticket may repeat at any date,
+# and here stored tickets meet a batch without moving.
+TICKETS = Table(
+    "txf_after_sales_tickets",
+    (text("service_ticket", 10), Column("loaded_on", T.DateType())),
+    key=("service_ticket",),
     bucketed=True,
 )
 
@@ -207,6 +214,7 @@ ALL_TABLES = (
     TXF_CUSTOMER_ADDRESS,
     TXF_SALES,
     TXF_AFTER_SALES,
+    TICKETS,
     MART_SALES,
     MART_CUST_SERVICE_PRIO,
 )

@@ -1,4 +1,4 @@
 from dealerlake.sinks.records import Record
-from dealerlake.sinks.tables import TableStore
+from dealerlake.sinks.tables import Run, TableStore
 
-__all__ = ["Record", "TableStore"]
+__all__ = ["Record", "Run", "TableStore"]

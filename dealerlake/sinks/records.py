@@ -21,7 +21,10 @@ from dealerlake.operators import LoadRejected
 
 @dataclass(frozen=True)
 class Record:
-    """``places`` maps partition folder to the run folder that holds it; ``location`` is a whole table's folder."""
+    """``places`` maps partition folder to the run folder that holds it; ``location`` is a whole table's folder.
+
+    A table that is kept beside another one has a location, and the other one's places that it covers.
+    """
 
     version: int
     location: str | None = None

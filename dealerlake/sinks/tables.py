@@ -97,7 +97,7 @@ class TableStore:
             ddl += f" PARTITIONED BY ({', '.join(c.name for c in table.layout)})"
         if record and record.buckets:
             ddl += f" CLUSTERED BY ({', '.join(table.key)}) INTO {record.buckets} BUCKETS"
-        if record and not record.places:
+        if record and not (table.layout and record.places):
             ddl += f" TBLPROPERTIES ('{FOLLOWED}' = '{record.version}')"
         base = f"{self.root}/{table.name}/base"
         self._sql(f"{ddl} LOCATION '{(record and record.location) or base}'")
@@ -229,7 +229,9 @@ class TableStore:
             # Even files whatever the input's split: a day thinly spread over staging does not
             # become thousands of crumbs, and a bucket holding most rows is cut up again.
             counted, seen = counting(rows.hint("rebalance", *inner), flags, *extra)
-            counted.sortWithinPartitions(*inner, *table.sorted_by).write.partitionBy(*inner).parquet(path)
+            order = [*inner, *table.sorted_by]
+            counted = counted.sortWithinPartitions(*order) if order else counted
+            counted.write.partitionBy(*inner).parquet(path)
         else:
             counted, seen = counting(rows, flags, *extra)
             counted.write.parquet(path)
@@ -255,9 +257,9 @@ class TableStore:
         if run.table.bucketed:
             self.spark.sql(f"DROP TABLE IF EXISTS {self._run_table(run.table, run.run_id)}")
 
-    def replace_table(self, run: Run, record: Record) -> None:
-        """Make the run's files the table."""
-        self._publish(run.table, replace(record, version=record.version + 1, location=run.path))
+    def replace_table(self, run: Run, record: Record, covers: dict[str, str] | None = None) -> None:
+        """Make the run's files the table; ``covers`` are the places of the table it is kept beside."""
+        self._publish(run.table, replace(record, version=record.version + 1, location=run.path, places=covers))
 
     def replace_load(self, run: Run, load_date: date, buckets: Sequence[str] | None, record: Record) -> None:
         """Make the run the whole content of ``load_date``; an empty run empties it."""

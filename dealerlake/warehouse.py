@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from dealerlake.functions.bands import invoice_bucket
 from dealerlake.functions.clean import moment, parse_birth_date
-from dealerlake.operators import LoadRejected, counting, drop_loaded_on, duplicate_keys, key_violations
+from dealerlake.operators import LoadRejected, counting, duplicate_keys, key_violations
 from dealerlake.operators.counting import ROWS
 from dealerlake.plans import (
     build_stg_customer_address,
@@ -33,6 +33,7 @@ from dealerlake.schemas import (
     STG_CUSTOMER_ADDRESS,
     STG_CUSTOMERS,
     STG_SALES,
+    TICKETS,
     TXF_AFTER_SALES,
     TXF_CUSTOMER_ADDRESS,
     TXF_CUSTOMERS,
@@ -40,11 +41,14 @@ from dealerlake.schemas import (
     Table,
 )
 from dealerlake.session import configure
-from dealerlake.sinks import Record, TableStore
+from dealerlake.sinks import Record, Run, TableStore
 from dealerlake.sources import append_staging, created_on, read_address_file
 from dealerlake.sources.address_files import MALFORMED
 
 
+OPEN_DAYS = 32  # days of services whose tickets a key check reads from the services themselves, at most
+
+
 @dataclass(frozen=True)
 class LoadReport:
     """What a load did: source rows read, rows in the written result, and further counts.
@@ -176,31 +180,86 @@ class Warehouse:
         if split:
             rows = rows.withColumn("inv_bucket", invoice_bucket(F.col("invoice_date")))
             counts.append(F.collect_set("inv_bucket").alias("buckets"))  # five at most
-        if table.bucketed:
-            # Ahead of the write, which gathers equal keys in one task: a ticket, or none at
-            # all, filling much of the batch is found here by a pre-aggregated count.
-            repeated = duplicate_keys(rows, table.key).withColumn("reason", F.lit("repeated in batch"))
-            _require_none(table, repeated)
         run = self.store.write_run(table, rows, counts, day=load_ts.date())
         try:
             self.store.require_valid(run)
             buckets = run.counted["buckets"] if split else None
             if run.rows:
-                existing = self.store.read(
-                    table, record, lambda p: (initial_load or p[LOAD_DATE.name] != str(run_date)) and (not split or p["inv_bucket"] in buckets)
-                )
-                if not initial_load:
-                    existing = drop_loaded_on(existing, run_date)
-                for column in table.sorted_by:
-                    low, high = run.counted[f"first {column}"], run.counted[f"last {column}"]
-                    existing = existing.filter(F.col(column).between(F.lit(low), F.lit(high)))
-                _require_none(table, key_violations(existing, self.store.read_run(run), table.key))
+                replaced = None if initial_load else run_date
+                batch = self.store.read_run(run)
+                if split:
+                    violations = self._stored_sales(record, run, buckets, replaced)
+                    violations = key_violations(violations, batch, table.key)
+                else:
+                    violations = self.ticket_violations(batch, record, replaced)
+                _require_none(table, violations)
             publish = self.store.append_load if initial_load else self.store.replace_load
             publish(run, load_ts.date(), buckets, record)
         finally:
             self.store.discard(run)
+        if table is TXF_AFTER_SALES and (initial_load or len(self._ticket_days(self.store.current(table))[1]) > OPEN_DAYS):
+            self.compact_tickets()
         return LoadReport(table.name, run.rows, run.rows)
 
+    def _stored_sales(self, record: Record, run: Run, buckets: list[str], replaced: date | None) -> DataFrame:
+        """Stored sales that may hold a key of the run: of its invoice ranges and dates, but for the day it replaces."""
+        existing = self.store.read(
+            TXF_SALES, record, lambda p: p["inv_bucket"] in buckets and p[LOAD_DATE.name] != str(replaced)
+        )
+        for column in TXF_SALES.sorted_by:
+            low, high = run.counted[f"first {column}"], run.counted[f"last {column}"]
+            existing = existing.filter(F.col(column).between(F.lit(low), F.lit(high)))
+        return existing
+
+    def ticket_violations(self, batch: DataFrame, record: Record | None = None, replaced: date | None = None) -> DataFrame:
+        """Tickets that ``batch`` repeats or that are stored, but for those of the day it replaces; see ``key_violations``.
+
+        The tickets of most days lie in a table bucketed on them. The batch is dealt to its buckets
+        once, so however long the history, it is not moved. Days that table does not cover yet, a bounded
+        number of them, are read from the services themselves.
+        """
+        record = record or self.store.current(TXF_AFTER_SALES)
+        covered, open_days, outdated = self._ticket_days(record)
+        key = TXF_AFTER_SALES.key
+        unseen = [*outdated, *[d for d in covered if d == replaced]]
+        stored = self.store.read(TICKETS).filter(~F.col("loaded_on").isin(unseen)) if unseen else self.store.read(TICKETS)
+        recent = self.store.read(
+            TXF_AFTER_SALES, record, lambda p: date.fromisoformat(p[LOAD_DATE.name]) in open_days and p[LOAD_DATE.name] != str(replaced)
+        )
+        dealt = batch.select(*key).repartition(self.store.bucket_count(TICKETS), *key)
+        again = key_violations(recent, dealt, key).filter("reason = 'already stored'")
+        return key_violations(stored, dealt, key).unionByName(again)
+
+    def _ticket_days(self, record: Record) -> tuple[list[date], list[date], list[date]]:
+        """Days whose tickets the ticket table holds as they are, days it does not hold so, and days it holds that are gone or replaced."""
+        held = self.store.current(TICKETS).places or {}
+        day = lambda spec: date.fromisoformat(spec.split("=")[1])
+        covered = [day(s) for s, run in record.places.items() if held.get(s) == run]
+        return covered, [day(s) for s in record.places if day(s) not in covered], [day(s) for s in held if day(s) not in covered]
+
+    def compact_tickets(self) -> None:
+        """Make the ticket table cover every stored day. Services and their loads are not touched by it.
+
+        Done after an initial load and whenever more than ``OPEN_DAYS`` days have come since, so the files
+        of both tables grow by one a small day, not by one a bucket and day.
+        """
+        tickets, services = self.store.current(TICKETS), self.store.current(TXF_AFTER_SALES)
+        covered, open_days, outdated = self._ticket_days(services)
+        if not open_days and not outdated:
+            return
+        new = self.store.read(TXF_AFTER_SALES, services, lambda p: date.fromisoformat(p[LOAD_DATE.name]) in open_days)
+        rows = new.select("service_ticket", F.col(LOAD_DATE.name).alias("loaded_on"))
+        if covered:
+            held = self.store.read(TICKETS)
+            rows = rows.unionByName(held.filter(~F.col("loaded_on").isin(outdated)) if outdated else held)
+        run = self.store.write_run(TICKETS, rows)
+        try:
+            self.store.replace_table(run, tickets, services.places)
+        except LoadRejected:  # another session has done so meanwhile
+            pass
+        finally:
+            self.store.discard(run)
+
 
 def _stamp(run_date: date) -> datetime:
     """The present time of day, on the run date."""

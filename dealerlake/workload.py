@@ -9,6 +9,7 @@ differently (every second, every third number) instead of leaving rows out.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 
@@ -42,6 +43,7 @@ from dealerlake.warehouse import Warehouse
 LOAD_TS = datetime(2025, 9, 1, 8, 0)
 EARLIER_TS = datetime(2025, 8, 1, 8, 0)
 RUN_DATE = LOAD_TS.date()
+NEXT_DAY = date(2025, 9, 2)
 SALES_DAY = date(1998, 2, 6)
 SERVICE_DAY = date(2024, 1, 15)
 
@@ -154,11 +156,16 @@ def service_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mart_cust_service_prio(services, customers, places)
 
 
+def _warehouse(spark: SparkSession, folder: str) -> Warehouse:
+    """A warehouse in ``folder``, under a database of its own."""
+    buckets = spark.sparkContext.defaultParallelism  # one per core, so it grows with the cluster
+    return Warehouse(spark, folder, database=f"dwh_{uuid.uuid4().hex}", buckets=buckets)
+
+
 def service_mart_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same mart by way of the daily flows: staged, loaded, checked and published as tables."""
     folder = scratch_dir(spark, "warehouse")
-    buckets = spark.sparkContext.defaultParallelism  # one per core, so it grows with the cluster
-    warehouse = Warehouse(spark, folder, database=f"dwh_{folder.rsplit('-', 1)[1]}", buckets=buckets)
+    warehouse = _warehouse(spark, folder)
     warehouse.append_staging(S.STG_CUSTOMERS, staged_customers(spark, sf_dir, "c_custkey * 2"))
     warehouse.append_staging(S.STG_AFTER_SALES, staged_after_sales(spark, sf_dir))
     write_address_file(addresses(spark, sf_dir, "c_custkey * 3"), f"{folder}/incoming", RUN_DATE)
@@ -167,7 +174,58 @@ def service_mart_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse.load_txf_customer_address(RUN_DATE)
     warehouse.load_txf_after_sales(RUN_DATE, initial_load=True)
     warehouse.load_mart_cust_service_prio()
-    return warehouse.table(S.MART_CUST_SERVICE_PRIO).drop("load_timestamp")
+    mart = warehouse.table(S.MART_CUST_SERVICE_PRIO).drop("load_timestamp")
+    warehouse.store.drop_entries()  # the rows are read from files that stay
+    return mart
+
+
+def sales_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales as stored, read by a second opening of the warehouse.
+
+    All of them were loaded at once; then each vehicle was sold again two years later, which came
+    by the load of one day, run twice.
+    """
+    folder = scratch_dir(spark, "warehouse")
+    first = _warehouse(spark, folder)
+    made = staged_sales(spark, sf_dir, years_later=25).withColumn("created_at", F.lit(f"{EARLIER_TS}"))
+    first.append_staging(S.STG_SALES, made)
+    first.load_txf_sales(RUN_DATE, initial_load=True, load_ts=LOAD_TS)
+    later = staged_sales(spark, sf_dir, years_later=27).withColumn("created_at", F.lit(f"{NEXT_DAY} 06:30:00"))
+    first.append_staging(S.STG_SALES, later)
+    for _ in range(2):
+        first.load_txf_sales(NEXT_DAY, load_ts=datetime.combine(NEXT_DAY, LOAD_TS.time()))
+    first.store.drop_entries()
+    second = _warehouse(spark, folder)
+    sales = second.store.read(S.TXF_SALES)
+    second.store.drop_entries()
+    return sales
+
+
+def after_sales_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Services as stored after an initial load of all of them and a day loaded twice, under tickets of its own."""
+    warehouse = _warehouse(spark, scratch_dir(spark, "warehouse"))
+    staged = staged_after_sales(spark, sf_dir)
+    warehouse.append_staging(S.STG_AFTER_SALES, staged)
+    warehouse.load_txf_after_sales(RUN_DATE, initial_load=True, load_ts=LOAD_TS)
+    again = staged.withColumns({"service_ticket": F.concat(F.lit("N"), "service_ticket"), "created_at": F.lit(f"{NEXT_DAY} 06:30:00")})
+    warehouse.append_staging(S.STG_AFTER_SALES, again)
+    for _ in range(2):
+        warehouse.load_txf_after_sales(NEXT_DAY, load_ts=datetime.combine(NEXT_DAY, LOAD_TS.time()))
+    services = warehouse.table(S.TXF_AFTER_SALES)
+    warehouse.store.drop_entries()
+    return services
+
+
+def service_key_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders whose numbers are stored as service tickets, those of large orders brought twice."""
+    warehouse = _warehouse(spark, scratch_dir(spark, "warehouse"))
+    warehouse.append_staging(S.STG_AFTER_SALES, staged_after_sales(spark, sf_dir))
+    warehouse.load_txf_after_sales(RUN_DATE, initial_load=True, load_ts=LOAD_TS)
+    orders = _table(spark, sf_dir, "orders").selectExpr("CAST(o_orderkey * 3 AS STRING) AS service_ticket", "o_totalprice")
+    batch = orders.unionByName(orders.filter("o_totalprice >= 100000")).select("service_ticket")
+    found = warehouse.ticket_violations(batch)
+    warehouse.store.drop_entries()
+    return found
 
 
 def sales_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -321,10 +379,12 @@ _QUERIES = {
     "mart_sales_rejects": sales_mart_rejects,
     "mart_cust_service_prio": service_mart,
     "mart_cust_service_prio_loaded": service_mart_loaded,
+    "txf_sales_loaded": sales_loaded,
     "txf_sales_initial": _initial_sales,
     "txf_sales_incremental": sales_incremental,
     "txf_sales_rerun": sales_rerun,
     "sales_inv_bucket": sales_by_bucket,
+    "txf_after_sales_rerun": after_sales_rerun,
     "txf_after_sales_initial": after_sales_initial,
     "txf_after_sales_incremental": after_sales_incremental,
     "txf_customers_dob": customers_birth_dates,
@@ -334,6 +394,7 @@ _QUERIES = {
     "dedupe_first_last": first_and_last_order,
     "ts_millis": millis,
     "pk_violations_sales": sales_key_violations,
+    "pk_violations_after_sales": service_key_violations,
     "not_null_violations": sales_null_violations,
     "length_violations": service_length_violations,
     "load_report": load_report,

@@ -100,6 +100,18 @@ def oracle_sql() -> dict[str, str]:
             SELECT vin, customer_id, model, invoice_date, price, created_at FROM classed WHERE class IS NULL""",
         "mart_cust_service_prio": _SERVICE_MART,
         "mart_cust_service_prio_loaded": _SERVICE_MART,
+        "txf_sales_loaded": f"""
+            WITH {_SALES},
+            twice AS (
+                SELECT vin, customer_id, model, CAST(invoice_date + INTERVAL 25 YEAR AS DATE) AS invoice_date, price,
+                       TIMESTAMP '2025-08-01 08:00:00' AS created_at, TIMESTAMP '2025-09-01 08:00:00' AS load_timestamp FROM sales
+                UNION ALL
+                SELECT vin, customer_id, model, CAST(invoice_date + INTERVAL 27 YEAR AS DATE), price,
+                       TIMESTAMP '2025-09-02 06:30:00', TIMESTAMP '2025-09-02 08:00:00' FROM sales)
+            SELECT *, CAST(load_timestamp AS DATE) AS load_date,
+                   CASE WHEN year(invoice_date) <= 2022 THEN 'p2022' WHEN year(invoice_date) <= 2025 THEN 'p' || year(invoice_date)
+                        ELSE 'pmax' END AS inv_bucket
+            FROM twice""",
         "txf_sales_initial": f"WITH {_SALES} SELECT *, {_LOADED} FROM sales",
         "txf_sales_incremental": f"""
             WITH {_SALES} SELECT *, {_LOADED} FROM sales WHERE created_at >= TIMESTAMP '1998-02-06'
@@ -115,6 +127,11 @@ def oracle_sql() -> dict[str, str]:
                    count(*) AS sales, min(day) AS first_invoice, max(day) AS last_invoice
             FROM (SELECT CAST(o_orderdate + INTERVAL 25 YEAR AS DATE) AS day FROM orders)
             GROUP BY 1""",
+        "txf_after_sales_rerun": f"""
+            WITH {_SERVICES} SELECT *, {_LOADED} FROM services
+            UNION ALL
+            SELECT 'N' || service_ticket, vin, customer_id, model, service_date, service_type,
+                   TIMESTAMP '2025-09-02 06:30:00', TIMESTAMP '2025-09-02 08:00:00' FROM services""",
         "txf_after_sales_initial": f"WITH {_SERVICES} SELECT *, {_LOADED} FROM services",
         "txf_after_sales_incremental": f"""
             WITH {_SERVICES} SELECT *, {_LOADED} FROM services WHERE service_date = DATE '2024-01-15'""",
@@ -174,6 +191,13 @@ def oracle_sql() -> dict[str, str]:
                    'already stored'
             FROM stored s
             WHERE EXISTS (SELECT 1 FROM batch b WHERE b.vin = s.vin AND b.invoice_date = s.invoice_date)""",
+        "pk_violations_after_sales": """
+            WITH batch AS (SELECT o_orderkey * 3 AS ticket, CASE WHEN o_totalprice >= 100000 THEN 2 ELSE 1 END AS copies FROM orders),
+            counted AS (SELECT CAST(ticket AS VARCHAR) AS service_ticket, sum(copies)::BIGINT AS copies FROM batch GROUP BY ticket)
+            SELECT service_ticket, copies, 'repeated in batch' AS reason FROM counted WHERE copies > 1
+            UNION ALL
+            SELECT service_ticket, copies, 'already stored' FROM counted
+            WHERE service_ticket IN (SELECT CAST(event_id AS VARCHAR) FROM events)""",
         "not_null_violations": f"""
             WITH {_SALES}
             SELECT 'vin is null' AS rule, count(*) AS violations FROM sales WHERE model = '2-HIGH'

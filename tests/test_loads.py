@@ -3,7 +3,6 @@
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 from itertools import count
-from pathlib import Path
 
 import pytest
 
@@ -218,14 +217,63 @@ def test_service_constraints(wh):
     assert wh.table(S.TXF_AFTER_SALES).count() == 0
 
 
-def test_many_services_on_one_ticket_or_none_are_refused_before_anything_is_written(wh):
+def test_many_services_on_one_ticket_or_none_are_refused(wh):
     rows = [("hot", "v", "6", "VELOS", str(DAY), "PM", f"{DAY} 10:00:00")] * 50
     rows += [(None, "v", "6", "VELOS", str(NEXT), "PM", f"{NEXT} 10:00:00")] * 50
     stage(wh, S.STG_AFTER_SALES, *rows)
-    for day in (DAY, NEXT):
-        with pytest.raises(LoadRejected, match="repeated in batch"):
+    for day, reason in ((DAY, "1 keys in 50 rows repeated in batch"), (NEXT, "service_ticket is null': 50")):
+        with pytest.raises(LoadRejected, match=reason):
             wh.load_txf_after_sales(day)
-    assert not Path(wh.store.root, "txf_after_sales", "runs").exists()
+    assert wh.table(S.TXF_AFTER_SALES).count() == 0 and wh.store.current(S.TXF_AFTER_SALES).version == 0
+
+
+def service(ticket, day):
+    return (ticket, "v", "6", "VELOS", str(day), "PM", f"{day} 10:00:00")
+
+
+def test_tickets_are_refused_wherever_they_are_stored(wh, monkeypatch):
+    """In the ticket table, in a day it does not cover yet, or in both; a day that was replaced counts as it is now."""
+    monkeypatch.setattr("dealerlake.warehouse.OPEN_DAYS", 2)
+    days = [DAY + timedelta(days=i) for i in range(7)]
+    covered = set()
+    for i, day in enumerate(days):
+        stage(wh, S.STG_AFTER_SALES, service(f"T{i}", day))
+        assert wh.load_txf_after_sales(day).rows_written == 1
+        covered.add(wh.table(S.TICKETS).count())
+    assert covered == {0, 3, 6}  # made anew whenever a third day was open
+    last = days[-1] + timedelta(days=1)
+    for i in range(7):
+        stage(wh, S.STG_AFTER_SALES, service(f"T{i}", last))
+        with pytest.raises(LoadRejected, match="1 keys in 1 rows already stored" if i == 0 else "already stored"):
+            wh.load_txf_after_sales(last)
+    for day in days:  # a day run again does not meet its own tickets
+        wh.load_txf_after_sales(day)
+    assert loaded(wh, S.TXF_AFTER_SALES) == {f"T{i}": d for i, d in enumerate(days)}
+
+
+def test_a_ticket_that_left_a_covered_day_may_come_again(wh):
+    stage(wh, S.STG_AFTER_SALES, service("T1", DAY), service("T2", DAY))
+    wh.load_txf_after_sales(DAY, initial_load=True)
+    assert wh.table(S.TICKETS).count() == 2
+    kept = f"{wh.store.root}/kept-{next(_names)}"
+    wh.store.read(S.STG_AFTER_SALES).filter("service_ticket = 'T2'").drop("created_date").write.parquet(kept)
+    wh.spark.sql(f"ALTER TABLE {wh.store.name(S.STG_AFTER_SALES)} PARTITION (created_date=DATE'{DAY}') SET LOCATION '{kept}'")
+    wh.load_txf_after_sales(DAY)
+    stage(wh, S.STG_AFTER_SALES, service("T1", NEXT))
+    wh.load_txf_after_sales(NEXT)
+    assert loaded(wh, S.TXF_AFTER_SALES) == {"T1": NEXT, "T2": DAY}
+    wh.compact_tickets()
+    assert sorted(tuple(r) for r in wh.table(S.TICKETS).collect()) == [("T1", NEXT), ("T2", DAY)]
+
+
+def test_small_days_leave_one_file_each(wh):
+    days = [DAY + timedelta(days=i) for i in range(6)]
+    stage(wh, S.STG_AFTER_SALES, *[service(f"{i}-{n}", day) for i, day in enumerate(days) for n in range(30)])
+    for day in days:
+        wh.load_txf_after_sales(day)
+    assert len(wh.table(S.TXF_AFTER_SALES).inputFiles()) == len(days)
+    wh.compact_tickets()
+    assert len(wh.table(S.TICKETS).inputFiles()) <= wh.store.bucket_count(S.TICKETS)
 
 
 # --- dimensions ------------------------------------------------------------------------------

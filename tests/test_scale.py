@@ -149,25 +149,23 @@ def test_key_check_shuffles_the_batch_once_and_the_stored_table_never(spark, war
     assert "BroadcastHashJoin" in final
 
 
-def test_service_key_check_shuffles_nothing(spark, warehouse, settings):
-    """Stored tickets and the run sit in the same buckets."""
+def test_service_key_check_moves_no_stored_ticket(spark, warehouse, settings):
+    """Stored tickets and the batch sit in the same buckets; only the batch is dealt to them."""
     settings(autoBroadcastJoinThreshold="-1")
     staged = warehouse.store.read(S.STG_AFTER_SALES).filter("service_ticket < 'T5'")
-    run = warehouse.store.write_run(S.TXF_AFTER_SALES, typed_after_sales(staged, TS))
-    try:
-        stored, batch = warehouse.store.read(S.TXF_AFTER_SALES), warehouse.store.read_run(run)
-        found = key_violations(stored, batch, S.TXF_AFTER_SALES.key)
-        assert shuffles(found) == 0
-        assert "SortMergeJoin" in plan(found)
-        assert found.count() == stored.filter("service_ticket < 'T5'").count() > 0
-    finally:
-        warehouse.store.discard(run)
+    batch = typed_after_sales(staged, TS)
+    found = warehouse.ticket_violations(batch)
+    stored = plan(key_violations(warehouse.store.read(S.TICKETS), batch.repartition(8, "service_ticket"), S.TXF_AFTER_SALES.key))
+    assert "SortMergeJoin" in stored and "Bucketed: true" in stored
+    assert len(re.findall(r"Exchange hashpartitioning\(service_ticket", stored)) == 2  # the batch's, in each of the two parts
+    assert not re.search(r"Exchange[^\n]*\n[^\n]*(Filter|Project|FileScan)[^\n]*loaded_on", stored)
+    assert found.count() == warehouse.store.read(S.TXF_AFTER_SALES).filter("service_ticket < 'T5'").count() > 0
 
 
 def test_service_mart_splits_service_files_by_size_not_by_bucket(warehouse):
     services = warehouse.store.read(S.TXF_AFTER_SALES)
     text = plan(services.groupBy("vin", "customer_id").count())
-    assert "Bucketed: false" in text
+    assert "FileScan parquet" in text and "Bucketed: true" not in text
 
 
 def test_stored_keys_are_pruned_to_the_run(warehouse):
