@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import ctypes
+import gc
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -54,6 +56,26 @@ def byte_slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int
         yield first, held
 
 
+def releasing(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """The same function for mapInArrow, which hands freed memory back to the system when its task ends.
+
+    Python workers wait for the next task, and what their allocators keep for themselves counts against
+    the executor while later stages need it.
+    """
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+            if trim:
+                trim(0)
+
+    return wrapped
+
+
 def record_batch(schema: pa.Schema, columns: Sequence) -> pa.RecordBatch:
     arrays = [c if isinstance(c, pa.Array) else pa.array(c, kind.type) for c, kind in zip(columns, schema, strict=True)]
     return pa.RecordBatch.from_arrays([a.cast(f.type) for a, f in zip(arrays, schema, strict=True)], schema=schema)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dealerlake.llm.common import byte_slices, record_batch, stored
+from dealerlake.llm.common import byte_slices, record_batch, releasing, stored
 
 # Fixed value: a word's characters, after A-Z became a-z; the same set in UTF-8.
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -183,7 +183,7 @@ def _with_hits(docs: DataFrame, benchmark: DataFrame, limits: Limits) -> DataFra
                     kept = [rows.column(n) for n in names]
                     yield pa.RecordBatch.from_arrays([*kept, pa.array(edges, HITS[0].type), pa.array(items, HITS[1].type)], names=[*names, *HITS.names])
 
-        found = found.mapInArrow(stream, schema)
+        found = found.mapInArrow(releasing(stream), schema)
     return found
 
 
@@ -207,7 +207,7 @@ def report(docs: DataFrame, benchmark: DataFrame, limits: Limits = Limits()) ->
             yield record_batch(schema, [batch.column("doc_id"), counts, hits, [len(i) for i in items], digests, [h > 0 for h in hits]])
 
     found = _with_hits(docs.select("doc_id", "text"), benchmark, limits)
-    return found.mapInArrow(digest, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
+    return found.mapInArrow(releasing(digest), "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
 
 
 def cut_words(text: bytes, ranges: Sequence[tuple[int, int]]) -> bytes:
@@ -252,4 +252,4 @@ def remove_contamination(docs: DataFrame, benchmark: DataFrame, limits: Limits =
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=names).filter(pa.array(keep))
 
     renamed = docs.toDF(*names)
-    return _with_hits(renamed, benchmark, limits).mapInArrow(cut, renamed.schema).toDF(*docs.columns)
+    return _with_hits(renamed, benchmark, limits).mapInArrow(releasing(cut), renamed.schema).toDF(*docs.columns)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dealerlake.llm.common import byte_slices, record_batch, stored
+from dealerlake.llm.common import byte_slices, record_batch, releasing, stored
 from dealerlake.llm.components import components
 from dealerlake.llm.shingles import U, mixed, shingle_sets
 
@@ -148,7 +148,7 @@ def _signatures(docs: DataFrame, similarity: Similarity) -> DataFrame:
                 sums = [np.array([mixed(s, salt).sum(dtype=U) for s in sets], U).view(np.int64) for salt in (4, 5)]
                 yield record_batch(SETS, [batch.column("doc_id").slice(first, len(texts)), sizes, *sums])
 
-    return docs.select("doc_id", "text").mapInArrow(sign, "doc_id long, n long, s1 long, s2 long")
+    return docs.select("doc_id", "text").mapInArrow(releasing(sign), "doc_id long, n long, s1 long, s2 long")
 
 
 def _keys(docs: DataFrame, similarity: Similarity) -> DataFrame:
@@ -165,7 +165,7 @@ def _keys(docs: DataFrame, similarity: Similarity) -> DataFrame:
                     found, at = zip(*(keys.of(s) for _, s in filled), strict=True)
                     yield record_batch(schema, [np.concatenate(found), np.repeat([doc for doc, _ in filled], [len(k) for k in found]), np.concatenate(at)])
 
-    return docs.select("doc_id", "text").mapInArrow(explode, "key long, rep long, size_group int")
+    return docs.select("doc_id", "text").mapInArrow(releasing(explode), "key long, rep long, size_group int")
 
 
 def _node(rep: str, size_group: str) -> Column:
@@ -260,7 +260,7 @@ def _product(tiles: DataFrame, similarity: Similarity) -> DataFrame:
             yield done()
 
     dealt = tiles.repartition(*keys).sortWithinPartitions(*keys)
-    return dealt.mapInArrow(multiply, "x long, y long")
+    return dealt.mapInArrow(releasing(multiply), "x long, y long")
 
 
 def _bit(name: str) -> Column:
@@ -294,7 +294,7 @@ def _texts_of(docs: DataFrame, members: DataFrame) -> DataFrame:
             yield record_batch(schema, [kept.column("doc_id"), kept.column("text")])
 
     read = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", "text", _bit("doc_id").alias("bit"))
-    return read.mapInArrow(sift, "doc_id long, text string")
+    return read.mapInArrow(releasing(sift), "doc_id long, text string")
 
 
 def groups(docs: DataFrame, similarity: Similarity = Similarity()) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dealerlake.llm.chain_crf import ChainCRF, Layout, marginals
-from dealerlake.llm.common import byte_slices, record_batch, remainder
+from dealerlake.llm.common import byte_slices, record_batch, releasing, remainder
 
 BINS = 8
 NEWLINE = 10
@@ -176,7 +176,7 @@ def score(docs: DataFrame, model: QualityModel | None) -> DataFrame:
                 yield record_batch(OUT, [rows.column("doc_id"), rows.column("held_out"), values, (values >= 0.5).astype(np.int32)])
 
     held_out = F.coalesce(remainder("doc_id", 3) == 1, F.lit(False)).alias("held_out")
-    return docs.select("doc_id", held_out, "text").mapInArrow(predict, "doc_id long, held_out boolean, score double, predicted int")
+    return docs.select("doc_id", held_out, "text").mapInArrow(releasing(predict), "doc_id long, held_out boolean, score double, predicted int")
 
 
 def keep_good(docs: DataFrame, model: QualityModel | None) -> DataFrame:
@@ -189,7 +189,7 @@ def keep_good(docs: DataFrame, model: QualityModel | None) -> DataFrame:
                 values = model.scores(texts) if model else np.full(len(texts), 0.5)
                 yield batch.slice(first, len(texts)).filter(pa.array(values >= 0.5))
 
-    return docs.mapInArrow(keep, schema)
+    return docs.mapInArrow(releasing(keep), schema)
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, training: Training = Training()) -> DataFrame:

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from dealerlake.llm.common import byte_slices, record_batch
+from dealerlake.llm.common import byte_slices, record_batch, releasing
 
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
@@ -297,7 +297,7 @@ def encode(docs: DataFrame, settings: Tokenization = Tokenization(), with_ids: b
                 columns = [doc_ids, lists, sizes, digests, restored] if with_ids else [doc_ids, sizes, digests, restored]
                 yield record_batch(schema, columns)
 
-    return docs.select("doc_id", "text").mapInArrow(run, ddl)
+    return docs.select("doc_id", "text").mapInArrow(releasing(run), ddl)
 
 
 def report(docs: DataFrame, settings: Tokenization = Tokenization()) -> DataFrame:
