@@ -39,7 +39,7 @@ class Similarity:
 
     words: int = 5
     percent: int = 80
-    tile: int = 256  # documents of a cluster multiplied at once
+    tile: int = 1024  # documents of a cluster multiplied at once; a text is sent once for each tile of its cluster
     entries: int = 500_000  # n-grams of such documents: of longer ones fewer make a tile
 
     def linked(self, overlap, a, b):
@@ -191,16 +191,18 @@ def tile_links(rows: list[tuple[int, int, np.ndarray]], same: bool, similarity:
     docs, sizes = [r[1] for r in rows], np.array([len(r[2]) for r in rows])
     split = sum(r[0] == 0 for r in rows)
     columns = np.concatenate([r[2] for r in rows])
-    owner = np.repeat(np.arange(len(rows)), sizes)
-    order = np.argsort(columns, kind="stable")  # within a column, rows rise
+    # Numbers of rows and entries of two tiles fit 32 bits; what is done with goes, since this is a task's largest step.
+    owner = np.repeat(np.arange(len(rows), dtype=np.int32), sizes)
+    order = np.argsort(columns, kind="stable").astype(np.int32)  # within a column, rows rise
     ranked, holder = columns[order], owner[order]
     fresh = np.concatenate([[True], ranked[1:] != ranked[:-1]])
-    opens = np.flatnonzero(fresh)
-    number = np.cumsum(fresh) - 1
-    ends = np.append(opens[1:], len(ranked))[number]  # end of the postings of each entry's column
+    del columns, owner, ranked
+    opens = np.flatnonzero(fresh).astype(np.int32)
+    ends = np.append(opens[1:], np.int32(len(order)))[np.cumsum(fresh, dtype=np.int32) - 1]  # end of the postings of each entry's column
     # Entry positions by row: where each (row, column) stands in its column's postings.
-    place = np.empty(len(order), np.int64)
-    place[order] = np.arange(len(order))
+    place = np.empty(len(order), np.int32)
+    place[order] = np.arange(len(order), dtype=np.int32)
+    del order, fresh
     edge = np.cumsum([0, *sizes])
     parent = list(range(len(rows)))
 
@@ -245,6 +247,7 @@ def _product(tiles: DataFrame, similarity: Similarity) -> DataFrame:
             texts = pa.array([text for _, _, text in held], pa.large_binary())
             sets = [x for _, part in byte_slices(texts) for x in shingle_sets(part, similarity.words)]
             rows = [(tile, doc, x) for (tile, doc, _), x in zip(held, sets, strict=True)]
+            del texts, sets
             return record_batch(LINKS, list(zip(*tile_links(rows, now[0] == now[1], similarity), strict=True)) or [[], []])
 
         for batch in batches:
