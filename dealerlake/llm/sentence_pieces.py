@@ -215,6 +215,10 @@ class Encoder:
         if len(self.changed) * 400 > self.remembered:  # of words long gone, perhaps
             self.changed, self.ids, self.older, self.size = {}, {}, {}, 0
 
+    def forget(self) -> None:
+        """Give up all words, so that a worker that waits for its next task holds the tokenizer only."""
+        self.ids, self.older, self.changed, self.size = {}, {}, {}, 0
+
     def normalized(self, text: str) -> str:
         """What the model's normaliser gives."""
         if self.mapped:
@@ -284,18 +288,21 @@ def encode(docs: DataFrame, settings: Tokenization = Tokenization(), with_ids: b
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shared.value, settings.threads)
-        for batch in batches:
-            for first, raw in byte_slices(batch.column("text")):
-                texts = [t.decode() for t in raw]
-                ids, restored = encoder.encode(texts)
-                held = [n for n, t in enumerate(raw) if zlib.crc32(t) % settings.verify_every == 0]
-                encoder.verify([texts[n] for n in held], [ids[n] for n in held], [restored[n] for n in held])
-                digests = [hashlib.sha256(i.tobytes()).hexdigest() for i in ids]
-                doc_ids = batch.column("doc_id").slice(first, len(texts))
-                sizes = np.array([len(i) for i in ids])
-                lists = pa.ListArray.from_arrays(np.append(0, np.cumsum(sizes)).astype(np.int32), np.concatenate(ids))
-                columns = [doc_ids, lists, sizes, digests, restored] if with_ids else [doc_ids, sizes, digests, restored]
-                yield record_batch(schema, columns)
+        try:
+            for batch in batches:
+                for first, raw in byte_slices(batch.column("text")):
+                    texts = [t.decode() for t in raw]
+                    ids, restored = encoder.encode(texts)
+                    held = [n for n, t in enumerate(raw) if zlib.crc32(t) % settings.verify_every == 0]
+                    encoder.verify([texts[n] for n in held], [ids[n] for n in held], [restored[n] for n in held])
+                    digests = [hashlib.sha256(i.tobytes()).hexdigest() for i in ids]
+                    doc_ids = batch.column("doc_id").slice(first, len(texts))
+                    sizes = np.array([len(i) for i in ids])
+                    lists = pa.ListArray.from_arrays(np.append(0, np.cumsum(sizes)).astype(np.int32), np.concatenate(ids))
+                    columns = [doc_ids, lists, sizes, digests, restored] if with_ids else [doc_ids, sizes, digests, restored]
+                    yield record_batch(schema, columns)
+        finally:
+            encoder.forget()
 
     return docs.select("doc_id", "text").mapInArrow(releasing(run), ddl)
 
