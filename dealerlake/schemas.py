@@ -27,7 +27,8 @@ class Table:
     """``columns`` is what readers see; ``layout`` columns only place the files.
 
     Files are ``sorted_by`` the columns whose range a key check can skip files on.
-    ``raw`` tables only ever grow, so their folder alone says what they hold.
+    ``raw`` tables only ever grow, so their folder alone says what they hold; each row also keeps
+    the batch it came in, and a file holds rows of one batch only.
     ``bucketed`` tables are hashed on their key into the number of buckets the
     warehouse was created with, so key joins between them need no shuffle.
     """
@@ -60,6 +61,7 @@ class Table:
 
 LOAD_DATE = Column("load_date", T.DateType())
 CREATED_DATE = Column("created_date", T.DateType())
+BATCH = Column("batch", T.StringType())
 
 STG_CUSTOMERS = Table(
     "stg_customers_raw",

@@ -1,4 +1,4 @@
 from dealerlake.sinks.records import Record
-from dealerlake.sinks.tables import Run, TableStore
+from dealerlake.sinks.tables import REJECTED, Run, TableStore
 
-__all__ = ["Record", "Run", "TableStore"]
+__all__ = ["REJECTED", "Record", "Run", "TableStore"]

@@ -37,7 +37,7 @@ class Records:
 
     def __init__(self, spark: SparkSession, root: str):
         self.root = root
-        jvm = spark._jvm
+        self._jvm = jvm = spark._jvm
         self._path = jvm.org.apache.hadoop.fs.Path
         self._text = jvm.org.apache.commons.io.IOUtils.toString
         conf = spark._jsparkSession.sessionState().newHadoopConf()
@@ -52,30 +52,52 @@ class Records:
 
     def version(self, table: str, number: int) -> Record | None:
         """The record with that number, None where it is gone."""
-        path = self._path(self._file(table, number))
-        if not self._fs.exists(path):
-            return None
-        stream = self._fs.open(path)
-        try:
-            return Record(number, **json.loads(self._text(stream, "UTF-8")))
-        finally:
-            stream.close()
+        held = self._read(self._file(table, number))
+        return None if held is None else Record(number, **held)
 
     def write(self, table: str, record: Record) -> None:
         """Make ``record`` the table's newest version; refused where its number is taken."""
         held = {name: value for name, value in vars(record).items() if name != "version" and value is not None}
-        draft = self._path(f"{self.root}/{table}/versions/.{uuid.uuid4().hex}")
+        if not self._write_once(self._file(table, record.version), held):
+            raise LoadRejected(f"{table}: another load finished meanwhile; run this one again")
+
+    def batch(self, table: str, batch: str) -> dict[str, int] | None:
+        """What was counted when the batch was staged, None where it was not, or not to its end."""
+        return self._read(self._batch_file(table, batch))
+
+    def begin_batch(self, table: str, batch: str) -> bool:
+        """Whether nobody has begun to stage the batch before."""
+        return self._write_once(f"{self._batch_file(table, batch)}.begun", {})
+
+    def finish_batch(self, table: str, batch: str, counted: dict[str, int]) -> None:
+        """Mark the batch as staged. Where another session has done so for the same batch, its mark stays."""
+        self._write_once(self._batch_file(table, batch), counted)
+
+    def _write_once(self, file: str, held: dict) -> bool:
+        """Whether ``file`` was made, whole; False where it is there already."""
+        draft = self._path(f"{file.rpartition('/')[0]}/.{uuid.uuid4().hex}")
         out = self._fs.create(draft)
         out.write(bytearray(json.dumps(held).encode()))
         out.close()
         try:
-            target = self._fs.makeQualified(self._path(self._file(table, record.version)))
+            target = self._fs.makeQualified(self._path(file))
             self._context.rename(self._fs.makeQualified(draft), target, self._no_options)
         except Py4JJavaError as error:
             self._fs.delete(draft, False)
             if "FileAlreadyExists" not in error.java_exception.getClass().getName():
                 raise
-            raise LoadRejected(f"{table}: another load finished meanwhile; run this one again") from None
+            return False
+        return True
+
+    def _read(self, file: str) -> dict | None:
+        path = self._path(file)
+        if not self._fs.exists(path):
+            return None
+        stream = self._fs.open(path)
+        try:
+            return json.loads(self._text(stream, "UTF-8"))
+        finally:
+            stream.close()
 
     def holds_data(self, table: str) -> bool:
         """Whether files of an earlier run or of the table's first folder are there."""
@@ -111,6 +133,13 @@ class Records:
     def _file(self, table: str, number: int) -> str:
         return f"{self.root}/{table}/versions/{number:09d}.json"
 
+    def delete(self, files: list[str]) -> None:
+        for file in files:
+            self._fs.delete(self._path(self._jvm.java.net.URI(file)), False)
+
+    def _batch_file(self, table: str, batch: str) -> str:
+        return f"{self.root}/{table}/batches/{batch}.json"
+
     def _numbers(self, table: str) -> list[int]:
         names = self._names(f"{self.root}/{table}/versions")
         return sorted(int(name.removesuffix(".json")) for name in names if name.endswith(".json") and not name.startswith("."))

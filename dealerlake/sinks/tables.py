@@ -12,6 +12,7 @@ opens the warehouse and before it reads a table that another session has loaded.
 
 from __future__ import annotations
 
+import re
 import uuid
 import warnings
 from collections.abc import Callable, Iterable, Sequence
@@ -24,10 +25,12 @@ from pyspark.sql import types as T
 
 from dealerlake.operators import LoadRejected, broken_row, count_violations, counting, violation_counts
 from dealerlake.operators.counting import ROWS
-from dealerlake.schemas import ALL_TABLES, LOAD_DATE, Table
+from dealerlake.schemas import ALL_TABLES, BATCH, CREATED_DATE, LOAD_DATE, Table
 from dealerlake.sinks.records import Record, Records
+from dealerlake.sources.staging import laid_out
 
 BROKEN = "broken rows"
+REJECTED = "rejected"
 FOLLOWED = "record"  # table property: the version its catalog entries stand for
 AT_ONCE = 500  # partitions added by one statement
 
@@ -91,7 +94,8 @@ class TableStore:
 
     def _enter(self, table: Table, record: Record | None = None) -> None:
         """Make the table's entry if there is none, at the version of ``record`` unless partitions have to be added."""
-        columns = ", ".join(f"{c.name} {c.dtype.simpleString()}" for c in table.columns + table.layout)
+        hidden = (BATCH,) if table.raw else ()
+        columns = ", ".join(f"{c.name} {c.dtype.simpleString()}" for c in table.columns + hidden + table.layout)
         ddl = f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({columns}) USING parquet"
         if table.layout:
             ddl += f" PARTITIONED BY ({', '.join(c.name for c in table.layout)})"
@@ -117,7 +121,7 @@ class TableStore:
         partitions to list, by column values as text.
         """
         if table.raw:
-            return self.spark.table(self.name(table))
+            return self.staged(table).drop(BATCH.name)
         if record is None or table.bucketed or not table.layout:
             self.follow(table)
         if table.bucketed or not table.layout:
@@ -125,6 +129,10 @@ class TableStore:
         places = (record or self.current(table)).places
         return self._read_places(table, {spec: run for spec, run in places.items() if keep is None or keep(_values(spec))})
 
+    def staged(self, table: Table) -> DataFrame:
+        """The rows of a raw table with the batches they came in."""
+        return self.spark.table(self.name(table))
+
     def _read_places(self, table: Table, places: dict[str, str]) -> DataFrame:
         columns = [*table.names, *[c.name for c in table.layout]]
         if not places:
@@ -202,6 +210,41 @@ class TableStore:
     def _sql(self, statement: str) -> DataFrame:
         return self.spark.sql(statement)
 
+    def append_batch(self, table: Table, rows: DataFrame, batch: str | None = None) -> dict[str, int]:
+        """Add raw rows under the id of their batch, in one pass; how many, and how many of them no daily load can take.
+
+        A batch staged to its end is known by its mark and not read again: the counts are those of then.
+        Of one that was cut short, the files that came into place are deleted first. One session stages a
+        batch at a time; an id names one content. Rows without an id are always added.
+        """
+        if batch is not None:
+            if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9_.-]*", batch):
+                raise ValueError(f"a batch id is of letters, digits, '_', '.' and '-': {batch!r}")
+            known = self.records.batch(table.name, batch)
+            if known:
+                return known
+            if not self.records.begin_batch(table.name, batch):
+                self._delete_batch(table, batch)
+        staged, flags = laid_out(rows, table, batch), {}
+        if CREATED_DATE in table.layout:
+            staged, flags = staged.hint("rebalance", CREATED_DATE.name), {REJECTED: F.col(CREATED_DATE.name).isNull()}
+        counted, seen = counting(staged, flags)
+        counted.write.mode("append").insertInto(self.name(table))
+        told = {REJECTED: 0} | seen.get
+        if batch is not None:
+            self.records.finish_batch(table.name, batch, told)
+        return told
+
+    def _delete_batch(self, table: Table, batch: str) -> None:
+        """Delete the files of a batch that was cut short. Row group statistics skip those of all others."""
+        if table.layout:
+            self._sql(f"ALTER TABLE {self.name(table)} RECOVER PARTITIONS")
+        self.spark.catalog.refreshTable(self.name(table))
+        rows = self.spark.table(self.name(table)).filter(F.col(BATCH.name) == batch)
+        files = [r.file for r in rows.select(F.col("_metadata.file_path").alias("file")).distinct().collect()]
+        self.records.delete(files)
+        self.spark.catalog.refreshTable(self.name(table))
+
     def write_run(
         self, table: Table, rows: DataFrame, extra: Sequence[Column] = (), from_upsert: bool = False, day: date | None = None
     ) -> Run:

@@ -1,4 +1,4 @@
-"""Raw staging tables: bulk append, and picking out the rows of one day."""
+"""Raw staging tables: laying out appended rows, and picking out the rows of one day or of none."""
 
 from __future__ import annotations
 
@@ -7,32 +7,37 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dealerlake.schemas import CREATED_DATE, Table
+from dealerlake.schemas import BATCH, CREATED_DATE, Table
 
+REASON = "reason"
 
-def append_staging(rows: DataFrame, table: Table, target: str) -> None:
-    """Append raw rows to catalog table ``target``.
 
-    Tables laid out by ``created_date`` get it derived from the ``created_at`` text,
-    so a daily load prunes to one folder instead of parsing every row ever staged.
-    Text that is no timestamp lands in the NULL partition.
+def laid_out(rows: DataFrame, table: Table, batch: str | None) -> DataFrame:
+    """Raw rows with the batch they came in and, where the table is laid out so, the day of their ``created_at``.
+
+    A daily load so prunes to one folder instead of parsing every row ever staged. Text that names no
+    day gets none.
     """
-    raw = rows.select(*table.names)
+    raw = rows.select(*table.names, F.lit(batch).cast("string").alias(BATCH.name))
     if CREATED_DATE in table.layout:
-        day = F.col("created_at").try_cast("date")
-        raw = raw.withColumn(CREATED_DATE.name, day).hint("rebalance", CREATED_DATE.name)
-    raw.write.mode("append").insertInto(target)
+        raw = raw.withColumn(CREATED_DATE.name, F.col("created_at").try_cast("date"))
+    return raw
 
 
 def created_on(staged: DataFrame, run_date: date) -> DataFrame:
     """Rows whose ``created_at`` falls on ``run_date``.
 
-    The text itself decides. Where the table is laid out by ``created_date`` the
-    scan is pruned to that day plus the NULL partition, so unreadable text still
-    reaches the cast and fails the load.
+    Where the table is laid out by ``created_date`` only that day's folder is read. Rows without a
+    day belong to none, so they hold up no load; ``rejects`` lists them. Elsewhere the text itself is
+    read, and text that names no day fails the load.
     """
     day = F.lit(run_date)
     if CREATED_DATE.name in staged.columns:
-        stored = F.col(CREATED_DATE.name)
-        staged = staged.filter(stored.isNull() | (stored == day))
+        return staged.filter(F.col(CREATED_DATE.name) == day)
     return staged.filter(F.to_date("created_at") == day)
+
+
+def rejects(staged: DataFrame) -> DataFrame:
+    """Rows of a table laid out by ``created_date`` that no daily load can take, with the reason."""
+    reason = F.when(F.col("created_at").isNull(), "no creation time").otherwise("unreadable creation time")
+    return staged.filter(F.col(CREATED_DATE.name).isNull()).withColumn(REASON, reason)

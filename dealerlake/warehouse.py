@@ -26,6 +26,7 @@ from dealerlake.plans import (
     typed_sales,
 )
 from dealerlake.schemas import (
+    BATCH,
     LOAD_DATE,
     MART_CUST_SERVICE_PRIO,
     MART_SALES,
@@ -41,9 +42,10 @@ from dealerlake.schemas import (
     Table,
 )
 from dealerlake.session import configure
-from dealerlake.sinks import Record, Run, TableStore
-from dealerlake.sources import append_staging, created_on, read_address_file
+from dealerlake.sinks import REJECTED, Record, Run, TableStore
+from dealerlake.sources import created_on, read_address_file, rejects
 from dealerlake.sources.address_files import MALFORMED
+from dealerlake.sources.staging import REASON
 
 
 OPEN_DAYS = 32  # days of services whose tickets a key check reads from the services themselves, at most
@@ -76,8 +78,18 @@ class Warehouse:
     def table(self, table: Table) -> DataFrame:
         return self.store.read(table).select(*table.names)
 
-    def append_staging(self, table: Table, rows: DataFrame) -> None:
-        append_staging(rows, table, self.store.name(table))
+    def append_staging(self, table: Table, rows: DataFrame, batch: str | None = None) -> LoadReport:
+        """Add raw rows. A batch whose id was staged before is skipped; its report is that of then.
+
+        Rows of services and sales without a readable day are staged and counted as rejected. Daily
+        loads leave them out, ``staging_rejects`` lists them, an initial load meets them and fails.
+        """
+        told = self.store.append_batch(table, rows, batch)
+        return LoadReport(table.name, told[ROWS], told[ROWS], {REJECTED: told[REJECTED]})
+
+    def staging_rejects(self, table: Table) -> DataFrame:
+        """Staged rows that no daily load can take, with batch and reason. Reads their own folder only."""
+        return rejects(self.store.staged(table)).select(*table.names, BATCH.name, REASON)
 
     def ingest_stg_customer_address(
         self, base_path: str, run_date: date, load_ts: datetime | None = None

@@ -7,10 +7,11 @@ import pytest
 from dealerlake import schemas as S
 from dealerlake.sources import (
     address_file_path,
-    append_staging,
     created_on,
+    laid_out,
     read_address_file,
     read_jdbc_table,
+    rejects,
     resolve_run_date,
     write_address_file,
 )
@@ -86,23 +87,21 @@ def test_run_dates():
             resolve_run_date(bad)
 
 
-def test_unreadable_creation_time_fails_the_day_it_cannot_be_assigned_to(spark, tmp_path):
-    spark.sql("CREATE DATABASE IF NOT EXISTS sources_test")
-    columns = ", ".join(f"{c} STRING" for c in S.STG_SALES.names)
-    spark.sql(
-        f"CREATE TABLE sources_test.stg ({columns}, created_date DATE) USING parquet "
-        f"PARTITIONED BY (created_date) LOCATION '{tmp_path}/stg'"
-    )
+def test_rows_of_no_day_hold_up_no_other_day(spark):
     sale = ("v", "c", "m", "2026-03-27", "1")
-    good = [(*sale, "2026-03-27 23:59:59.999"), (*sale, "2026-03-28 00:00:00"), (*sale, None)]
-    append_staging(spark.createDataFrame(good, S.STG_SALES.struct), S.STG_SALES, "sources_test.stg")
-    staged = spark.table("sources_test.stg")
+    times = ["2026-03-27 23:59:59.999", "2026-03-28 00:00:00", None, "soon"]
+    staged = laid_out(spark.createDataFrame([(*sale, t) for t in times], S.STG_SALES.struct), S.STG_SALES, "b1")
     assert [r.created_at for r in created_on(staged, DAY).collect()] == ["2026-03-27 23:59:59.999"]
-    assert staged.count() == 3
+    assert sorted((r.created_at or "", r.reason, r.batch) for r in rejects(staged).collect()) == [
+        ("", "no creation time", "b1"),
+        ("soon", "unreadable creation time", "b1"),
+    ]
+
 
-    append_staging(spark.createDataFrame([(*sale, "soon")], S.STG_SALES.struct), S.STG_SALES, "sources_test.stg")
+def test_unreadable_creation_time_fails_where_rows_are_not_laid_out(spark):
+    rows = spark.createDataFrame([("v", "c", "m", "2026-03-27", "1", "soon")], S.STG_SALES.struct)
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
-        created_on(spark.table("sources_test.stg"), DAY).collect()
+        created_on(rows, DAY).collect()
 
 
 def test_jdbc_needs_bounds_to_split(spark):
