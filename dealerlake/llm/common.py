@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import itertools
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
@@ -76,6 +78,41 @@ def releasing(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]
     return wrapped
 
 
+class Ranges:
+    """Ranges of a text, end exclusive, asked for by others without meeting each of them."""
+
+    def __init__(self, ranges: Sequence[tuple[int, int]]):
+        ordered = sorted(ranges)
+        self._starts = [a for a, _ in ordered]
+        self._furthest = list(itertools.accumulate((b for _, b in ordered), max))
+        self._joined: list[tuple[int, int]] = []
+        for a, b in ordered:
+            if self._joined and self._joined[-1][1] >= a:
+                self._joined[-1] = (self._joined[-1][0], max(self._joined[-1][1], b))
+            else:
+                self._joined.append((a, b))
+
+    def touch(self, a: int, b: int) -> bool:
+        """Whether one of them shares a character with this range."""
+        k = bisect_left(self._starts, b)
+        return k > 0 and self._furthest[k - 1] > a
+
+    def hold(self, a: int, b: int) -> bool:
+        """Whether one of them holds all of this range."""
+        k = bisect_right(self._starts, a)
+        return k > 0 and self._furthest[k - 1] >= b
+
+    def outside(self, a: int, b: int) -> list[tuple[int, int]]:
+        """The parts of this range outside all of them."""
+        parts, at = [], a
+        k = bisect_right(self._joined, a, key=lambda r: r[1])
+        while k < len(self._joined) and self._joined[k][0] < b:
+            parts.append((at, self._joined[k][0]))
+            at = self._joined[k][1]
+            k += 1
+        return [(x, y) for x, y in [*parts, (at, b)] if x < y]
+
+
 def record_batch(schema: pa.Schema, columns: Sequence) -> pa.RecordBatch:
     arrays = [c if isinstance(c, pa.Array) else pa.array(c, kind.type) for c, kind in zip(columns, schema, strict=True)]
     return pa.RecordBatch.from_arrays([a.cast(f.type) for a, f in zip(arrays, schema, strict=True)], schema=schema)

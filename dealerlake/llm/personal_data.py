@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from dealerlake.llm.chain_crf import ChainCRF, Layout, best_path
-from dealerlake.llm.common import byte_slices, record_batch
+from dealerlake.llm.common import Ranges, byte_slices, record_batch
 
 SLICE = 6 << 20  # more lines at once mean fewer Viterbi steps
 # The base patterns. An address starts only where its first number does, and an e-mail
@@ -307,6 +307,7 @@ def field_spans(texts: Sequence[bytes], crf: Field) -> list[list[Span]]:
     if not len(hit):
         return spans
     offsets = np.cumsum([0, *[len(t) + 1 for t in texts]])
+    points = np.concatenate([[0], np.cumsum(joined & 0xC0 != 0x80)])  # code points before each byte
     fresh = np.concatenate([[True], (np.diff(hit) > 1) | (path[hit[1:]] != path[hit[:-1]]) | (line[hit[1:]] != line[hit[:-1]])])
     firsts = hit[fresh]
     lasts = hit[np.concatenate([np.flatnonzero(fresh)[1:] - 1, [len(hit) - 1]])]
@@ -315,7 +316,7 @@ def field_spans(texts: Sequence[bytes], crf: Field) -> list[list[Span]]:
         text, start, end = texts[owner], int(words.starts[a] - offsets[owner]), int(words.ends[b] - offsets[owner])
         while end > start + 1 and text[end - 1 : end] in b".,;:!?":
             end -= 1
-        begin = len(text[:start].decode())
+        begin = int(points[offsets[owner] + start] - points[offsets[owner]])
         spans[owner].append((f"crf_{LABELS[path[a]]}", begin, begin + len(text[start:end].decode())))
     return spans
 
@@ -325,7 +326,8 @@ def find_spans(texts: Sequence[bytes], crf: Field) -> list[tuple[list[Span], lis
     found = []
     for text, more in zip(texts, field_spans(texts, crf), strict=True):
         base = base_spans(text.decode())
-        extra = [s for s in more if not any(s[1] < b[2] and b[1] < s[2] for b in base)]
+        taken = Ranges([b[1:] for b in base])
+        extra = [s for s in more if not taken.touch(*s[1:])]
         found.append((base, base + sorted(extra)))
     return found
 

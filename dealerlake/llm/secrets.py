@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from dealerlake.llm.common import byte_slices, record_batch
+from dealerlake.llm.common import Ranges, byte_slices, record_batch
 
 # The base patterns and their smallest lengths.
 ASSIGN = re.compile(
@@ -111,10 +111,11 @@ def entropy_spans(text: str, rules: EntropyRules = EntropyRules()) -> list[Span]
         value, start = candidate[0], candidate.start()
         matches = [m.span() for pattern in rules.allowed for m in re.finditer(pattern, value)]
         words = [m.span() for m in WORD.finditer(value)] if matches else []
-        allowed = matches + [w for w in words if any(w[0] < b and a < w[1] for a, b in matches)]
+        matched = Ranges(matches)
+        allowed = Ranges(matches + [w for w in words if matched.touch(*w)])
         found: list[tuple[int, int]] = []
         for rule, first, end in class_runs(value, rules):
-            for x, y in without((first, end), allowed):
+            for x, y in allowed.outside(first, end):
                 found += [(x + a, x + b) for a, b in high_windows(value[x:y], rules.window, rule.bits)]
         joined: list[tuple[int, int]] = []
         for a, b in sorted(found):
@@ -131,27 +132,17 @@ def class_runs(value: str, rules: EntropyRules) -> Iterator[tuple[CharacterClass
     held: list[tuple[int, int]] = []
     for rule in rules.classes:
         runs = [m.span() for m in re.finditer(rule.pattern, value) if m.end() - m.start() >= rules.window]
-        runs = [(a, b) for a, b in runs if not any(x <= a and b <= y for x, y in held)]
+        narrower = Ranges(held)
+        runs = [(a, b) for a, b in runs if not narrower.hold(a, b)]
         yield from ((rule, a, b) for a, b in runs)
         held += runs
 
 
-def without(span: tuple[int, int], holes: Sequence[tuple[int, int]]) -> list[tuple[int, int]]:
-    """What is left of a span outside ``holes``."""
-    parts, at = [], span[0]
-    for a, b in sorted(holes):
-        if b > at and a < span[1]:
-            parts.append((at, a))
-            at = b
-    parts.append((at, span[1]))
-    return [(a, b) for a, b in parts if a < b]
-
-
 def find_spans(text: str, rules: EntropyRules = EntropyRules()) -> tuple[list[Span], list[Span]]:
     """(base spans, all spans): of an entropy span, the parts outside base spans join."""
     base = base_spans(text)
-    taken = [b[1:] for b in base]
-    extra = [("entropy", *part) for s in entropy_spans(text, rules) for part in without(s[1:], taken)]
+    taken = Ranges([b[1:] for b in base])
+    extra = [("entropy", *part) for s in entropy_spans(text, rules) for part in taken.outside(*s[1:])]
     order = (*KINDS, "entropy")
     return base, sorted(base + extra, key=lambda s: (s[1], order.index(s[0]), s[2]))
 
