@@ -6,7 +6,8 @@ import ctypes
 import gc
 import itertools
 from bisect import bisect_left, bisect_right
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from typing import TypeVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from dealerlake.session import scratch_dir
 
+Key = TypeVar("Key")
 SLICE_BYTES = 1 << 19  # numpy works on some 50 times as much at once
 BATCH_ROWS = "1000"  # texts handed to Python at once; Spark's own 10,000 rows of long texts weigh on an executor twice
 
@@ -41,6 +43,19 @@ def remainder(doc_id: str | Column, divisor: int) -> Column:
     return F.crc32(column.cast("string")) % divisor
 
 
+def whole_within(sizes: Iterable[tuple[Key, int]], limit: int) -> list[Key]:
+    """Keys, in the order given, of what is taken whole while all taken stays within ``limit``.
+
+    What does not fit any more is passed over, smaller things after it are still taken.
+    """
+    taken, room = [], limit
+    for key, size in sizes:
+        if size <= room:
+            taken.append(key)
+            room -= size
+    return taken
+
+
 def byte_slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, list[bytes]]]:
     """(first row, UTF-8 texts) of consecutive rows holding about ``limit`` bytes; NULL counts as empty.
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dealerlake.llm.common import byte_slices, record_batch, remainder
+from dealerlake.llm.common import byte_slices, record_batch, remainder, whole_within
 
 UNDETERMINED = "und"
 WINDOW = 96  # bytes read at a time; the state starts afresh in each window
@@ -29,7 +29,7 @@ class Training:
     """Bounds of the training sample and of the optimiser's work."""
 
     documents_per_language: int = 500
-    windows_per_document: int = 3
+    characters_per_language: int = 1_500_000  # of whole texts; one that does not fit is passed over
     hidden: int = 8
     steps: int = 260
     batch: int = 96
@@ -129,13 +129,19 @@ class ByteGRU:
         self._unrun("back", kept_back, d_both[::-1, self.hidden :], slopes)
         return loss, slopes
 
-    def fit(self, codes: np.ndarray, target: np.ndarray, training: Training) -> ByteGRU:
-        """Adam on random batches of windows, with the rate falling to zero."""
+    def fit(self, codes: np.ndarray, owner: np.ndarray, target: np.ndarray, training: Training) -> ByteGRU:
+        """Adam on random batches of windows, with the rate falling to zero.
+
+        A batch draws documents, each as likely as another, and a window anywhere in each of them.
+        ``owner`` is the document of each window, rising; ``target`` the language number of each window.
+        """
         draw = np.random.default_rng(training.seed)
+        _, first, each = np.unique(owner, return_index=True, return_counts=True)
         mean = {k: np.zeros_like(v) for k, v in self.weights.items()}
         square = {k: np.zeros_like(v) for k, v in self.weights.items()}
         for step in range(1, training.steps + 1):
-            rows = draw.integers(0, codes.shape[1], min(training.batch, codes.shape[1]))
+            drawn = draw.integers(0, len(first), min(training.batch, codes.shape[1]))
+            rows = first[drawn] + draw.integers(0, each[drawn])
             _, slopes = self.loss(codes[:, rows], target[rows])
             rate = training.rate * (1 - (step - 1) / training.steps)
             for k, slope in slopes.items():
@@ -214,32 +220,42 @@ def has_letter(text: bytes) -> bool:
     return any(c.isalpha() for c in text.decode("utf-8", "replace"))
 
 
-def train(docs: DataFrame, usable: Column, training: Training = Training()) -> ByteGRU | None:
-    """Fit on windows of at most ``documents_per_language`` documents of each language; None without any.
+HASH_RANGES = 64  # a language's texts are ranked in that many tasks before they are ranked together
+
 
-    Distinct texts are picked by a hash, windows start at hashed offsets, so the same rows give the same
-    network wherever they lie. Only these short windows reach the driver.
+def sample(docs: DataFrame, usable: Column, training: Training = Training()) -> list[tuple[str, int, str]]:
+    """(lang, hash, text) of at most ``documents_per_language`` distinct whole texts of each language.
+
+    Texts are picked by their hash, so the same rows give the same sample wherever they lie, and copies
+    count once. Only hashes and lengths are ranked, in ranges first, so a language holding most rows
+    is no burden; then the texts picked, ``characters_per_language`` at most, reach the driver.
     """
-    source = docs.filter(usable & F.col("lang").isNotNull() & (F.length("text") > 0))
-    order = F.xxhash64("text")
-    starts = [F.pmod(F.xxhash64("text", F.lit(k)), F.greatest(F.lit(1), F.length("text") - WINDOW // 2)) + 1 for k in range(training.windows_per_document)]
-    parts = F.array(*[F.substring(F.col("text"), s.cast("int"), F.lit(WINDOW)) for s in starts])
-    picked = (
-        source.select("lang", order.alias("order"), parts.alias("parts"))
-        .distinct()  # copies of a text would lie side by side and fill the sample
-        .withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("order", "parts")))
-        .filter(F.col("place") <= training.documents_per_language)
-        .select("lang", "order", F.explode("parts").alias("part"))
-        .collect()
-    )
-    rows = sorted((r.lang, r.order, r.part) for r in picked if r.part)
+    source = docs.filter(usable & F.col("lang").isNotNull() & (F.length("text") > 0)).select("lang", "text", F.xxhash64("text").alias("order"))
+    sized = source.groupBy("lang", "order").agg(F.max(F.length("text")).alias("size")).withColumn("range", F.pmod("order", F.lit(HASH_RANGES)))
+    for ranked in (Window.partitionBy("lang", "range"), Window.partitionBy("lang")):
+        place = F.row_number().over(ranked.orderBy("order"))
+        sized = sized.withColumn("place", place).filter(F.col("place") <= training.documents_per_language)
+    found: dict[str, list[tuple[int, int]]] = {}
+    for lang, order, size in sorted(map(tuple, sized.select("lang", "order", "size").collect())):
+        found.setdefault(lang, []).append((order, size))
+    picked = [(lang, order) for lang, sizes in found.items() for order in whole_within(sizes, training.characters_per_language)]
+    if not picked:
+        return []
+    chosen = F.broadcast(docs.sparkSession.createDataFrame(picked, "lang string, order long"))  # ``documents_per_language`` rows of each
+    texts = source.join(chosen, ["lang", "order"]).groupBy("lang", "order").agg(F.min("text").alias("text"))
+    return sorted(map(tuple, texts.collect()))
+
+
+def train(docs: DataFrame, usable: Column, training: Training = Training()) -> ByteGRU | None:
+    """Fit on all windows of the whole texts of ``sample``; None without any."""
+    rows = sample(docs, usable, training)
     if not rows:
         return None
     languages = sorted({lang for lang, _, _ in rows})
-    codes, owner = windows([part.encode()[:WINDOW] for _, _, part in rows])
+    codes, owner = windows([text.encode() for _, _, text in rows])
     target = np.array([languages.index(lang) for lang, _, _ in rows])[owner]
     network = ByteGRU(languages, training.hidden, training.seed)
-    return network.fit(codes, target, training).compact()
+    return network.fit(codes, owner, target, training).compact()
 
 
 PREDICTION = pa.schema([("lang_pred", pa.string()), ("score", pa.float64())])

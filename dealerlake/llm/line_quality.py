@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dealerlake.llm.chain_crf import ChainCRF, Layout, marginals
-from dealerlake.llm.common import byte_slices, record_batch, releasing, remainder
+from dealerlake.llm.common import byte_slices, record_batch, releasing, remainder, whole_within
 
 BINS = 8
 NEWLINE = 10
@@ -27,7 +27,7 @@ class Training:
     """Bounds of the training sample and the optimiser's work."""
 
     documents: int = 4000
-    characters: int = 6000  # a longer training text is represented by this long a piece of it
+    characters: int = 12_000_000  # of whole texts together; one that does not fit is passed over
     steps: int = 100
     rate: float = 0.1
     decay: float = 0.002
@@ -121,7 +121,8 @@ class QualityModel:
 
 
 def fit(texts: Sequence[bytes], quality: Sequence[int], training: Training = Training()) -> QualityModel:
-    features, _, lines = line_features(texts)
+    parts = [line_features(part) for _, part in byte_slices(pa.array(texts, pa.large_binary()))]
+    features, lines = np.concatenate([p[0] for p in parts]), np.concatenate([p[2] for p in parts])
     levels = np.linspace(0, 1, BINS + 1)[1:-1]
     edges = np.array([np.quantile(np.unique(column), levels) for column in features.T])
     model = QualityModel(edges, ChainCRF(3 * (BINS + 1) * features.shape[1], 2))
@@ -130,12 +131,12 @@ def fit(texts: Sequence[bytes], quality: Sequence[int], training: Training = Tra
     return model
 
 
-def train(docs: DataFrame, labels: DataFrame, training: Training = Training()) -> QualityModel | None:
-    """Fit on at most ``documents`` labelled rows outside the held-out third, picked by a hash of the id.
+def sample(docs: DataFrame, labels: DataFrame, training: Training = Training()) -> list[tuple[int, str, int]]:
+    """(doc_id, text, quality) of at most ``documents`` labelled rows outside the held-out third, picked by a hash of the id.
 
     Rows without a text, an id or a label of 0 or 1 are not learned from. Of an id labelled more than
-    once the smallest label counts. Returns None if nothing is left. The driver receives at most
-    ``documents`` x ``characters`` characters.
+    once the smallest label counts, of repeated rows the longest text. Texts are taken whole, in the order of
+    the hashes, as long as they fit ``characters``; no more reach the driver.
     """
     usable = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & (remainder("doc_id", 3) != 1))
     picked = (
@@ -143,19 +144,27 @@ def train(docs: DataFrame, labels: DataFrame, training: Training = Training()) -
         .groupBy("doc_id").agg(F.min("quality").alias("quality"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(training.documents)
     )
-    size = training.characters
-    start = F.pmod(F.xxhash64("text"), F.greatest(F.lit(1), F.length("text") - size + 1)) + 1
-    piece = F.substring(F.col("text"), start.cast("int"), F.lit(size))
-    rows = (
-        docs.select("doc_id", "text").filter(F.col("text").isNotNull())
-        .join(F.broadcast(picked), "doc_id")  # ``documents`` rows of two numbers at most
-        .groupBy("doc_id").agg(F.max(F.struct(piece.alias("piece"), "quality")).alias("row"))
-        .select("doc_id", "row.*").collect()
+    texts = docs.select("doc_id", "text", F.length("text").alias("size")).filter(F.col("text").isNotNull())
+    sized = (
+        texts.join(F.broadcast(picked), "doc_id")  # ``documents`` rows of two numbers at most
+        .groupBy("doc_id").agg(F.max("size").alias("size"), F.first("quality").alias("quality"))
+        .select(F.struct("doc_id", "size", "quality").alias("key"), "size").orderBy(F.xxhash64("key.doc_id"), "key.doc_id")
+        .collect()
     )
-    rows.sort(key=lambda r: r.doc_id)
+    taken = whole_within([(tuple(r.key), r.size) for r in sized], training.characters)
+    if not taken:
+        return []
+    chosen = F.broadcast(docs.sparkSession.createDataFrame(taken, "doc_id long, size int, quality int"))
+    found = texts.join(chosen, ["doc_id", "size"]).groupBy("doc_id", "quality").agg(F.max("text").alias("text"))
+    return sorted((r.doc_id, r.text, r.quality) for r in found.collect())
+
+
+def train(docs: DataFrame, labels: DataFrame, training: Training = Training()) -> QualityModel | None:
+    """Fit on the whole texts of ``sample``; None without any."""
+    rows = sample(docs, labels, training)
     if not rows:
         return None
-    return fit([r.piece.encode() for r in rows], [r.quality for r in rows], training)
+    return fit([text.encode() for _, text, _ in rows], [quality for _, _, quality in rows], training)
 
 
 OUT = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64()), ("predicted", pa.int32())])
@@ -180,7 +189,10 @@ def score(docs: DataFrame, model: QualityModel | None) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, model: QualityModel | None) -> DataFrame:
-    """The rows whose text scores 0.5 or more, all columns as they were."""
+    """The rows whose text scores 0.5 or more, all columns as they were.
+
+    A NULL text counts as empty, an empty one as a single empty line; without a model every row stays.
+    """
     schema = docs.schema
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -194,7 +194,7 @@ def test_copies_do_not_fill_the_language_sample(spark, monkeypatch):
     hashes = frame.select("text", F.xxhash64("text").alias("h")).distinct().orderBy("h").collect()
     common = hashes[0].text  # copies of the text whose hash comes first
     frame = frame.withColumn("text", F.when(F.col("doc_id") < 200, F.lit(common)).otherwise(F.col("text")))
-    language_id.train(frame, F.lit(True), language_id.Training(documents_per_language=20, windows_per_document=1))
+    language_id.train(frame, F.lit(True), language_id.Training(documents_per_language=20))
     assert seen == [20]
 
 
