@@ -8,7 +8,7 @@ from dealerlake.operators.checks import (
     null_counts,
     violation_counts,
 )
-from dealerlake.operators.counting import counting
+from dealerlake.operators.counting import counting, tally
 from dealerlake.operators.merge import dedupe_first_last, drop_loaded_on, upsert
 
 __all__ = [
@@ -22,6 +22,7 @@ __all__ = [
     "key_violations",
     "length_counts",
     "null_counts",
+    "tally",
     "upsert",
     "violation_counts",
 ]

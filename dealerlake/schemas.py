@@ -26,7 +26,8 @@ def text(name: str, max_length: int | None = None, required: bool = False) -> Co
 class Table:
     """``columns`` is what readers see; ``layout`` columns only place the files.
 
-    Files are ``sorted_by`` the columns whose range a key check can skip files on.
+    Files are ``sorted_by`` the columns whose range a key check can skip files on, and hold Bloom
+    filters of the ``probed`` ones, whose values lie anywhere.
     ``raw`` tables only ever grow, so their folder alone says what they hold; each row also keeps
     the batch it came in, and a file holds rows of one batch only.
     ``bucketed`` tables are hashed on their key into the number of buckets the
@@ -38,6 +39,7 @@ class Table:
     key: tuple[str, ...] = ()
     layout: tuple[Column, ...] = ()
     sorted_by: tuple[str, ...] = ()
+    probed: tuple[str, ...] = ()
     bucketed: bool = False
     raw: bool = False
 
@@ -155,6 +157,7 @@ TXF_SALES = Table(
     key=("vin", "invoice_date"),
     layout=(LOAD_DATE, text("inv_bucket")),
     sorted_by=("invoice_date",),
+    probed=("vin",),
 )
 
 TXF_AFTER_SALES = Table(
@@ -171,6 +174,7 @@ TXF_AFTER_SALES = Table(
     ),
     key=("service_ticket",),
     layout=(LOAD_DATE,),
+    probed=("service_ticket",),
 )
 
 # The tickets of the days its record lists, apart from the services: a ticket may repeat at any date,
@@ -179,6 +183,7 @@ TICKETS = Table(
     "txf_after_sales_tickets",
     (text("service_ticket", 10), Column("loaded_on", T.DateType())),
     key=("service_ticket",),
+    probed=("service_ticket",),
     bucketed=True,
 )
 

@@ -12,6 +12,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     # A bad price, date or timestamp must fail the load rather than turn into NULL.
     "spark.sql.ansi.enabled": "true",
+    # Key checks of small batches name their keys, which row groups are skipped by.
+    "spark.sql.parquet.pushdown.inFilterThreshold": "1000",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Two joins in a row on the same key share one stage, and Spark then leaves a

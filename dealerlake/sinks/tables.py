@@ -264,7 +264,7 @@ class TableStore:
             if not from_upsert or buckets != int(self.spark.conf.get("spark.sql.shuffle.partitions")):
                 rows = rows.repartition(buckets, *table.key)
             counted, seen = counting(rows, flags, *extra)
-            writer = counted.write.bucketBy(buckets, *table.key).option("path", path)
+            writer = counted.write.options(**_filters(table)).bucketBy(buckets, *table.key).option("path", path)
             if table.sorted_by:
                 writer = writer.sortBy(*table.sorted_by)
             writer.saveAsTable(self._run_table(table, run_id))
@@ -274,7 +274,7 @@ class TableStore:
             counted, seen = counting(rows.hint("rebalance", *inner), flags, *extra)
             order = [*inner, *table.sorted_by]
             counted = counted.sortWithinPartitions(*order) if order else counted
-            counted.write.partitionBy(*inner).parquet(path)
+            counted.write.options(**_filters(table)).partitionBy(*inner).parquet(path)
         else:
             counted, seen = counting(rows, flags, *extra)
             counted.write.parquet(path)
@@ -373,6 +373,12 @@ class TableStore:
         return {r.col_name: r.data_type for r in self.spark.sql(f"DESCRIBE EXTENDED {self.name(table)}").collect()}
 
 
+def _filters(table: Table) -> dict[str, str]:
+    """Writer options for Bloom filters of the probed columns, sized by the values each row group turns out to hold."""
+    enabled = {f"parquet.bloom.filter.enabled#{column}": "true" for column in table.probed}
+    return enabled | {"parquet.bloom.filter.adaptive.enabled": "true"} if enabled else {}
+
+
 def _values(spec: str) -> dict[str, str]:
     """``a=1/b=x`` by column."""
     return dict(part.split("=", 1) for part in spec.split("/"))

@@ -9,12 +9,12 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import UTC, date, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dealerlake.functions.bands import invoice_bucket
 from dealerlake.functions.clean import moment, parse_birth_date
-from dealerlake.operators import LoadRejected, counting, duplicate_keys, key_violations
+from dealerlake.operators import LoadRejected, duplicate_keys, key_violations, tally
 from dealerlake.operators.counting import ROWS
 from dealerlake.plans import (
     build_stg_customer_address,
@@ -44,19 +44,20 @@ from dealerlake.schemas import (
 from dealerlake.session import configure
 from dealerlake.sinks import REJECTED, Record, Run, TableStore
 from dealerlake.sources import created_on, read_address_file, rejects
-from dealerlake.sources.address_files import MALFORMED
+from dealerlake.sources.address_files import FIELDS, MALFORMED
 from dealerlake.sources.staging import REASON
 
 
 OPEN_DAYS = 32  # days of services whose tickets a key check reads from the services themselves, at most
+PROBED_KEYS = 1000  # of so few keys the key check asks the stored files' Bloom filters
 
 
 @dataclass(frozen=True)
 class LoadReport:
     """What a load did: source rows read, rows in the written result, and further counts.
 
-    Source rows are counted ahead of a shuffle, so a task Spark had to run again may have
-    counted its rows twice. Rows written are counted by the writing tasks and exact.
+    Exact also where Spark had to run tasks again: source rows are counted by a query over the same files,
+    rows written by the tasks that write them, of which each counts once.
     """
 
     table: str
@@ -96,21 +97,27 @@ class Warehouse:
     ) -> LoadReport:
         """Apply the day's address file to staging. Any malformed line rejects the file."""
         lines = read_address_file(self.spark, base_path, run_date)
-        lines, read = counting(lines, {"malformed lines": F.col(MALFORMED).isNotNull()})
+        # All fields have to be looked at: by itself, the parser would not split a line into fields nobody asks for.
+        looked_at = F.coalesce(F.length(F.concat_ws("", *FIELDS)), F.lit(0)) >= 0
+        read = tally(lines, {"malformed lines": looked_at & F.col(MALFORMED).isNotNull()})
+        if read["malformed lines"]:
+            raise LoadRejected(f"{STG_CUSTOMER_ADDRESS.name}: {read['malformed lines']} malformed lines")
         record, target = self.store.current(STG_CUSTOMER_ADDRESS), self.store.read(STG_CUSTOMER_ADDRESS)
         rows = build_stg_customer_address(lines, target, load_ts or _stamp(run_date))
-        return self._replace(STG_CUSTOMER_ADDRESS, rows, read, record, fatal=("malformed lines",))
+        return self._replace(STG_CUSTOMER_ADDRESS, rows, read, record)
 
     def load_txf_customers(self, run_date: date, load_ts: datetime | None = None) -> LoadReport:
         dob = F.col("dob")
         unreadable = dob.isNotNull() & parse_birth_date(dob).isNull()
-        staged, read = counting(self.store.read(STG_CUSTOMERS), {"unreadable birth dates": unreadable})
+        staged = self.store.read(STG_CUSTOMERS)
+        read = tally(staged, {"unreadable birth dates": unreadable})
         record, target = self.store.current(TXF_CUSTOMERS), self.store.read(TXF_CUSTOMERS)
         rows = build_txf_customers(staged, target, run_date, load_ts or _stamp(run_date))
         return self._replace(TXF_CUSTOMERS, rows, read, record)
 
     def load_txf_customer_address(self, run_date: date, load_ts: datetime | None = None) -> LoadReport:
-        staged, read = counting(self.store.read(STG_CUSTOMER_ADDRESS), {})
+        staged = self.store.read(STG_CUSTOMER_ADDRESS)
+        read = tally(staged)
         record, target = self.store.current(TXF_CUSTOMER_ADDRESS), self.store.read(TXF_CUSTOMER_ADDRESS)
         rows = build_txf_customer_address(staged, target, run_date, load_ts or _stamp(run_date))
         return self._replace(TXF_CUSTOMER_ADDRESS, rows, read, record)
@@ -130,45 +137,38 @@ class Warehouse:
     def load_mart_sales(self, load_ts: datetime | None = None) -> LoadReport:
         """Rebuild the sales mart. Sales outside every price class reject it; the old mart stays."""
         record = self.store.current(MART_SALES)
-        sales, read = counting(self.store.read(TXF_SALES), {})
-        return self._refresh(MART_SALES, mart_sales(sales), read, record, load_ts)
+        sales = self.store.read(TXF_SALES)
+        return self._refresh(MART_SALES, mart_sales(sales), tally(sales), record, load_ts)
 
     def load_mart_cust_service_prio(self, load_ts: datetime | None = None) -> LoadReport:
         record = self.store.current(MART_CUST_SERVICE_PRIO)
-        services, read = counting(self.store.read(TXF_AFTER_SALES), {})
+        services = self.store.read(TXF_AFTER_SALES)
         rows = mart_cust_service_prio(
             services,
             self.store.read_unbucketed(TXF_CUSTOMERS),
             self.store.read_unbucketed(TXF_CUSTOMER_ADDRESS),
         )
-        return self._refresh(MART_CUST_SERVICE_PRIO, rows, read, record, load_ts)
+        return self._refresh(MART_CUST_SERVICE_PRIO, rows, tally(services), record, load_ts)
 
-    def _replace(
-        self, table: Table, rows: DataFrame, read: Observation, record: Record, fatal: tuple[str, ...] = ()
-    ) -> LoadReport:
+    def _replace(self, table: Table, rows: DataFrame, read: dict[str, int], record: Record) -> LoadReport:
         run = self.store.write_run(table, rows, from_upsert=True)
         try:
             self.store.require_valid(run)
-            notes = dict(read.get)
-            rows_read = notes.pop(ROWS)
-            broken = {name: notes[name] for name in fatal if notes[name]}
-            if broken:
-                raise LoadRejected(f"{table.name}: {broken}")
             repeated = duplicate_keys(self.store.read_run(run), table.key)
             _require_none(table, repeated.withColumn("reason", F.lit("repeated in result")))
             self.store.replace_table(run, record)
         finally:
             self.store.discard(run)
-        return LoadReport(table.name, rows_read, run.rows, notes)
+        return LoadReport(table.name, read[ROWS], run.rows, {name: n for name, n in read.items() if name != ROWS})
 
     def _refresh(
-        self, table: Table, rows: DataFrame, read: Observation, record: Record, load_ts: datetime | None
+        self, table: Table, rows: DataFrame, read: dict[str, int], record: Record, load_ts: datetime | None
     ) -> LoadReport:
         stamp = load_ts or datetime.now(UTC).replace(tzinfo=None)
         run = self.store.write_run(table, rows.withColumn("load_timestamp", moment(stamp)))
         self.store.require_valid(run)
         self.store.replace_table(run, record)
-        return LoadReport(table.name, read.get[ROWS], run.rows)
+        return LoadReport(table.name, read[ROWS], run.rows)
 
     def _load_fact(
         self, table: Table, staging: Table, typed, run_date: date, initial_load: bool, load_ts: datetime | None
@@ -199,11 +199,12 @@ class Warehouse:
             if run.rows:
                 replaced = None if initial_load else run_date
                 batch = self.store.read_run(run)
+                few = _few(batch, table.key[0]) if run.rows <= PROBED_KEYS else None
                 if split:
-                    violations = self._stored_sales(record, run, buckets, replaced)
+                    violations = self._stored_sales(record, run, buckets, replaced, few)
                     violations = key_violations(violations, batch, table.key)
                 else:
-                    violations = self.ticket_violations(batch, record, replaced)
+                    violations = self.ticket_violations(batch, record, replaced, few)
                 _require_none(table, violations)
             publish = self.store.append_load if initial_load else self.store.replace_load
             publish(run, load_ts.date(), buckets, record)
@@ -213,22 +214,30 @@ class Warehouse:
             self.compact_tickets()
         return LoadReport(table.name, run.rows, run.rows)
 
-    def _stored_sales(self, record: Record, run: Run, buckets: list[str], replaced: date | None) -> DataFrame:
-        """Stored sales that may hold a key of the run: of its invoice ranges and dates, but for the day it replaces."""
+    def _stored_sales(
+        self, record: Record, run: Run, buckets: list[str], replaced: date | None, few: list[str] | None = None
+    ) -> DataFrame:
+        """Stored sales that may hold a key of the run: of its invoice ranges and dates, but for the day it replaces.
+
+        ``few`` are all vehicles of a small run: row groups without any of them are skipped by Bloom filters.
+        """
         existing = self.store.read(
             TXF_SALES, record, lambda p: p["inv_bucket"] in buckets and p[LOAD_DATE.name] != str(replaced)
         )
         for column in TXF_SALES.sorted_by:
             low, high = run.counted[f"first {column}"], run.counted[f"last {column}"]
             existing = existing.filter(F.col(column).between(F.lit(low), F.lit(high)))
-        return existing
+        return existing if few is None else existing.filter(F.col("vin").isin(few))
 
-    def ticket_violations(self, batch: DataFrame, record: Record | None = None, replaced: date | None = None) -> DataFrame:
+    def ticket_violations(
+        self, batch: DataFrame, record: Record | None = None, replaced: date | None = None, few: list[str] | None = None
+    ) -> DataFrame:
         """Tickets that ``batch`` repeats or that are stored, but for those of the day it replaces; see ``key_violations``.
 
         The tickets of most days lie in a table bucketed on them. The batch is dealt to its buckets
         once, so however long the history, it is not moved. Days that table does not cover yet, a bounded
-        number of them, are read from the services themselves.
+        number of them, are read from the services themselves. Of ``few``, all tickets of a small
+        batch, only their buckets and row groups that may hold them are read.
         """
         record = record or self.store.current(TXF_AFTER_SALES)
         covered, open_days, outdated = self._ticket_days(record)
@@ -238,6 +247,8 @@ class Warehouse:
         recent = self.store.read(
             TXF_AFTER_SALES, record, lambda p: date.fromisoformat(p[LOAD_DATE.name]) in open_days and p[LOAD_DATE.name] != str(replaced)
         )
+        if few is not None:
+            stored, recent = (rows.filter(F.col("service_ticket").isin(few)) for rows in (stored, recent))
         dealt = batch.select(*key).repartition(self.store.bucket_count(TICKETS), *key)
         again = key_violations(recent, dealt, key).filter("reason = 'already stored'")
         return key_violations(stored, dealt, key).unionByName(again)
@@ -278,6 +289,11 @@ def _stamp(run_date: date) -> datetime:
     return datetime.combine(run_date, datetime.now(UTC).time())
 
 
+def _few(batch: DataFrame, column: str) -> list[str]:
+    """The values of a key column in a batch of at most ``PROBED_KEYS`` rows."""
+    return [r[0] for r in batch.select(column).distinct().collect()]
+
+
 def _range(table: Table) -> list[Column]:
     """Smallest and largest values of the key column the files are sorted by, to skip files in the key check."""
     lows = [F.min(c).alias(f"first {c}") for c in table.sorted_by]

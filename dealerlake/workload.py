@@ -374,6 +374,25 @@ def load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals.unpivot([], [F.col(f"`{c}`") for c in totals.columns], "measure", "amount")
 
 
+def load_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the reports of real loads say of an address file, customers, their addresses and all sales."""
+    folder = scratch_dir(spark, "warehouse")
+    warehouse = _warehouse(spark, folder)
+    warehouse.append_staging(S.STG_CUSTOMERS, staged_customers(spark, sf_dir, "c_custkey + c_nationkey"))
+    warehouse.append_staging(S.STG_SALES, staged_sales(spark, sf_dir))
+    write_address_file(addresses(spark, sf_dir, "c_custkey + c_nationkey"), f"{folder}/incoming", RUN_DATE)
+    reports = [
+        warehouse.ingest_stg_customer_address(f"{folder}/incoming", RUN_DATE),
+        warehouse.load_txf_customers(RUN_DATE),
+        warehouse.load_txf_customer_address(RUN_DATE),
+        warehouse.load_txf_sales(RUN_DATE, initial_load=True),
+    ]
+    warehouse.store.drop_entries()
+    told = [(r.table, {"rows read": r.rows_read, "rows written": r.rows_written} | r.notes) for r in reports]
+    amounts = [(table, measure, amount) for table, measures in told for measure, amount in measures.items()]
+    return spark.createDataFrame(amounts, "table_name string, measure string, amount long")
+
+
 _QUERIES = {
     "mart_sales": sales_mart,
     "mart_sales_rejects": sales_mart_rejects,
@@ -398,6 +417,7 @@ _QUERIES = {
     "not_null_violations": sales_null_violations,
     "length_violations": service_length_violations,
     "load_report": load_report,
+    "load_reports": load_reports,
 }
 
 

@@ -218,4 +218,19 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'unreadable birth dates', count(*) FROM customers
                       WHERE dob IS NOT NULL AND birth_date IS NULL
             UNION ALL SELECT 'rows loaded', count(DISTINCT c_custkey + c_nationkey) FROM customers""",
+        "load_reports": f"""
+            WITH {_CUSTOMERS}, {_ADDRESSES},
+            amounts AS (SELECT
+                (SELECT count(*) FROM addresses) AS lines,
+                (SELECT count(DISTINCT c_custkey + c_nationkey) FROM addresses) AS placed,
+                (SELECT count(*) FROM customers) AS staged,
+                (SELECT count(DISTINCT c_custkey + c_nationkey) FROM customers) AS people,
+                (SELECT count(*) FROM customers WHERE dob IS NOT NULL AND birth_date IS NULL) AS unreadable,
+                (SELECT count(*) FROM orders) AS sold)
+            SELECT unnest(['stg_customer_address', 'stg_customer_address', 'stg_customer_address', 'txf_customers', 'txf_customers',
+                           'txf_customers', 'txf_customer_address', 'txf_customer_address', 'txf_sales', 'txf_sales']) AS table_name,
+                   unnest(['rows read', 'rows written', 'malformed lines', 'rows read', 'rows written', 'unreadable birth dates',
+                           'rows read', 'rows written', 'rows read', 'rows written']) AS measure,
+                   unnest([lines, placed, 0, staged, people, unreadable, placed, placed, sold, sold]) AS amount
+            FROM amounts""",
     }

@@ -5,9 +5,10 @@ from decimal import Decimal
 from itertools import count
 
 import pytest
+from pyspark.sql import functions as F
 
 from dealerlake import schemas as S
-from dealerlake.operators import LoadRejected
+from dealerlake.operators import LoadRejected, tally
 from dealerlake.warehouse import Warehouse
 
 DAY = date(2025, 8, 2)
@@ -374,6 +375,25 @@ def test_bad_address_file_is_rejected_whole(wh, tmp_path, row, reason):
     assert [r.customer_id for r in wh.table(S.STG_CUSTOMER_ADDRESS).collect()] == ["7"]
 
 
+def test_report_of_a_load_that_was_cut_and_repeated(wh, monkeypatch):
+    """The first attempt computes everything and is lost before it is published."""
+    stage(wh, S.STG_CUSTOMERS, ("1", "a", "1990-01-01", "2025-08-02 10:00:00"), ("1", "b", "30/02/1990", "2025-08-02 11:00:00"), ("2", "c", None, "2025-08-02 10:00:00"))
+    with monkeypatch.context() as broken:
+        broken.setattr(wh.store, "replace_table", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError, match="lost"):
+            wh.load_txf_customers(DAY)
+    report = wh.load_txf_customers(DAY)
+    assert (report.rows_read, report.rows_written, report.notes) == (3, 2, {"unreadable birth dates": 1})
+
+
+def test_source_rows_are_counted_from_footers_alone(wh):
+    stage(wh, S.STG_CUSTOMERS, ("1", "a", None, "2025-08-02 10:00:00"), ("2", "c", None, "2025-08-02 10:00:00"))
+    staged = wh.store.read(S.STG_CUSTOMERS)
+    assert tally(staged) == {"rows": 2}
+    counted = staged.agg(F.count(F.lit(1)))._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<>" in counted
+
+
 # --- marts -----------------------------------------------------------------------------------
 
 

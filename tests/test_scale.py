@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from dealerlake import schemas as S
-from dealerlake.operators import dedupe_first_last, duplicate_keys, key_violations
+from dealerlake.operators import LoadRejected, dedupe_first_last, duplicate_keys, key_violations
 from dealerlake.plans import (
     build_txf_customer_address,
     build_txf_customers,
@@ -176,6 +176,53 @@ def test_stored_keys_are_pruned_to_the_run(warehouse):
     assert "GreaterThanOrEqual(invoice_date,2025-08-02)" in text
 
 
+def scanned(frame):
+    """Rows that came out of a frame's only scan, before any filter."""
+    frame.collect()
+    scan = frame._jdf.queryExecution().executedPlan().collectLeaves().head()
+    return scan.metrics().apply("numOutputRows").value()
+
+
+def test_a_small_batch_of_vehicles_skips_row_groups(spark, tmp_path, settings, monkeypatch):
+    """Its vehicles lie anywhere, so no range skips a file; the Bloom filters do."""
+    settings(files__maxRecordsPerFile="200")
+    wh = Warehouse(spark, str(tmp_path / "tables"), database="bloom")
+    rows = lambda n, salt, day: spark.range(n).selectExpr(
+        f"substring(sha2(concat('{salt}', id), 256), 1, 20) vin", "'c' customer_id", "'VELOS' model",
+        "'2025-08-01' invoice_date", "'390.000.000' price", f"'{day} 10:00:00' created_at",
+    )
+    wh.append_staging(S.STG_SALES, rows(4000, "a", "2025-08-01"))
+    wh.load_txf_sales(date(2025, 8, 1))
+    asked, stored_sales = [], wh._stored_sales
+    monkeypatch.setattr(wh, "_stored_sales", lambda *args: asked.append(stored_sales(*args)) or asked[-1])
+    wh.append_staging(S.STG_SALES, rows(5, "b", "2025-08-02"))
+    wh.load_txf_sales(DAY)
+    everything = wh.store.read(S.TXF_SALES).filter("load_date = DATE'2025-08-01'")
+    assert scanned(everything) == 4000
+    assert scanned(asked[0]) < 2000
+    wh.append_staging(S.STG_SALES, rows(5, "a", "2025-08-03"))
+    with pytest.raises(LoadRejected, match="5 keys in 5 rows already stored"):
+        wh.load_txf_sales(date(2025, 8, 3))
+    wh.store.drop_entries()
+
+
+def test_the_largest_invoice_range_is_written_by_several_tasks(spark, tmp_path, settings):
+    settings(adaptive__advisoryPartitionSizeInBytes="20KB", adaptive__coalescePartitions__minPartitionSize="1KB")
+    wh = Warehouse(spark, str(tmp_path / "tables"), database="ranges")
+    wh.append_staging(S.STG_SALES, spark.range(20000).selectExpr(
+        "sha2(CAST(id AS STRING), 0) long", "id",
+    ).selectExpr("substring(long, 1, 20) vin", "substring(long, 1, 40) customer_id", "'VELOS' model",
+                 "IF(id % 50 = 0, '2023-01-05', '2025-08-01') invoice_date", "'390.000.000' price", "'2025-08-02 10:00:00' created_at"))
+    wh.load_txf_sales(DAY)
+    sales = wh.store.read(S.TXF_SALES)
+    places = sales.select("inv_bucket", F.input_file_name().alias("file")).distinct()
+    files = {r.inv_bucket: r["count"] for r in places.groupBy("inv_bucket").count().collect()}
+    assert max(files.values()) >= 4 and min(files.values()) <= 2 and sales.count() == 20000
+    only = sales.filter(F.col("inv_bucket") == min(files, key=files.get))
+    assert "PartitionFilters: [isnotnull(inv_bucket" in plan(only) and scanned(only) == only.count() == 400
+    wh.store.drop_entries()
+
+
 def test_marts_read_only_the_columns_they_need(warehouse):
     text = plan(mart_sales(warehouse.store.read(S.TXF_SALES)))
     assert "ReadSchema: struct<model:string,invoice_date:date,price:decimal(38,5)>" in text
