@@ -1,6 +1,7 @@
 """Manifests and proofs against trees built in plain Python."""
 
 import hashlib
+import random
 import sys
 import zlib
 from pathlib import Path
@@ -118,3 +119,15 @@ def test_only_every_few_levels_are_stored(spark):
     frame = spark.range(1000).select(F.col("id").alias("doc_id"), F.lit("en").alias("lang"), merkle.leaf_digest(F.col("id")).alias("leaf"))
     manifest = merkle.build(frame, "lang", "doc_id", "leaf", 4)
     assert [n.count() for n in manifest.forest.levels] == [1000, 63, 4, 1]
+
+
+def test_proofs_are_folded_by_spark_itself_like_a_plain_loop(spark):
+    draw = random.Random(6)
+    rows = []
+    for k in range(40):
+        sides = "".join(draw.choices("LR-", k=k % 19))
+        found = "".join(merkle.digest(f"{k} {i}") for i in range(len(sides.replace("-", ""))))
+        rows.append((k, bytes.fromhex(merkle.digest(str(k))), found, sides))
+    out = merkle.with_folded(spark.createDataFrame(rows, "k long, node binary, siblings string, sides string"), "node")
+    assert {r.k: r.folded_root for r in out.collect()} == {k: merkle.folded(node.hex(), found, sides) for k, node, found, sides in rows}
+    assert "Arrow" not in out._jdf.queryExecution().executedPlan().toString()
