@@ -30,6 +30,7 @@ from dealerlake.llm.shingles import U, mixed, shingle_sets
 
 WAYS = 4  # blocks of a part of the columns
 GROUPS = 120  # size groups; the last holds sets of 10**13 n-grams
+KEY_PARTITIONS = 4  # times the session's shuffle partitions, for the keys: a document has some 600
 FILTER_BITS = 1 << 24  # of the bitmap that spares texts of unclustered documents a shuffle; 2 MB
 
 
@@ -177,8 +178,22 @@ def _spared(similarity: Similarity) -> Column:
     """How many of its keys of a size group a set can do without."""
     ends = similarity.size_groups(10**13)[1:]
     known = [similarity.crowded(similarity.differ(end)) for end in ends[:GROUPS]]
-    # Without coalesce, Spark adds a NULL filter to one of the two readers of the keys, and they share no shuffle.
-    return F.element_at(F.lit(known).cast("array<long>"), F.coalesce("size_group", F.lit(0)) + 1)
+    return F.element_at(F.lit(known).cast("array<long>"), F.col("size_group") + 1)
+
+
+def _shared(keys: DataFrame, similarity: Similarity) -> DataFrame:
+    """The keys that more than one row has, without those that a set can do without.
+
+    Nearly all keys have one row. They are sorted once and counted as they pass, in more partitions than the
+    session's: a join with their counts would hold each of them three times in an executor's memory.
+    """
+    parts = KEY_PARTITIONS * int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = keys.repartition(parts, "key").withColumn("members", F.count("*").over(Window.partitionBy("key")))
+    # Linked sets share more keys than both can do without, so each leaves out those most shared:
+    # common passages then do not chain unlike documents together.
+    crowd = Window.partitionBy("rep", "size_group").orderBy(F.desc("members"), "key")
+    placed = dealt.filter("members > 1").withColumn("place", F.row_number().over(crowd))
+    return placed.filter(F.col("place") > _spared(similarity)).select("key", "rep", "size_group")
 
 
 def tile_links(rows: list[tuple[int, int, np.ndarray]], same: bool, similarity: Similarity) -> list[tuple[int, int]]:
@@ -318,14 +333,7 @@ def groups(docs: DataFrame, similarity: Similarity = Similarity()) -> DataFrame:
     copies = classed.groupBy("doc_id").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).filter("least = most AND least != doc_id")
     copies = stored(copies.select(F.col("doc_id").alias("copy")), "copies")  # stored: Spark then knows its size
     distinct = docs.select("doc_id", "text").filter(F.col("doc_id").isNotNull()).join(copies, F.col("doc_id") == F.col("copy"), "left_anti")
-    # Counting all columns of the rows lets both readers of the keys share one shuffle.
-    keys = _keys(distinct, similarity).repartition("key")
-    heads = keys.groupBy("key").agg(F.count(F.when(F.col("size_group") >= 0, F.col("rep"))).alias("members")).filter("members > 1")
-    # Linked sets share more keys than both can do without, so each leaves out those most shared:
-    # common passages then do not chain unlike documents together.
-    crowd = Window.partitionBy("rep", "size_group").orderBy(F.desc("members"), "key")
-    shared = keys.join(heads.select("key", "members"), "key").withColumn("place", F.row_number().over(crowd))
-    shared = shared.filter(F.col("place") > _spared(similarity)).select("key", "rep", "size_group")
+    shared = _shared(_keys(distinct, similarity), similarity)
     # Each size group has clusters of its own: a document takes part in those of all its groups.
     shared = stored(shared.withColumn("node", _node("rep", "size_group")), "keys")
     heads = shared.groupBy("key").agg(F.min("node").alias("head"))
