@@ -250,6 +250,29 @@ def tile_links(rows: list[tuple[int, int, np.ndarray]], same: bool, similarity:
 LINKS = pa.schema([("x", pa.int64()), ("y", pa.int64())])
 
 
+def _tiles(members: DataFrame, similarity: Similarity) -> DataFrame:
+    """(cluster, rep, tile, others) of the members (rep, cluster, size_group, n): a row meets tiles 0 to ``others`` - 1.
+
+    Linked sets meet in the size group of the larger one, so smaller sets that only visit a group need not
+    meet each other there. In a cluster of more than one tile they have tiles of their own, after the others.
+    Clusters of visitors only find nothing and are left out.
+    """
+    firsts = F.lit(similarity.size_groups(10**13)[: GROUPS + 1]).cast("array<long>")
+    # Of a repeated document the longest row counts: it visits only where all its rows do.
+    own = (F.col("n") >= F.element_at(firsts, F.col("size_group") + 1)).alias("own")
+    met = members.select("cluster", "rep", "n", own).groupBy("cluster", "rep").agg(F.max("n").alias("n"), F.max("own").alias("own"))
+
+    def tiles(which: Column) -> Column:
+        return F.ceil(F.greatest(F.count_if(which) / similarity.tile, F.sum(F.when(which, F.col("n")).otherwise(0)) / similarity.entries))
+
+    sizes = met.groupBy("cluster").agg(tiles(F.lit(True)).alias("all"), tiles(F.col("own")).alias("owns"), tiles(~F.col("own")).alias("visits"))
+    single = F.col("all") == 1
+    dealt = met.join(sizes.filter("owns > 0"), "cluster").withColumn("hash", F.xxhash64("rep"))
+    tile = F.when(single, 0).when(F.col("own"), F.pmod("hash", "owns")).otherwise(F.col("owns") + F.pmod("hash", "visits"))
+    others = F.when(single, 1).when(F.col("own"), F.col("owns") + F.col("visits")).otherwise(F.col("owns"))
+    return dealt.select("cluster", "rep", tile.cast("long").alias("tile"), others.cast("long").alias("others"))
+
+
 def _product(tiles: DataFrame, similarity: Similarity) -> DataFrame:
     """Links within each pair of tiles. A task sees its tile pairs one after the other."""
     keys = ("low", "high", "cluster")
@@ -340,14 +363,12 @@ def groups(docs: DataFrame, similarity: Similarity = Similarity()) -> DataFrame:
     near = shared.join(heads, "key").filter("node != head").select("node", "head").distinct()
     clustered = components(near).select(F.col("a").alias("node"), F.col("b").alias("cluster"))
     clustered = clustered.union(clustered.select(F.col("cluster").alias("node"), "cluster").distinct())
-    members = stored(shared.select("node", "rep").distinct().join(clustered, "node").select("rep", "cluster"), "clusters")
+    members = stored(shared.select("node", "rep", "size_group").distinct().join(clustered, "node").select("rep", "cluster", "size_group"), "clusters")
 
     lengths = classed.groupBy(F.col("doc_id").alias("rep")).agg(F.max("n").alias("n"))
-    tiles_of = F.greatest(F.count("*") / similarity.tile, F.sum("n") / similarity.entries)
-    sizes = members.join(lengths, "rep").groupBy("cluster").agg(F.ceil(tiles_of).alias("tiles"))
-    placed = members.join(sizes, "cluster").withColumn("tile", F.pmod(F.xxhash64("rep"), F.col("tiles")))
-    texts = _texts_of(docs, members)
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1))
+    placed = stored(_tiles(members.join(lengths, "rep"), similarity), "tiles")
+    texts = _texts_of(docs, placed)
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("others") - 1))
     tiles = (
         texts.join(placed, texts["doc_id"] == placed["rep"])
         .select("cluster", "rep", "tile", "text", other.alias("other"))

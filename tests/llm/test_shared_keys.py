@@ -33,3 +33,17 @@ def test_shared_keys_against_plain_counting(spark):
         expected += [(key, rep, group) for _, key in sorted(keys)[spared:]]
     found = jaccard_join._shared(spark.createDataFrame(rows, KINDS), similarity).collect()
     assert sorted(map(tuple, found)) == sorted(expected) and 0 < len(expected) < len(rows)
+
+
+def test_visitors_of_a_size_group_do_not_meet(spark):
+    similarity = jaccard_join.Similarity(tile=4)
+    firsts = similarity.size_groups(10**13)
+    group = 12
+    first = firsts[group]
+    rows = [(rep, 7, group, first + rep % 3 if rep < 10 else first - 1) for rep in range(30)]  # ten of the group, twenty visitors
+    rows += [(rep, 8, group, first - 1) for rep in range(30, 36)] + [(40, 9, group, first), (41, 9, group, first - 1)]
+    frame = spark.createDataFrame(rows, "rep long, cluster long, size_group int, n long")
+    found = {(r.cluster, r.rep): (r.tile, r.others) for r in jaccard_join._tiles(frame, similarity).collect()}
+    pairs = {(c, a, b) for c, a in found for d, b in found if c == d and a < b and found[c, a][0] < found[c, b][1] and found[c, b][0] < found[c, a][1]}
+    met = {(7, a, b) for a in range(10) for b in range(a + 1, 30)}
+    assert pairs == met | {(9, 40, 41)} and not any(c == 8 for c, _ in found)
