@@ -31,6 +31,8 @@ from dealerlake.llm.shingles import U, mixed, shingle_sets
 WAYS = 4  # blocks of a part of the columns
 GROUPS = 120  # size groups; the last holds sets of 10**13 n-grams
 KEY_PARTITIONS = 4  # times the session's shuffle partitions, for the keys: a document has some 600
+KEY_BYTES = 5  # of a key that are sent; the partition it is sent to tells more of it
+PACKED = 1 << 20  # keys of a task packed at once
 FILTER_BITS = 1 << 24  # of the bitmap that spares texts of unclustered documents a shuffle; 2 MB
 
 
@@ -152,21 +154,102 @@ def _signatures(docs: DataFrame, similarity: Similarity) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(releasing(sign), "doc_id long, n long, s1 long, s2 long")
 
 
+def packed_keys(key: np.ndarray, rep: np.ndarray, size_group: np.ndarray, parts: int) -> Iterator[tuple[int, int, bytes]]:
+    """(part, number, packed) of the keys of each part: ``KEY_BYTES`` a key, then documents and size groups compressed.
+
+    Documents are sent as steps from the one before, whose bytes are laid out by place, so that small steps shrink.
+    """
+    part = (key >> U(8 * KEY_BYTES)) % U(parts)
+    order = np.argsort(part.astype(np.uint16 if parts < 1 << 16 else np.uint32), kind="stable")
+    part, key, rep, size_group = part[order], key[order], rep[order], size_group[order].astype(np.uint8)
+    firsts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+    steps = np.diff(rep, prepend=0)
+    steps[firsts] = rep[firsts]
+    short = key.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]
+    steps = steps.astype("<i8").view(np.uint8).reshape(-1, 8)
+    for a, b in zip(firsts, [*firsts[1:], len(part)], strict=True):
+        rest = steps[a:b].T.tobytes() + size_group[a:b].tobytes()
+        yield int(part[a]), int(b - a), short[a:b].tobytes() + pa.compress(rest, "zstd", asbytes=True)
+
+
+def _short_keys(part: int, number: int, packed: bytes) -> np.ndarray:
+    """Keys as sent, with their part above them."""
+    key = np.zeros((number, 8), np.uint8)
+    key[:, :KEY_BYTES] = np.frombuffer(packed, np.uint8, KEY_BYTES * number).reshape(number, KEY_BYTES)
+    return key.view("<u8").ravel().astype(U) + (U(part) << U(8 * KEY_BYTES))
+
+
+def _holders(number: int, packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Document and size group of each of these keys."""
+    rest = np.frombuffer(pa.decompress(packed[KEY_BYTES * number :], 9 * number, "zstd", asbytes=True), np.uint8)
+    steps = np.ascontiguousarray(rest[: 8 * number].reshape(8, number).T).view("<i8").ravel()
+    return np.cumsum(steps, dtype=np.int64), rest[8 * number :].astype(np.int32)
+
+
+def repeated_keys(blocks: list[tuple[int, int, bytes]]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(key, rep, size_group) of the packed keys that occur more than once among ``blocks``, which hold their parts whole."""
+    ordered = np.concatenate([_short_keys(*block) for block in blocks])
+    ordered.sort()
+    repeated = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
+    del ordered
+    if not len(repeated):
+        return
+    for part, number, packed in blocks:
+        key = _short_keys(part, number, packed)
+        hit = np.flatnonzero(repeated[np.minimum(np.searchsorted(repeated, key), len(repeated) - 1)] == key)
+        if len(hit):
+            rep, size_group = _holders(number, packed)
+            yield key[hit].view(np.int64), rep[hit], size_group[hit]
+
+
 def _keys(docs: DataFrame, similarity: Similarity) -> DataFrame:
-    """(key, rep, size_group) of every key of every row's set."""
+    """(key, rep, size_group) of the keys of the rows' sets that more than one row has.
+
+    Nearly all keys have one row, and a set has about as many keys as n-grams. So they are sent packed to where
+    equal ones meet, and only those that do become rows. Keys are shortened on the way; unlike ones that
+    then meet make unlike documents candidates, which the product tells apart.
+    """
+    parts = KEY_PARTITIONS * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sent = pa.schema([("part", pa.int32()), ("number", pa.int32()), ("packed", pa.binary())])
     schema = pa.schema([("key", pa.int64()), ("rep", pa.int64()), ("size_group", pa.int32())])
 
-    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys = BlockKeys(similarity)
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, held, number = BlockKeys(similarity), [], 0
+
+        def done() -> pa.RecordBatch:
+            held.sort(key=lambda h: h[0])
+            rep = np.repeat(np.array([h[0] for h in held], np.int64), [len(h[1]) for h in held])
+            columns = packed_keys(np.concatenate([h[1] for h in held]).view(U), rep, np.concatenate([h[2] for h in held]), parts)
+            return record_batch(sent, list(zip(*columns, strict=True)))
+
         for batch in batches:
             ids = batch.column("doc_id").to_numpy()
             for first, texts in byte_slices(batch.column("text")):
-                filled = [(doc, s) for doc, s in zip(ids[first : first + len(texts)], shingle_sets(texts, similarity.words), strict=True) if len(s)]
-                if filled:
-                    found, at = zip(*(keys.of(s) for _, s in filled), strict=True)
-                    yield record_batch(schema, [np.concatenate(found), np.repeat([doc for doc, _ in filled], [len(k) for k in found]), np.concatenate(at)])
+                for doc, shingles in zip(ids[first : first + len(texts)], shingle_sets(texts, similarity.words), strict=True):
+                    found, at = keys.of(shingles) if len(shingles) else ((), ())
+                    if len(found):
+                        held.append((doc, found, at))
+                        number += len(found)
+                    if number >= PACKED:
+                        yield done()
+                        held, number = [], 0
+        if held:
+            yield done()
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks = [tuple(row.values()) for batch in batches for row in batch.to_pylist()]
+        held, number = [], 0
+        for found in repeated_keys(blocks) if blocks else ():
+            held.append(found)
+            number += len(found[0])
+            if number >= PACKED // 8:
+                yield record_batch(schema, [np.concatenate(c) for c in zip(*held, strict=True)])
+                held, number = [], 0
+        if held:
+            yield record_batch(schema, [np.concatenate(c) for c in zip(*held, strict=True)])
 
-    return docs.select("doc_id", "text").mapInArrow(releasing(explode), "key long, rep long, size_group int")
+    packed = docs.select("doc_id", "text").mapInArrow(releasing(pack), "part int, number int, packed binary")
+    return packed.repartitionById(parts, "part").mapInArrow(releasing(unpack), "key long, rep long, size_group int")
 
 
 def _node(rep: str, size_group: str) -> Column:
@@ -184,8 +267,8 @@ def _spared(similarity: Similarity) -> Column:
 def _shared(keys: DataFrame, similarity: Similarity) -> DataFrame:
     """The keys that more than one row has, without those that a set can do without.
 
-    Nearly all keys have one row. They are sorted once and counted as they pass, in more partitions than the
-    session's: a join with their counts would hold each of them three times in an executor's memory.
+    They are sorted once and counted as they pass, in more partitions than the session's: a join with their
+    counts would hold each of them three times in an executor's memory.
     """
     parts = KEY_PARTITIONS * int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = keys.repartition(parts, "key").withColumn("members", F.count("*").over(Window.partitionBy("key")))
