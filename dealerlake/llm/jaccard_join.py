@@ -18,6 +18,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,8 @@ GROUPS = 120  # size groups; the last holds sets of 10**13 n-grams
 KEY_PARTITIONS = 4  # times the session's shuffle partitions, for the keys: a document has some 600
 KEY_BYTES = 5  # of a key that are sent; the partition it is sent to tells more of it
 PACKED = 1 << 20  # keys of a task packed at once
+ROUND = 2  # texts sent to tiles at once, as a multiple of the documents
+SENT = 100_000  # texts that make no second round, however few documents there are
 FILTER_BITS = 1 << 24  # of the bitmap that spares texts of unclustered documents a shuffle; 2 MB
 
 
@@ -421,6 +424,26 @@ def _texts_of(docs: DataFrame, members: DataFrame) -> DataFrame:
     return read.mapInArrow(releasing(sift), "doc_id long, text string")
 
 
+def _links(docs: DataFrame, placed: DataFrame, similarity: Similarity, most: int) -> DataFrame:
+    """(x, y) over all pairs of tiles. At most some ``most`` texts are sent at once, the pairs of a round at a time.
+
+    Texts of a cluster are sent once for each of its tiles, so they grow with its square; what a round
+    has sent is off the disk before the next.
+    """
+    texts = _texts_of(docs, placed)
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("others") - 1))
+    tiles = (
+        texts.join(placed, texts["doc_id"] == placed["rep"])
+        .select("cluster", "rep", "tile", "text", other.alias("other"))
+        .select("cluster", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"), "tile", "rep", "text")
+    )
+    rounds = -(-(placed.agg(F.sum("others")).first()[0] or 0) // max(1, most))
+    if rounds <= 1:
+        return _product(tiles, similarity)
+    turn = F.pmod(F.xxhash64("cluster", "low", "high"), F.lit(rounds))
+    return reduce(DataFrame.union, [stored(_product(tiles.filter(turn == r), similarity), "links") for r in range(rounds)])
+
+
 def groups(docs: DataFrame, similarity: Similarity = Similarity()) -> DataFrame:
     """doc_id, n_shingles, component_id of every row.
 
@@ -450,14 +473,7 @@ def groups(docs: DataFrame, similarity: Similarity = Similarity()) -> DataFrame:
 
     lengths = classed.groupBy(F.col("doc_id").alias("rep")).agg(F.max("n").alias("n"))
     placed = stored(_tiles(members.join(lengths, "rep"), similarity), "tiles")
-    texts = _texts_of(docs, placed)
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("others") - 1))
-    tiles = (
-        texts.join(placed, texts["doc_id"] == placed["rep"])
-        .select("cluster", "rep", "tile", "text", other.alias("other"))
-        .select("cluster", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"), "tile", "rep", "text")
-    )
-    linked = components(_product(tiles, similarity))
+    linked = components(_links(docs, placed, similarity, max(SENT, ROUND * classed.count())))
 
     found = classed.join(linked, F.col("rep") == F.col("a"), "left")
     own = F.when(F.col("n") > 0, F.coalesce("b", "rep")).otherwise(F.col("doc_id"))

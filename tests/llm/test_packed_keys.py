@@ -79,3 +79,22 @@ def test_shuffles_of_a_stored_step_go_when_it_is_written(spark):
         time.sleep(0.2)
     assert not left and spark.conf.get(common.SHUFFLES_GO, None) in (None, "false")
     assert written.count() == 10_000
+
+
+def test_rounds_of_tile_pairs_find_all_links(spark, monkeypatch):
+    draw, rows = np.random.default_rng(3), []
+    for i in range(6):
+        base = draw.integers(0, 10**6, 80)
+        for copy in range(12):
+            words = base.copy()
+            words[draw.integers(0, 80, copy % 3)] = draw.integers(0, 10**6)
+            rows.append((100 * i + copy, " ".join(f"w{w}" for w in words)))
+    frame, similarity = spark.createDataFrame(rows, "doc_id long, text string"), jaccard_join.Similarity(tile=4)
+    whole = sorted(map(tuple, jaccard_join.groups(frame, similarity).collect()))
+    labels = []
+    real = common.stored
+    monkeypatch.setattr(jaccard_join, "stored", lambda step, label: labels.append(label) or real(step, label))
+    monkeypatch.setattr(jaccard_join, "ROUND", 2)
+    monkeypatch.setattr(jaccard_join, "SENT", 1)
+    assert sorted(map(tuple, jaccard_join.groups(frame, similarity).collect())) == whole
+    assert labels.count("links") > 1 and len({c for _, _, c in whole}) < len(rows)
